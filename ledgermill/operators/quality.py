@@ -1,6 +1,6 @@
 """Data quality: violations of keys, domains, references and limits as rows.
 
-Every check returns (rule, table, key, detail). Row rules of a table are tested in one scan.
+Every check returns (rule, table_name, key, detail). Row rules of a table are tested in one scan.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ def _violations(df: DataFrame, table: str, key: str, rules: list[tuple[str, Colu
             F.struct(
                 broken.alias("broken"),
                 F.lit(rule).alias("rule"),
-                F.lit(table).alias("table"),
+                F.lit(table).alias("table_name"),
                 F.col(key).cast("string").alias("key"),
                 detail.cast("string").alias("detail"),
             )
@@ -56,7 +56,7 @@ def check_unique(df: DataFrame, table: str, columns: list[str], where: Column |
         .where(F.col("n") > 1)
         .select(
             F.lit("UNIQUE").alias("rule"),
-            F.lit(table).alias("table"),
+            F.lit(table).alias("table_name"),
             F.concat_ws("|", *parts).alias("key"),
             F.col("n").cast("string").alias("detail"),
         )
@@ -78,7 +78,7 @@ def check_reference(
     parents = parent.select(F.col(parent_column).alias("parent_key"))
     return counted.join(parents, F.col("child_key") == F.col("parent_key"), "left_anti").select(
         F.lit("REFERENCE").alias("rule"),
-        F.lit(table).alias("table"),
+        F.lit(table).alias("table_name"),
         F.col("child_key").cast("string").alias("key"),
         F.col("n").cast("string").alias("detail"),
     )
