@@ -92,6 +92,13 @@ TYPE_RULES = [
     (["date", "time"], "DATE"),
     (["id", "num", "no", "code"], "NVARCHAR(50)"),
 ]
+# plain type -> target type where no keyword fits
+TYPE_TARGETS = {
+    "int": "BIGINT",
+    "float": "DECIMAL(15,4)",
+    "bool": "BIT",
+    "datetime": "DATETIME",
+}
 METADATA_TYPES = {
     "_source_file_url": "NVARCHAR(1000)",
     "_ingestion_timestamp": "DATETIME",

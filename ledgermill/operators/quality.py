@@ -9,41 +9,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _violations(df: DataFrame, table: str, key: str, rules: list[tuple[str, Column, Column]]) -> DataFrame:
-    """Rows breaking any of (rule, broken condition, detail)."""
-    found = F.array(
-        *(
-            F.struct(
-                broken.alias("broken"),
-                F.lit(rule).alias("rule"),
-                F.lit(table).alias("table_name"),
-                F.col(key).cast("string").alias("key"),
-                detail.cast("string").alias("detail"),
-            )
-            for rule, broken, detail in rules
-        )
+def _violations(df: DataFrame, table: str, key: str, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """Rows breaking any of (rule, SQL condition, SQL detail)."""
+    found = ", ".join(
+        f"struct({broken} as broken, '{rule}' as rule, cast({detail} as string) as detail)"
+        for rule, broken, detail in rules
     )
-    return df.select(F.inline(F.filter(found, lambda v: v["broken"]))).drop("broken")
+    return df.select(
+        F.lit(table).alias("table_name"),
+        F.col(key).cast("string").alias("key"),
+        F.expr(f"inline(filter(array({found}), v -> v.broken))"),
+    ).select("rule", "table_name", "key", "detail")
 
 
 def check_not_null(df: DataFrame, table: str, key: str, columns: list[str]) -> DataFrame:
     """Required columns without a value; detail names the column."""
-    return _violations(
-        df, table, key, [("NOT_NULL", F.col(c).isNull(), F.lit(c)) for c in columns]
-    )
+    return _violations(df, table, key, [("NOT_NULL", f"`{c}` is null", f"'{c}'") for c in columns])
 
 
 def check_domain(df: DataFrame, table: str, key: str, domains: dict[str, list[str]]) -> DataFrame:
     """Labels outside their domain; NULL passes."""
-    return _violations(
-        df,
-        table,
-        key,
-        [
-            ("DOMAIN", ~F.col(c).isin(allowed), F.concat(F.lit(f"{c}="), F.col(c)))
-            for c, allowed in domains.items()
-        ],
-    )
+
+    def outside(column: str, allowed: list[str]) -> str:
+        labels = ", ".join("'" + v.replace("'", "\\'") + "'" for v in allowed)
+        return f"`{column}` not in ({labels})"
+
+    rules = [("DOMAIN", outside(c, allowed), f"concat('{c}=', `{c}`)") for c, allowed in domains.items()]
+    return _violations(df, table, key, rules)
 
 
 def check_unique(df: DataFrame, table: str, columns: list[str], where: Column | None = None) -> DataFrame:
@@ -100,14 +92,12 @@ def check_limits(
 ) -> DataFrame:
     """Text longer than allowed, and numbers that do not fit (precision, scale)."""
     rules = [
-        ("TEXT_LIMIT", F.length(c) > limit, F.concat(F.lit(f"{c}="), F.length(c).cast("string")))
+        ("TEXT_LIMIT", f"length(`{c}`) > {limit}", f"concat('{c}=', length(`{c}`))")
         for c, limit in text.items()
     ]
     for c, (precision, scale) in numbers.items():
-        fits = F.col(c).cast("string").try_cast(f"decimal({precision},{scale})").isNotNull()
-        rules.append(
-            ("NUMBER_LIMIT", F.col(c).isNotNull() & ~fits, F.concat(F.lit(f"{c}="), F.col(c).cast("string")))
-        )
+        fits = f"try_cast(cast(`{c}` as string) as decimal({precision},{scale})) is not null"
+        rules.append(("NUMBER_LIMIT", f"`{c}` is not null and not ({fits})", f"concat('{c}=', `{c}`)"))
     return _violations(df, table, key, rules)
 
 

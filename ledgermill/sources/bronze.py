@@ -13,6 +13,7 @@ from ledgermill.functions.fixed_values import (
     TEXT_WIDTH_MAX,
     TEXT_WIDTH_MIN,
     TYPE_RULES,
+    TYPE_TARGETS,
 )
 from ledgermill.operators.skew import row_tag, spread_join
 
@@ -116,50 +117,41 @@ def _dtype(kind: T.DataType) -> str:
     return "string"
 
 
-def _target_type(name: str, dtype: str) -> str | None:
-    """Target type by column name, then by type; None when it depends on the text length."""
-    if name in METADATA_TYPES:
-        return METADATA_TYPES[name]
-    lowered = name.lower()
+def _target_type(name: Column, dtype: Column, longest: Column) -> Column:
+    """Target type by column name, then by type, then by text length; first hit wins."""
+    picked = F
+    for column, target in METADATA_TYPES.items():
+        picked = picked.when(name == column, target)
     for keywords, target in TYPE_RULES:
-        if any(k in lowered for k in keywords):
-            if target == "DATE" and dtype == "datetime":
-                return "DATETIME"
-            if target == "NVARCHAR(50)" and dtype == "int":
-                return "INTEGER"
-            return target
-    by_type = {"int": "BIGINT", "float": "DECIMAL(15,4)", "bool": "BIT", "datetime": "DATETIME"}
-    return by_type.get(dtype)
+        chosen = F.lit(target)
+        if target == "DATE":
+            chosen = F.when(dtype == "datetime", "DATETIME").otherwise(chosen)
+        if target == "NVARCHAR(50)":
+            chosen = F.when(dtype == "int", "INTEGER").otherwise(chosen)
+        picked = picked.when(F.lower(name).rlike("|".join(keywords)), chosen)
+    for kind, target in TYPE_TARGETS.items():
+        picked = picked.when(dtype == kind, target)
+    padded = F.floor(longest * F.lit(TEXT_WIDTH_FACTOR).cast("decimal(3,1)"))
+    width = F.least(F.greatest(padded, F.lit(TEXT_WIDTH_MIN)), F.lit(TEXT_WIDTH_MAX))
+    width = F.when(F.coalesce(longest, F.lit(0)) == 0, TEXT_WIDTH_DEFAULT).otherwise(width)
+    return picked.otherwise(F.format_string("NVARCHAR(%d)", width.cast("int")))
 
 
 def profile_types(df: DataFrame) -> DataFrame:
     """(column, dtype, max_len, target_type); lengths come from one pass over the text columns."""
     kinds = {f.name: _dtype(f.dataType) for f in df.schema.fields}
-    text = [n for n, k in kinds.items() if k == "string"]
     lengths = df.agg(
-        F.lit(0).alias("_any"),
-        *(F.max(F.length(F.col(n).cast("string"))).alias(n) for n in text),
-    )
-
-    def profile(name: str, dtype: str) -> Column:
-        longest = F.col(name).cast("int") if dtype == "string" else F.lit(None).cast("int")
-        fixed = _target_type(name, dtype)
-        if fixed:
-            target = F.lit(fixed)
-        else:
-            padded = F.floor(longest * F.lit(TEXT_WIDTH_FACTOR).cast("decimal(3,1)"))
-            width = F.least(F.greatest(padded, F.lit(TEXT_WIDTH_MIN)), F.lit(TEXT_WIDTH_MAX))
-            empty = longest.isNull() | (longest == 0)
-            width = F.when(empty, F.lit(TEXT_WIDTH_DEFAULT)).otherwise(width)
-            target = F.concat(F.lit("NVARCHAR("), width.cast("string"), F.lit(")"))
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.lit(dtype).alias("dtype"),
-            longest.alias("max_len"),
-            target.alias("target_type"),
+        *(
+            F.expr(f"cast(max(length(cast(`{n}` as string))) as int) as `{n}`")
+            if kind == "string"
+            else F.expr(f"cast(max(null) as int) as `{n}`")
+            for n, kind in kinds.items()
         )
-
-    return lengths.select(F.inline(F.array(*(profile(n, k) for n, k in kinds.items()))))
+    ).unpivot([], list(kinds), "column", "max_len")
+    dtype_of = F.expr("map(" + ", ".join(f"'{n}', '{k}'" for n, k in kinds.items()) + ")")
+    typed = lengths.withColumn("dtype", dtype_of[F.col("column")])
+    target = _target_type(F.col("column"), F.col("dtype"), F.col("max_len"))
+    return typed.select("column", "dtype", "max_len", target.alias("target_type"))
 
 
 def preprocess(df: DataFrame) -> DataFrame:

@@ -31,8 +31,5 @@ class Lake:
         writer.parquet(self.path(layer, table))
         return self.read(layer, table)
 
-    def append(self, df: DataFrame, layer: str, table: str) -> None:
-        df.write.mode("append").parquet(self.path(layer, table))
-
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
