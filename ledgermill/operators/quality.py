@@ -44,13 +44,13 @@ def check_unique(df: DataFrame, table: str, columns: list[str], where: Column |
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return (
         rows.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .where(F.col("_copies") > 1)
         .select(
             F.lit("UNIQUE").alias("rule"),
             F.lit(table).alias("table_name"),
             F.concat_ws("|", *parts).alias("key"),
-            F.col("n").cast("string").alias("detail"),
+            F.col("_copies").cast("string").alias("detail"),
         )
     )
 

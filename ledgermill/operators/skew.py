@@ -33,12 +33,12 @@ def _slices(rows: str, slice_rows: int) -> Column:
 
 
 def hot_keys(counts: DataFrame, key: str, rows: str, slice_rows: int) -> DataFrame:
-    """(hot_key, slices) for the largest keys of a per-key count; at most MAX_HOT_KEYS rows."""
+    """(_hot_key, _slices) for the largest keys of a per-key count; at most MAX_HOT_KEYS rows."""
     return (
         counts.where(F.col(key).isNotNull() & (F.col(rows) > slice_rows))
         .orderBy(F.desc(rows), key)
         .limit(MAX_HOT_KEYS)
-        .select(F.col(key).alias("hot_key"), _slices(rows, slice_rows).alias("slices"))
+        .select(F.col(key).alias("_hot_key"), _slices(rows, slice_rows).alias("_slices"))
     )
 
 
@@ -66,30 +66,28 @@ def spread_join(
     slice_rows = slice_rows or SLICE_ROWS
     keyed = right.withColumnRenamed(right_key, "_right_key")
     if left_rows:
-        hot = F.broadcast(hot_keys(right, right_key, left_rows, slice_rows))
+        hot = hot_keys(right, right_key, left_rows, slice_rows)
         # a key beyond the hot list keeps slice 0 on the left, which every right row has too
         sliced = keyed.withColumn("_slices", _slices(left_rows, slice_rows))
     else:
         counts = key_counts(left, F.col(left_key), "key")
-        hot = F.broadcast(hot_keys(counts, "key", "rows", slice_rows))
+        hot = hot_keys(counts, "key", "rows", slice_rows)
         sliced = (
-            keyed.join(hot, F.col("_right_key") == F.col("hot_key"), "left")
-            .drop("hot_key")
-            .withColumnRenamed("slices", "_slices")
+            keyed.join(F.broadcast(hot), F.col("_right_key") == F.col("_hot_key"), "left").drop("_hot_key")
         )
     last = F.greatest(F.coalesce("_slices", F.lit(1)), F.lit(1)) - 1
     repeated = sliced.withColumn("_right_slice", F.explode(F.sequence(F.lit(0), last))).drop("_slices")
 
     dealt = (
-        left.join(hot, F.col(left_key) == F.col("hot_key"), "left")
+        left.join(F.broadcast(hot), F.col(left_key) == F.col("_hot_key"), "left")
         .withColumn(
             "_slice",
-            F.when(F.col("slices").isNotNull(), F.pmod(F.col(row), F.col("slices")))
+            F.when(F.col("_slices").isNotNull(), F.pmod(F.col(row), F.col("_slices")))
             .when(F.col(left_key).isNull(), F.pmod(F.col(row), F.lit(NULL_SLICES)))
             .otherwise(0)
             .cast("int"),
         )
-        .drop("hot_key", "slices")
+        .drop("_hot_key", "_slices")
     )
     return dealt.join(
         repeated,
