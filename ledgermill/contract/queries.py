@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ledgermill.contract.inputs import table
 from ledgermill.contract.layers import Layers
 from ledgermill.functions.contact import default_country
+from ledgermill.functions.dates import time_text
 from ledgermill.functions.fixed_values import (
     DOMAINS,
     NUMBER_LIMITS,
@@ -22,7 +23,7 @@ from ledgermill.functions.fixed_values import (
     TEXT_LIMITS,
     UNIQUE_KEYS,
 )
-from ledgermill.functions.text import json_fields, norm
+from ledgermill.functions.text import json_fields, norm, yes_flag
 from ledgermill.operators import accounts, customers, quality, transactions
 from ledgermill.operators.audit import audited
 from ledgermill.operators.keys import add_surrogate_key
@@ -96,6 +97,21 @@ def _ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("o_orderkey", "_source_file_url", "_source_hash", loaded)
 
 
+def _read_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per bronze table of two differently shaped files, each scanned with its origin."""
+    scans = [bronze.read_bronze(spark, [f"{sf_dir}/{n}.parquet"]) for n in ("orders", "customer")]
+    named = [df.select(bronze.bronze_table_name(F.col("_source_file_url")).alias("table_name")) for df in scans]
+    return _all([df.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows")) for df in named])
+
+
+def _full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two full loads of one partitioned table; the second replaces the first."""
+    lake = _lake(spark)
+    orders = yearly_orders(spark, sf_dir).withColumn("year", F.year("o_orderdate"))
+    lake.write(orders, "bronze", "erp_orders", ["year"])
+    return lake.write(orders.where(F.col("year") > 1996), "bronze", "erp_orders", ["year"]).drop("_source_file_url")
+
+
 def _detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = yearly_orders(spark, sf_dir)
     first = bronze.source_hash(orders.where(F.year("o_orderdate") < 2001))
@@ -115,7 +131,7 @@ def _preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id",
         (F.col("event_type") == "error").alias("is_error"),
-        F.col("ts").cast("timestamp").alias("zoned"),
+        F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("zoned"),
         F.when(F.col("event_id") % 7 == 0, "not a date")
         .otherwise(F.col("ts").cast("date").cast("string"))
         .alias("event_date"),
@@ -174,6 +190,12 @@ def _country(df: DataFrame) -> DataFrame:
     return split.withColumn("residential_country", country)
 
 
+def _standard_text(df: DataFrame) -> DataFrame:
+    """Standard form of the account texts (upper-trimmed) and codes (blanks for underscores)."""
+    names = [*accounts.STANDARD_TEXT, *accounts.CODE_TEXT]
+    return accounts.standardise(df).select("account_id", *(accounts.RENAMED.get(n, n) for n in names))
+
+
 ADDRESS_COLUMNS = " ".join(
     f"{p}_{n}" for p in customers.ADDRESSES.values() for n in ("street_name", "city", "province", "country")
 )
@@ -319,6 +341,8 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": lambda s, d: comparable(bronze.ingest_summary(yearly_orders(s, d))),
     "source_hash": lambda s, d: comparable(bronze.source_hash(yearly_orders(s, d))),
     "ingest_metadata": lambda s, d: comparable(_ingest_metadata(s, d)),
+    "read_bronze_files": lambda s, d: comparable(_read_files(s, d)),
+    "full_load_replace": lambda s, d: comparable(_full_load(s, d)),
     "detect_changes": _detect_changes,
     "type_profile": lambda s, d: comparable(_profile(s, d)),
     "route_sources": _route_sources,
@@ -346,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "clean_customers": _on_layers(lambda t: t.build("stg_customers")),
     **{f"build_{n}": _on_layers(lambda t, n=n: t.build(n)) for n in CUSTOMER_TABLES},
     # accounts
+    "standard_text": _on_layers(lambda t: _standard_text(t["bronze_accounts"])),
     "duplicate_counts": _on_layers(
         lambda t: _select(
             accounts.add_duplicate_counts(t["bronze_accounts"]),
@@ -395,6 +420,15 @@ QUERIES: dict[str, Query] = {
             transactions.clean_receiving_bank(F.col("receiving_bank")).alias("receiving_bank"),
         )
     ),
+    "transaction_amounts_and_flags": _on_layers(
+        lambda t: t["bronze_transactions"].select(
+            "transaction_id",
+            F.abs("amount").alias("transaction_amount"),
+            F.abs("cashback_amount").alias("cashback_amount"),
+            time_text(F.col("transaction_time")).alias("transaction_time"),
+            *(yes_flag(F.col(c)).alias(n) for n, c in transactions.YES_FLAGS.items()),
+        )
+    ),
     "clean_transactions": _on_layers(lambda t: t.build("stg_transactions")),
     "build_fact_transactions": _on_layers(lambda t: t.build("fact_transactions")),
     # quality, keys, log

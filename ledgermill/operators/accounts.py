@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions.fixed_values import DATE_ORDER
 from ledgermill.functions.text import any_of, flag, from_right, label, norm, split_list
 from ledgermill.operators.skew import key_counts, row_tag, spread_join
+from ledgermill.session import written
 from ledgermill.sources.schemas import ACCOUNTS, conform
 
 # --- fixed values -----------------------------------------------------------------------
@@ -50,7 +51,9 @@ def add_duplicate_counts(df: DataFrame, slice_rows: int | None = None) -> DataFr
         (numbered, "account_number", "account_number_count"),
         (by_card, "card_number", "card_number_count"),
     ):
-        counted = spread_join(counted, counts, key, key, left_rows=rows, slice_rows=slice_rows)
+        counted = spread_join(
+            counted, written(counts, rows), key, key, left_rows=rows, slice_rows=slice_rows
+        )
     return counted.withColumns(
         {
             "account_number_count": F.coalesce("account_number_count", F.lit(0)),
@@ -74,7 +77,7 @@ def add_primary_sanity(df: DataFrame, slice_rows: int | None = None) -> DataFram
     keyed = _with_row(df).withColumn("_customer", norm(F.col("customer_id")))
     joined = spread_join(
         keyed,
-        primary_counts(df),
+        written(primary_counts(df), "primary_counts"),
         "_customer",
         "customer_key",
         left_rows="rows",
@@ -162,7 +165,7 @@ def join_registration(
     keyed = _with_row(df).withColumn("_customer", norm(F.col("customer_id")))
     joined = spread_join(
         keyed,
-        known,
+        written(known, "known_customers"),
         "_customer",
         "customer_key",
         how="inner",

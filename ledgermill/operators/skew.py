@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.session import written
+
 # rows of one key that a single task may hold; larger keys are cut into slices
 SLICE_ROWS = 1_000_000
 # at most this many keys are treated as hot, which bounds the broadcast list; every other
@@ -28,17 +30,16 @@ def key_counts(df: DataFrame, key: Column, name: str = "key", rows: str = "rows"
     return df.where(key.isNotNull()).groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias(rows))
 
 
-def _slices(rows: str, slice_rows: int) -> Column:
-    return F.ceil(F.col(rows) / F.lit(slice_rows)).cast("int")
-
-
 def hot_keys(counts: DataFrame, key: str, rows: str, slice_rows: int) -> DataFrame:
     """(_hot_key, _slices) for the largest keys of a per-key count; at most MAX_HOT_KEYS rows."""
     return (
         counts.where(F.col(key).isNotNull() & (F.col(rows) > slice_rows))
         .orderBy(F.desc(rows), key)
         .limit(MAX_HOT_KEYS)
-        .select(F.col(key).alias("_hot_key"), _slices(rows, slice_rows).alias("_slices"))
+        .select(
+            F.col(key).alias("_hot_key"),
+            F.ceil(F.col(rows) / F.lit(slice_rows)).cast("int").alias("_slices"),
+        )
     )
 
 
@@ -54,43 +55,45 @@ def spread_join(
 ) -> DataFrame:
     """Join ``left`` to ``right`` on one key; hot keys of ``left`` are cut into slices.
 
-    ``left`` needs the ``row`` column of :func:`row_tag`. A hot key gets one slice per
+    ``left`` needs the ``row`` column of :func:`row_tag`. The keys of ``left`` are counted
+    first, unless ``right`` carries the number of left rows per key in ``left_rows`` (then
+    ``right`` is read twice and should be a written table). A hot key gets one slice per
     ``slice_rows`` rows: its left rows are dealt over the slices and its right rows are
-    repeated once per slice, so each pair meets exactly once. Left rows with a NULL key are
-    spread as well. When ``right`` already carries the number of left rows per key, name
-    that column in ``left_rows``; otherwise the keys of ``left`` are counted. The right key
-    is dropped from the result.
+    repeated once per slice, so each pair meets exactly once. Left rows with a NULL key never
+    match and are only spread. Without hot keys the join is a plain one. The right key is
+    dropped from the result.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    slice_rows = slice_rows or SLICE_ROWS
+    counts = (right, right_key, left_rows) if left_rows else (key_counts(left, F.col(left_key)), "key", "rows")
+    hot = written(hot_keys(*counts, slice_rows or SLICE_ROWS), "hot_keys")
     keyed = right.withColumnRenamed(right_key, "_right_key")
-    if left_rows:
-        hot = hot_keys(right, right_key, left_rows, slice_rows)
-        # a key beyond the hot list keeps slice 0 on the left, which every right row has too
-        sliced = keyed.withColumn("_slices", _slices(left_rows, slice_rows))
+    same_key = F.col(left_key) == F.col("_right_key")
+    none_hot = hot.isEmpty()
+    if none_hot and how == "inner":
+        return left.join(keyed, same_key).drop("_right_key")
+
+    spread = F.when(F.col(left_key).isNull(), F.pmod(F.col(row), F.lit(NULL_SLICES)))
+    if none_hot:
+        dealt = left.withColumn("_slice", spread.otherwise(0).cast("int"))
+        repeated = keyed.withColumn("_right_slice", F.explode(F.array(F.lit(0))))
     else:
-        counts = key_counts(left, F.col(left_key), "key")
-        hot = hot_keys(counts, "key", "rows", slice_rows)
-        sliced = (
-            keyed.join(F.broadcast(hot), F.col("_right_key") == F.col("_hot_key"), "left").drop("_hot_key")
+        # bounded: hot_keys keeps MAX_HOT_KEYS rows
+        listed = F.broadcast(hot)
+        own = F.pmod(F.col(row), F.coalesce("_slices", F.lit(1)))
+        dealt = (
+            left.join(listed, F.col(left_key) == F.col("_hot_key"), "left")
+            .withColumn("_slice", spread.otherwise(own).cast("int"))
+            .drop("_hot_key", "_slices")
         )
-    last = F.greatest(F.coalesce("_slices", F.lit(1)), F.lit(1)) - 1
-    repeated = sliced.withColumn("_right_slice", F.explode(F.sequence(F.lit(0), last))).drop("_slices")
-
-    dealt = (
-        left.join(F.broadcast(hot), F.col(left_key) == F.col("_hot_key"), "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col("_slices").isNotNull(), F.pmod(F.col(row), F.col("_slices")))
-            .when(F.col(left_key).isNull(), F.pmod(F.col(row), F.lit(NULL_SLICES)))
-            .otherwise(0)
-            .cast("int"),
+        repeated = (
+            keyed.join(listed, F.col("_right_key") == F.col("_hot_key"), "left")
+            .withColumn(
+                "_right_slice",
+                F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)),
+            )
+            .drop("_hot_key", "_slices")
         )
-        .drop("_hot_key", "_slices")
+    return dealt.join(repeated, same_key & (F.col("_slice") == F.col("_right_slice")), how).drop(
+        "_right_key", "_slice", "_right_slice"
     )
-    return dealt.join(
-        repeated,
-        (F.col(left_key) == F.col("_right_key")) & (F.col("_slice") == F.col("_right_slice")),
-        how,
-    ).drop("_right_key", "_slice", "_right_slice")

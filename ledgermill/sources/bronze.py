@@ -16,6 +16,7 @@ from ledgermill.functions.fixed_values import (
     TYPE_TARGETS,
 )
 from ledgermill.operators.skew import row_tag, spread_join
+from ledgermill.session import written
 
 METADATA_COLUMNS = list(METADATA_TYPES)
 # a row digest is added up in pieces of six hex digits; 39 further bits of a long leave room
@@ -71,7 +72,7 @@ def source_hash(df: DataFrame, source: str = "_source_file_url") -> DataFrame:
 
 def add_ingest_metadata(df: DataFrame, source: str = "_source_file_url") -> DataFrame:
     """Adds load time in UTC and the content hash of the row's source."""
-    hashes = source_hash(df, source).withColumnRenamed("source_hash", "_source_hash")
+    hashes = written(source_hash(df, source), "source_hash").withColumnRenamed("source_hash", "_source_hash")
     tagged = spread_join(row_tag(df), hashes, source, "source", left_rows="rows")
     return tagged.select(
         *df.columns,
