@@ -27,6 +27,7 @@ from ledgermill.functions.text import json_fields, norm, yes_flag
 from ledgermill.operators import accounts, customers, quality, transactions
 from ledgermill.operators.audit import audited
 from ledgermill.operators.keys import add_surrogate_key
+from ledgermill.operators.skew import row_tag, spread_join
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
@@ -225,8 +226,9 @@ def _date_sequence(t: Layers) -> DataFrame:
 
 def _ship_before_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    checked = accounts.flag_date_sequence(lines.join(orders, "l_orderkey"), {"o_orderdate": ["l_shipdate"]})
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    joined = spread_join(row_tag(lines), orders, "l_orderkey", "o_orderkey", how="inner")
+    checked = accounts.flag_date_sequence(joined, {"o_orderdate": ["l_shipdate"]})
     return comparable(
         checked.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("rows"), F.sum("invalid_date").alias("invalid"))
     )

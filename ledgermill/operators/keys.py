@@ -11,20 +11,20 @@ from ledgermill.session import written
 POSITION_BITS = 33
 
 
-def add_surrogate_key(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
-    """Dense keys 1..n in the order of ``order_by``, without a global window.
-
-    The rows are range-partitioned and sorted once and written to the shared folder, so the
-    counting pass and the numbering pass see the same split even if executors are lost. The
-    offset table has one row per range partition, a number set by configuration.
+def add_surrogate_key(df: DataFrame, name: str, order_by: list[str] | None = None) -> DataFrame:
+    """Dense keys 1..n without a global window.
+
+    The rows are written to the shared folder together with their partition and position, so
+    the counting pass and the numbering pass see the same rows in the same places even if
+    executors are lost. Every partition then starts after the rows of the partitions before
+    it. With ``order_by``, which should tell all rows apart, the rows are range-partitioned
+    and sorted first and the keys follow that order; without it no shuffle is added and the
+    keys follow no order.
     """
-    placed = written(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        name,
-    )
+    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
+    placed = written(ranged.withColumn("_place", F.monotonically_increasing_id()), name)
     part = F.shiftright("_place", POSITION_BITS).alias("_part")
+    # one row per partition, a number set by configuration
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(part)

@@ -237,19 +237,14 @@ def customer_profitability(
     transactions: DataFrame, costs: DataFrame, fact_accounts: DataFrame
 ) -> DataFrame:
     """Fee revenue less cost per customer; ``costs`` holds account_id and cost."""
-    zero = F.lit(0).cast("decimal(38,4)")
-    booked = transactions.select(
-        "account_id", fees().cast("decimal(38,4)").alias("revenue"), zero.alias("cost")
-    ).unionByName(
-        costs.select("account_id", zero.alias("revenue"), F.col("cost").cast("decimal(38,4)").alias("cost"))
-    )
-    sums = [F.sum(c).cast("decimal(38,4)").alias(c) for c in ("revenue", "cost")]
+    wide, zero = "decimal(38,4)", F.lit(0).cast("decimal(38,4)")
+    revenue = transactions.groupBy("account_id").agg(F.sum(fees()).cast(wide).alias("revenue"))
+    spent = costs.groupBy("account_id").agg(F.sum("cost").cast(wide).alias("cost"))
+    booked = revenue.withColumn("cost", zero).unionByName(spent.withColumn("revenue", zero))
     return (
-        booked.groupBy("account_id")
-        .agg(*sums)
-        .join(account_owners(fact_accounts), "account_id")
+        booked.join(account_owners(fact_accounts), "account_id")
         .groupBy("customer_id")
-        .agg(*sums)
+        .agg(*(F.sum(c).cast(wide).alias(c) for c in ("revenue", "cost")))
         .withColumn("profit", F.col("revenue") - F.col("cost"))
     )
 

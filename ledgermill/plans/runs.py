@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from ledgermill.functions.fixed_values import UNIQUE_KEYS
 from ledgermill.operators.accounts import clean_accounts
 from ledgermill.operators.audit import audited
 from ledgermill.operators.customers import clean_customers
@@ -55,8 +54,7 @@ def _finished(df: DataFrame, table: str, audit: tuple[str, str]) -> DataFrame:
     """Surrogate key, defaults and audit columns of a built table."""
     key = SURROGATE_KEYS[table]
     if key not in df.columns:
-        natural = UNIQUE_KEYS.get(table, [])
-        df = add_surrogate_key(df, key, [*natural, *(c for c in df.columns if c not in natural)])
+        df = add_surrogate_key(df, key)
     return add_audit_columns(add_defaults(df, table), *audit)
 
 

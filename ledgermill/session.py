@@ -41,9 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
-    The result survives the loss of executors, has a short lineage, and readers prune
-    its columns.
+    The result survives the loss of executors, has a short lineage, and readers prune its
+    columns. The tables of an application share one folder, which may be removed when the
+    application has ended.
     """
-    path = os.path.join(shared_folder(df.sparkSession), "tables", f"{name}-{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    table = f"{name}-{uuid.uuid4().hex}"
+    path = os.path.join(shared_folder(spark), "tables", spark.sparkContext.applicationId, table)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

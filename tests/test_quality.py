@@ -63,6 +63,13 @@ def test_surrogate_keys_are_dense_and_ordered(spark):
     assert out.exceptAll(out).count() == 0
 
 
+def test_surrogate_keys_without_order_are_dense(spark):
+    df = spark.range(5000).repartition(7)
+    out = add_surrogate_key(df, "row_key")
+    assert sorted(r.row_key for r in out.collect()) == list(range(1, 5001))
+    assert out.select("id").distinct().count() == 5000
+
+
 def test_surrogate_keys_of_an_empty_frame(spark):
     assert add_surrogate_key(spark.range(0), "row_key", ["id"]).count() == 0
 
