@@ -85,6 +85,10 @@ DATE_ORDER = {
     "card_issue_date": ["card_expiry_date", "card_replacement_date"],
 }
 
+CUSTOMER_FILE_MARK = "customers"
+CUSTOMER_PREFIX = "crm_"
+OTHER_PREFIX = "erp_"
+
 # column-name keyword -> target type, first hit wins
 TYPE_RULES = [
     (["amount", "balance", "price", "value"], "DECIMAL(15,2)"),

@@ -142,7 +142,7 @@ def explode_beneficiaries(df: DataFrame) -> DataFrame:
             {
                 "beneficiary_name": from_right(usable, 3),
                 "beneficiary_relationship": from_right(usable, 2),
-                "beneficiary_percentage": (percent.try_cast("decimal(10,4)") / 100).cast("decimal(5,2)"),
+                "beneficiary_percentage": (percent.try_cast("decimal(10,4)") / 100).try_cast("decimal(5,2)"),
             }
         )
         .drop("_beneficiary")

@@ -152,7 +152,7 @@ def build_dim_account_documents(stg: DataFrame) -> DataFrame:
     return stg.select(
         "account_id",
         *(F.col(c).alias(f"is_{c}") for c in papers),
-        score.cast("decimal(5,2)").alias("document_status_score"),
+        score.try_cast("decimal(5,2)").alias("document_status_score"),
     ).distinct()
 
 

@@ -201,9 +201,13 @@ def build_dim_documents(stg: DataFrame) -> DataFrame:
 
 
 def build_dim_customer_risks(stg: DataFrame) -> DataFrame:
-    """Risk flags and level; a missing score counts as HIGH."""
-    score = F.col("risk_score").cast("decimal(8,5)")
-    low, top = F.lit(RISK_MEDIUM_FROM).cast("decimal(8,5)"), F.lit(RISK_MEDIUM_TO).cast("decimal(8,5)")
+    """Risk flags and level; a missing score counts as HIGH.
+
+    The score is kept as delivered; the limit check reports scores that are too large.
+    """
+    score = F.col("risk_score")
+    low, top = (F.lit(bound).cast("decimal(8,5)") for bound in (RISK_MEDIUM_FROM, RISK_MEDIUM_TO))
+    level = F.when(score < low, "LOW").when(score <= top, "MEDIUM").otherwise("HIGH")
     return stg.select(
         "customer_id",
         "is_pep",
@@ -211,8 +215,8 @@ def build_dim_customer_risks(stg: DataFrame) -> DataFrame:
         "is_sanctioned_country",
         "is_director",
         "is_supervised_aml_cft",
-        score.alias("risk_score"),
-        F.when(score < low, "LOW").when(score <= top, "MEDIUM").otherwise("HIGH").alias("risk_level"),
+        "risk_score",
+        level.alias("risk_level"),
     ).distinct()
 
 

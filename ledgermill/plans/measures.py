@@ -73,6 +73,11 @@ def average(df: DataFrame, keys: list[str], value: Column, name: str) -> DataFra
     return sums.select(*keys, "known", quotient(F.col("total"), F.col("known")).alias(name))
 
 
+def product(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    """Product of two measured columns, row by row."""
+    return df.withColumn(name, number(F.col(left)) * number(F.col(right)))
+
+
 def count_if(condition: Column) -> Column:
     """1 where the condition holds, 0 otherwise; meant to be summed."""
     return F.when(condition, 1).otherwise(0)

@@ -16,6 +16,7 @@ from ledgermill.plans.measures import (
     number,
     percent,
     period_start,
+    product,
     quotient,
     ratio,
     running_total,
@@ -173,13 +174,13 @@ def customer_lifetime_value(
     )
     avg_revenue = quotient(F.col("revenue"), F.col("customers"))
     avg_years = quotient(F.col("days"), F.col("customers")) / DAYS_PER_YEAR
-    return per_type.select(
+    averages = per_type.select(
         "customer_type",
         "customers",
         avg_revenue.alias("avg_revenue"),
         avg_years.alias("avg_tenure_years"),
-        (avg_revenue * avg_years).alias("lifetime_value"),
     )
+    return product(averages, "avg_revenue", "avg_tenure_years", "lifetime_value")
 
 
 # --- products and portfolio -------------------------------------------------------------

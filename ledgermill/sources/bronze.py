@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.fixed_values import (
+    CUSTOMER_FILE_MARK,
+    CUSTOMER_PREFIX,
     METADATA_TYPES,
+    OTHER_PREFIX,
     TEXT_WIDTH_DEFAULT,
     TEXT_WIDTH_FACTOR,
     TEXT_WIDTH_MAX,
@@ -33,8 +38,14 @@ def read_bronze(spark: SparkSession, paths: list[str], source: str = "_source_fi
 def bronze_table_name(file: Column) -> Column:
     """Bronze table of a file: crm_ for customer files, erp_ for all others."""
     base = F.regexp_replace(F.regexp_replace(file, "^.*/", ""), "[.]parquet$", "")
-    prefix = F.when(base.contains("customers"), "crm_").otherwise("erp_")
-    return F.concat(prefix, base)
+    crm = base.contains(CUSTOMER_FILE_MARK)
+    return F.concat(F.when(crm, CUSTOMER_PREFIX).otherwise(OTHER_PREFIX), base)
+
+
+def bronze_table_of(path: str) -> str:
+    """The same for the path of one extract."""
+    base = os.path.basename(path.rstrip("/")).removesuffix(".parquet")
+    return (CUSTOMER_PREFIX if CUSTOMER_FILE_MARK in base else OTHER_PREFIX) + base
 
 
 def _canonical_text(df: DataFrame) -> Column:
@@ -70,14 +81,26 @@ def source_hash(df: DataFrame, source: str = "_source_file_url") -> DataFrame:
     )
 
 
+def _loaded_at() -> Column:
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+
+
 def add_ingest_metadata(df: DataFrame, source: str = "_source_file_url") -> DataFrame:
     """Adds load time in UTC and the content hash of the row's source."""
     hashes = written(source_hash(df, source), "source_hash").withColumnRenamed("source_hash", "_source_hash")
     tagged = spread_join(row_tag(df), hashes, source, "source", left_rows="rows")
-    return tagged.select(
-        *df.columns,
-        F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()).alias("_ingestion_timestamp"),
-        "_source_hash",
+    return tagged.select(*df.columns, _loaded_at().alias("_ingestion_timestamp"), "_source_hash")
+
+
+def tag_extract(df: DataFrame, path: str) -> DataFrame:
+    """The three metadata columns of a frame that is one extract; its hash needs no join."""
+    hashed = source_hash(df.withColumn("_source_file_url", F.lit(path)))
+    return df.withColumns(
+        {
+            "_source_file_url": F.lit(path),
+            "_ingestion_timestamp": _loaded_at(),
+            "_source_hash": hashed.select("source_hash").scalar(),
+        }
     )
 
 

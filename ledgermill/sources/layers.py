@@ -33,3 +33,11 @@ class Lake:
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
+
+    def publish(self, layer: str, tables: list[str]) -> None:
+        """Make tables of a layer readable in SQL as ``layer.table``."""
+        location = os.path.join(self.root, layer)
+        self.spark.sql(f"create database if not exists {layer} location '{location}'")
+        for table in tables:
+            self.spark.sql(f"drop table if exists {layer}.{table}")
+            self.spark.sql(f"create table {layer}.{table} using parquet location '{self.path(layer, table)}'")

@@ -3,6 +3,8 @@ import pytest
 from ledgermill.contract.inputs import banking_frame
 from ledgermill.functions.fixed_values import REQUIRED
 from ledgermill.operators.audit import audited
+from ledgermill.plans.checks import check_silver
+from ledgermill.plans.ingest import run_ingest
 from ledgermill.plans.runs import SURROGATE_KEYS, run_all
 from ledgermill.sources.layers import Lake
 
@@ -23,6 +25,15 @@ def test_whole_run_writes_every_table_and_logs_it(spark, tmp_path):
         assert keys == list(range(1, sizes[name] + 1)), name
     assert tables["dim_contacts"].first().is_opted_in_marketing == 0
 
+    lake.publish("silver", list(tables))
+    sql = "select count(*) from silver.fact_accounts a join silver.dim_account_type t using (account_type_id)"
+    assert spark.sql(sql).first()[0] == sizes["fact_accounts"]
+
+    found = check_silver({name: lake.read("silver", name) for name in tables})
+    rules = {(r.rule, r.table_name) for r in found.select("rule", "table_name").distinct().collect()}
+    assert ("UNIQUE", "dim_account_card_details") in rules and ("NOT_NULL", "dim_customer_profile") not in rules
+    assert not [t for rule, t in rules if rule in ("REFERENCE", "DOMAIN")]
+
     log = {r.procedure_name: r for r in lake.read("error_log", "etl_log").collect()}
     assert {r.status for r in log.values()} == {"SUCCESS"} and len(log) == 24
     for name, size in sizes.items():
@@ -43,6 +54,27 @@ def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
     assert row.batch_id and row.end_time >= row.start_time
 
 
+def test_extracts_become_bronze_tables(spark, tmp_path):
+    landing = tmp_path / "landing"
+    spark.range(4).selectExpr("id", "id > 1 as flag").write.parquet(str(landing / "customers_2023.parquet"))
+    spark.range(2).write.parquet(str(landing / "loans_2023.parquet"))
+    (landing / "broken_2023.parquet").write_text("this is no parquet file")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    paths = [str(landing / f"{n}_2023.parquet") for n in ("customers", "loans", "broken", "missing")]
+    out = {r.table_name: r for r in run_ingest(lake, paths).collect()}
+    assert {n: (r.status, r["rows"], r["columns"]) for n, r in out.items()} == {
+        "crm_customers_2023": ("LOADED", 4, 2),
+        "erp_loans_2023": ("LOADED", 2, 1),
+        "erp_broken_2023": ("FAILED", None, None),
+        "erp_missing_2023": ("FAILED", None, None),
+    }
+    assert out["erp_missing_2023"].error
+    loaded = lake.read("bronze", "crm_customers_2023")
+    assert dict(loaded.dtypes)["flag"] == "bigint"
+    row = loaded.select("_source_file_url", "_source_hash").distinct().collect()
+    assert len(row) == 1 and row[0]._source_file_url == paths[0] and len(row[0]._source_hash) == 32
+
+
 def test_layers_are_fixed(spark, tmp_path):
     with pytest.raises(ValueError):
         Lake(spark, str(tmp_path)).path("copper", "t")
