@@ -26,16 +26,21 @@ def build_session(app: str = "ledgermill", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
 
     Only a session without that setting (a local test) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="ledgermill-")
+    return _own_folders[application]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

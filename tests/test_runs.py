@@ -54,6 +54,14 @@ def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
     assert row.batch_id and row.end_time >= row.start_time
 
 
+def test_an_empty_table_is_logged_with_no_rows(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    empty = spark.createDataFrame([], "a int").where("a > 1")
+    assert audited(lake, "load_x", lambda: empty, lambda df: lake.write(df, "silver", "x")).count() == 0
+    row = lake.read("error_log", "etl_log").first()
+    assert (row.status, row.rows_processed) == ("SUCCESS", 0)
+
+
 def test_extracts_become_bronze_tables(spark, tmp_path):
     landing = tmp_path / "landing"
     spark.range(4).selectExpr("id", "id > 1 as flag").write.parquet(str(landing / "customers_2023.parquet"))
