@@ -50,7 +50,7 @@ def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
     with pytest.raises(RuntimeError):
         audited(lake, "load_x", lambda: spark.range(3), fail)
     row = lake.read("error_log", "etl_log").first()
-    assert (row.status, row.error_message, row.rows_processed) == ("FAILED", "disk is gone", None)
+    assert (row.status, row.error_message, row.rows_processed) == ("FAILED", "disk is gone", 0)
     assert row.batch_id and row.end_time >= row.start_time
 
 
