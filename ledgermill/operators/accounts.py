@@ -34,31 +34,40 @@ def add_duplicate_counts(df: DataFrame, slice_rows: int | None = None) -> DataFr
     """Adds account_number_count, account_id_count and card_number_count.
 
     Both account counters are taken per account number. The counts are combined before the
-    shuffle and joined back, so neither a shared number nor the missing card numbers gather
-    in one task. A missing number counts 0; its account ids are counted together.
+    shuffle, and only keys that occur more than once are joined back: where duplicates are
+    few, Spark broadcasts them and the accounts are not shuffled at all. A missing number
+    counts 0; its account ids are counted together.
     """
     tagged = _with_row(df)
-    by_number = tagged.groupBy("account_number").agg(
-        F.count("account_number").alias("account_number_count"),
-        F.count("account_id").alias("account_id_count"),
+    number, card = F.col("account_number"), F.col("card_number")
+    by_number = (
+        tagged.where(number.isNotNull())
+        .groupBy("account_number")
+        .agg(
+            F.count(F.lit(1)).alias("account_number_count"),
+            F.count("account_id").alias("account_id_count"),
+        )
     )
-    by_card = key_counts(tagged, F.col("card_number"), "card_number", "card_number_count")
-    numbered = by_number.where(F.col("account_number").isNotNull())
-    # one row: the account ids that carry no account number
-    unnumbered = tagged.where(F.col("account_number").isNull()).agg(F.count("account_id")).scalar()
+    by_card = key_counts(tagged, card, "card_number", "card_number_count")
     counted = tagged
     for counts, key, rows in (
-        (numbered, "account_number", "account_number_count"),
+        (by_number, "account_number", "account_number_count"),
         (by_card, "card_number", "card_number_count"),
     ):
-        counted = spread_join(
-            counted, written(counts, rows), key, key, left_rows=rows, slice_rows=slice_rows
-        )
+        repeated = written(counts.where(F.col(rows) > 1), rows)
+        counted = spread_join(counted, repeated, key, key, left_rows=rows, slice_rows=slice_rows)
+    # one row: the account ids that carry no account number
+    unnumbered = tagged.where(number.isNull()).agg(F.count("account_id")).scalar()
+    has_id = F.col("account_id").isNotNull().cast("long")
     return counted.withColumns(
         {
-            "account_number_count": F.coalesce("account_number_count", F.lit(0)),
-            "account_id_count": F.coalesce("account_id_count", unnumbered),
-            "card_number_count": F.coalesce("card_number_count", F.lit(0)),
+            "account_number_count": F.when(number.isNull(), 0).otherwise(
+                F.coalesce("account_number_count", F.lit(1))
+            ),
+            "account_id_count": F.when(number.isNull(), unnumbered).otherwise(
+                F.coalesce("account_id_count", has_id)
+            ),
+            "card_number_count": F.when(card.isNull(), 0).otherwise(F.coalesce("card_number_count", F.lit(1))),
         }
     ).select(*df.columns, "account_number_count", "account_id_count", "card_number_count")
 

@@ -55,28 +55,26 @@ def resolve_receiving_account(
     """Adds receiving_account_number.
 
     Account ids are looked up, other numbers are kept, and e-wallet payments have none. Only
-    rows that need the lookup carry a join key. An account id listed with several numbers
-    gives one row per entry.
+    rows that need the lookup take part in the join; all others pass by without a shuffle. An
+    account id listed with several numbers gives one row per entry.
     """
     given = F.col("receiving_account")
-    is_id = F.coalesce(F.upper(given).like(ACCOUNT_ID_PATTERN), F.lit(False))
+    needs_lookup = F.coalesce(F.upper(given).like(ACCOUNT_ID_PATTERN), F.lit(False)) & ~_is_ewallet()
     tagged = tx if "_row" in tx.columns else row_tag(tx)
     numbers = fact_accounts.select(
         norm(F.col("account_id")).alias("_account_id"), F.col("account_number").alias("_number")
     )
-    joined = spread_join(
-        tagged.withColumn("_lookup", F.when(is_id & ~_is_ewallet(), norm(given))),
+    looked_up = spread_join(
+        tagged.where(needs_lookup).withColumn("_lookup", norm(given)),
         numbers,
         "_lookup",
         "_account_id",
         slice_rows=slice_rows,
-    )
-    number = F.when(_is_ewallet(), "").otherwise(
-        F.coalesce(F.when(is_id, F.col("_number")).otherwise(given), F.lit(""))
-    )
-    return joined.withColumn("receiving_account_number", number).select(
-        *tx.columns, "receiving_account_number"
-    )
+    ).withColumn("receiving_account_number", F.coalesce("_number", F.lit("")))
+    kept = F.when(_is_ewallet(), "").otherwise(F.coalesce(given, F.lit("")))
+    passed = tagged.where(~needs_lookup).withColumn("receiving_account_number", kept)
+    columns = [*tx.columns, "receiving_account_number"]
+    return looked_up.select(*columns).unionByName(passed.select(*columns))
 
 
 def clean_receiving_bank(bank: Column) -> Column:
