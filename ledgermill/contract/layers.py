@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgermill.contract.inputs import banking_frame, table
 from ledgermill.operators.accounts import clean_accounts
@@ -15,9 +17,10 @@ from ledgermill.operators.keys import add_defaults
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_fact_accounts
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.transactions import build_fact_transactions, clean_transactions
-from ledgermill.session import written
+from ledgermill.session import write_shared
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+# (application, test folder, table) -> path and schema
+_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 BRONZE = {"bronze_customers": "fx_customers", "bronze_accounts": "fx_accounts", "bronze_transactions": "fx_transactions"}
 
@@ -31,9 +34,16 @@ class Layers:
 
     def __getitem__(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _written:
-            _written[key] = written(self.build(name), name)
-        return _written[key]
+        if key in _written:
+            path, schema = _written[key]
+            try:
+                return self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                # the folder was cleared in between
+                del _written[key]
+        built = self.build(name)
+        _written[key] = write_shared(built, name), built.schema
+        return self[name]
 
     def source(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)

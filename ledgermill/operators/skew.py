@@ -20,7 +20,8 @@ def row_tag(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows of a scan.
 
     Taken directly on a scan the number is stable when a task runs again, so it can pick a
-    slice for a row, identical copies included.
+    slice for a row, identical copies included. A frame that comes out of a shuffle should be
+    written first.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 

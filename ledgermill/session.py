@@ -43,15 +43,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[application]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back.
+def write_shared(df: DataFrame, name: str) -> str:
+    """Write a table of its own to the shared folder and return its path.
 
-    The result survives the loss of executors, has a short lineage, and readers prune its
-    columns. The tables of an application share one folder, which may be removed when the
-    application has ended.
+    The tables of an application share one folder, which may be removed when the application
+    has ended.
     """
     spark = df.sparkSession
     table = f"{name}-{uuid.uuid4().hex}"
     path = os.path.join(shared_folder(spark), "tables", spark.sparkContext.applicationId, table)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """An intermediate table, written to the shared folder and read back.
+
+    The result survives the loss of executors, has a short lineage, and readers prune its
+    columns.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, name))

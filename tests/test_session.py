@@ -29,3 +29,16 @@ def test_written_tables_read_back_unchanged(spark):
     again = session.written(df, "t")
     assert again.schema.simpleString() == df.schema.simpleString() and again.collect() == df.collect()
     assert session.written(df.where("a > 1"), "t").count() == 0
+
+
+def test_layers_are_written_once_and_rebuilt_when_cleared(spark, monkeypatch):
+    from ledgermill.contract import layers
+
+    monkeypatch.setattr(layers, "_written", {})
+    small = layers.Layers(spark, "/root/testdata/sf0.001")
+    rows = small["bronze_customers"].count()
+    ((key, (path, schema)),) = layers._written.items()
+    assert layers.Layers(spark, "/root/testdata/sf0.001")["bronze_customers"].count() == rows
+    assert layers._written[key][0] == path
+    layers._written[key] = (path + "-gone", schema)
+    assert small["bronze_customers"].count() == rows and layers._written[key][0] != path
