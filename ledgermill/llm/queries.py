@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import packing, token_store
+from ledgermill.llm import packing, secret_scan, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +25,30 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_store.encode_and_read_back(spark, docs, tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read_back(spark, _table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = simhash.fingerprints(_table(spark, sf_dir, "documents"))
+    found = simhash.near_duplicates(prints)
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op4_secrets": op4_secrets,
     "op6_token_store": op6_token_store,
+    "op8_warc_revisits": op8_warc_revisits,
+    "op9_simhash": op9_simhash,
 }
 ORACLES: dict[str, str] = {}
