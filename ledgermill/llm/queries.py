@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import packing, secret_scan, simhash, token_store, warc
+from ledgermill.llm import minhash, packing, secret_scan, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op3_fingerprint": op3_fingerprint,
     "op4_secrets": op4_secrets,
     "op6_token_store": op6_token_store,
     "op8_warc_revisits": op8_warc_revisits,
