@@ -12,7 +12,7 @@ import array
 import os
 import re
 
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 1_200_000
 # Marks that end a word. Such a mark never joins the letter or digit before it in one piece.
 MARKS = ".,;:!?|*&%$#)"
 _PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
