@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import minhash, packing, secret_scan, simhash, token_store, warc
+from ledgermill.llm import decontaminate, minhash, packing, secret_scan, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
@@ -49,6 +54,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
     "op3_fingerprint": op3_fingerprint,
     "op4_secrets": op4_secrets,
