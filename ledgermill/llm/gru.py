@@ -66,22 +66,30 @@ def backward(
     return d_inputs, d_weights
 
 
-class Adagrad:
-    """Step sizes from the sum of squares; rows of a table may be given alone."""
+def row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows and the sum of the values of each."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else rows
+    sums = np.add.reduceat(values[order], first, axis=0) if len(rows) else values
+    return rows[first], sums
 
-    def __init__(self, params: dict[str, np.ndarray], rate: float, clip: float = 1.0):
-        self.params, self.rate, self.clip = params, rate, clip
-        self.seen = {k: np.full(v.shape, 1e-3, dtype=np.float32) for k, v in params.items()}
+
+class Adam:
+    """Steps from running means of gradients and their squares; of a table only given rows move."""
+
+    def __init__(self, params: dict[str, np.ndarray], rate: float, first: float = 0.9, second: float = 0.99):
+        self.params, self.rate, self.first, self.second = params, rate, first, second
+        self.mean = {k: np.zeros_like(v) for k, v in params.items()}
+        self.square = {k: np.zeros_like(v) for k, v in params.items()}
+        self.steps = 0
 
     def step(self, grads: dict[str, np.ndarray | tuple[np.ndarray, np.ndarray]]) -> None:
+        self.steps += 1
+        rate = self.rate * (1 - self.second**self.steps) ** 0.5 / (1 - self.first**self.steps)
         for name, grad in grads.items():
-            if isinstance(grad, tuple):
-                rows, grad = grad
-                rows, place = np.unique(rows, return_inverse=True)
-                total = np.zeros((len(rows), *grad.shape[1:]), dtype=np.float32)
-                np.add.at(total, place, grad)
-            else:
-                rows, total = slice(None), grad
-            total = np.clip(total, -self.clip, self.clip)
-            self.seen[name][rows] += total * total
-            self.params[name][rows] -= self.rate * total / np.sqrt(self.seen[name][rows])
+            rows, grad = row_sums(*grad) if isinstance(grad, tuple) else (slice(None), grad)
+            mean = self.mean[name][rows] * self.first + grad * (1 - self.first)
+            square = self.square[name][rows] * self.second + grad * grad * (1 - self.second)
+            self.mean[name][rows], self.square[name][rows] = mean, square
+            self.params[name][rows] -= rate * mean / (np.sqrt(square) + 1e-8)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import decontaminate, minhash, packing, secret_scan, simhash, token_store, warc
+from ledgermill.llm import decontaminate, minhash, packing, recurrent_lm, secret_scan, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_store.encode_and_read_back(spark, docs, tokenizer_path("byte_bpe_50k.json"), end_id=0)
@@ -53,13 +57,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
     "op3_fingerprint": op3_fingerprint,
     "op4_secrets": op4_secrets,
+    "op5_lm_score": op5_lm_score,
     "op6_token_store": op6_token_store,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}

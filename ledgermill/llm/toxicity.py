@@ -3,8 +3,9 @@
 Each word enters as a word vector and the mean of the vectors of its character trigrams; words the
 network has not learned have the trigrams alone. The states of both directions over a window are
 pooled by attention, and the pooled state gives the logit of the window. A document is scored
-over all its windows, which overlap, and has the logit of its most toxic window. Training sees
-bags of windows in the same way: the gradient goes to the window with the largest logit.
+over all its windows, which overlap, and has the logit of its most toxic window. Training first
+takes every window of a document for its label; later the gradient goes to the window with the
+largest logit alone.
 
 The network is fitted on ``SAMPLE`` labelled documents of each class at most, in hash order of
 their ids, with ``SAMPLE_WINDOWS`` windows of each; it is small enough to be sent to every task.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,18 +34,21 @@ LEAST_DOCS = 8  # documents of the sample in which a word must be to get a vecto
 VOCABULARY = 20_000
 TRIGRAMS = 4096
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
-EPOCHS, RATE, BAGS, DROP_WORD = 8, 0.06, 48, 0.1
+EPOCHS, WHOLE_EPOCHS, RATE, BAGS, DROP_WORD = 6, 3, 0.01, 32, 0.2
 LANES = 512
 MEMORY_WORDS = 150_000
 SEED = 5
 WORD = re.compile(r"\w+")
 
 
+def window_starts(n_words: int) -> list[int]:
+    """Where the overlapping windows that cover all words begin; no words: one empty window."""
+    last = max(0, n_words - WINDOW)
+    return [*range(0, last, STRIDE), last]
+
+
 def windows_of(words: list) -> list[list]:
-    """Overlapping windows that cover all words; no words: one empty window."""
-    last = max(0, len(words) - WINDOW)
-    starts = list(range(0, last, STRIDE)) + [last]
-    return [words[s : s + WINDOW] for s in starts]
+    return [words[s : s + WINDOW] for s in window_starts(len(words))]
 
 
 def trigram_means(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -95,11 +100,16 @@ class Network:
         vectors = np.concatenate([p["word"][rows], trigram_means(words, p["char"])[0]], axis=1)
         return vectors @ p["project"] + p["project_bias"]
 
-    def pool(self, projected: np.ndarray, lengths: np.ndarray, tape: bool = False):
-        """Logits of windows from inputs (steps, lanes, 6 * HIDDEN), padded at their ends."""
-        p, (steps, lanes) = self.params, projected.shape[:2]
-        halves = projected.reshape(steps, lanes, 2, 3 * HIDDEN)
-        inputs = np.stack([halves[:, :, 0], halves[::-1, :, 1]], axis=1)
+    def inputs(self, table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Inputs of both directions, (steps, 2, lanes, gates), from rows of a table."""
+        out = np.empty((len(ids), 2, ids.shape[1], 3 * HIDDEN), dtype=np.float32)
+        np.take(table[:, : 3 * HIDDEN], ids, axis=0, out=out[:, 0], mode="clip")
+        np.take(table[:, 3 * HIDDEN :], ids[::-1], axis=0, out=out[:, 1], mode="clip")
+        return out
+
+    def pool(self, inputs: np.ndarray, lengths: np.ndarray, tape: bool = False):
+        """Logits of windows from their inputs; windows are padded at their ends."""
+        p, (steps, _, lanes, _) = self.params, inputs.shape
         valid = np.arange(steps)[:, None] < lengths
         # The way back starts in the padding; its state stays zero until the last word.
         keep = None
@@ -136,7 +146,7 @@ class Network:
             "attend_bias": d_inner.sum(axis=(0, 1)),
             "recur": d_recur,
         }
-        return grads, np.concatenate([d_inputs[:, 0], d_inputs[::-1, 1]], axis=-1)
+        return grads, d_inputs
 
 
 def _padded(windows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,8 +178,8 @@ def train(bags: list[list[list[str]]], labels: np.ndarray, odds: float) -> Netwo
         _, (owner, grams, gram_counts) = trigram_means(every, p["char"])
         bounds = np.searchsorted(owner, np.arange(len(every) + 1))
     numbered = [[[place[w] for w in window] for window in bag] for bag in bags]
-    learner = gru.Adagrad(p, RATE)
-    for _ in range(EPOCHS if every else 0):
+    learner = gru.Adam(p, RATE)
+    for epoch in range(EPOCHS if every else 0):
         order = rng.permutation(len(bags))
         for first in range(0, len(order), BAGS):
             chosen = order[first : first + BAGS]
@@ -180,24 +190,30 @@ def train(bags: list[list[list[str]]], labels: np.ndarray, odds: float) -> Netwo
             back = back.reshape(ids.shape)
             spans = np.concatenate([np.arange(bounds[u], bounds[u + 1]) for u in used])
             inner = np.repeat(np.arange(len(used)), bounds[used + 1] - bounds[used])
-            means = np.zeros((len(used), CHAR_SIZE), dtype=np.float32)
-            np.add.at(means, inner, p["char"][grams[spans]])
-            means /= gram_counts[used][:, None]
+            starts = np.cumsum(gram_counts[used]) - gram_counts[used]
+            means = np.add.reduceat(p["char"][grams[spans]], starts, axis=0) / gram_counts[used][:, None]
+            means = means.astype(np.float32)
             # Some known words come as unknown ones, so that the trigrams learn them too.
             word_rows = np.where(rng.random(len(used)) < DROP_WORD, 0, rows[used])
             vectors = np.concatenate([p["word"][word_rows], means], axis=1)
-            projected = (vectors @ p["project"] + p["project_bias"])[back]
-            logits, saved = network.pool(projected, lengths, tape=True)
-            # The most toxic window of each bag speaks for it.
-            top = np.full(len(chosen), -1)
-            for k in np.argsort(logits, kind="stable"):
-                top[owner_bag[k]] = k
-            d_logits = np.zeros_like(logits)
-            d_logits[top] = (gru.sigmoid(logits[top]) - labels[chosen]) / len(chosen)
-            grads, d_projected = network.gradients(d_logits, saved)
-            flat = np.zeros((len(used), projected.shape[-1]), dtype=np.float32)
+            projected = (vectors @ p["project"] + p["project_bias"]).astype(np.float32)
+            logits, saved = network.pool(network.inputs(projected, back), lengths, tape=True)
+            d_logits = (gru.sigmoid(logits) - labels[chosen][owner_bag]) / len(logits)
+            if epoch >= WHOLE_EPOCHS:
+                # From here on the most toxic window of a bag speaks for it.
+                top = np.full(len(chosen), -1)
+                top[owner_bag[np.argsort(logits, kind="stable")]] = np.argsort(logits, kind="stable")
+                rest = np.ones(len(logits), dtype=bool)
+                rest[top] = False
+                d_logits *= len(logits) / len(chosen)
+                d_logits[rest] = 0
+            d_logits = d_logits.astype(np.float32)
+            grads, d_inputs = network.gradients(d_logits, saved)
             live = np.arange(len(ids))[:, None] < lengths
-            np.add.at(flat, back[live], d_projected[live])
+            flat = np.zeros((len(used), 6 * HIDDEN), dtype=np.float32)
+            for side, (places, alive) in enumerate(((back, live), (back[::-1], live[::-1]))):
+                words, sums = gru.row_sums(places[alive], d_inputs[:, side][alive])
+                flat[words, 3 * HIDDEN * side : 3 * HIDDEN * (side + 1)] = sums
             d_vectors = flat @ p["project"].T
             grads["project"], grads["project_bias"] = vectors.T @ flat, flat.sum(axis=0)
             grads["word"] = (word_rows[word_rows > 0], d_vectors[word_rows > 0, :WORD_SIZE])
@@ -220,32 +236,33 @@ class Scorer:
         self.place: dict[str, int] = {}
         self.table = np.zeros((0, 6 * HIDDEN), dtype=np.float32)
 
-    def _numbers(self, texts: list[list[str]]) -> list[list[int]]:
+    def scores(self, texts: list[str]) -> np.ndarray:
+        words = [WORD.findall(text.lower()) for text in texts]
         if len(self.place) > MEMORY_WORDS:
             self._clear()
-        fresh = list(set().union(*texts).difference(self.place)) if texts else []
+        fresh = list(set().union(*words).difference(self.place)) if words else []
         if fresh:
-            for word in fresh:
-                self.place[word] = len(self.place)
+            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
             self.table = np.concatenate([self.table, self.network.table(fresh).astype(np.float32)])
         number = self.place.__getitem__
-        return [list(map(number, words)) for words in texts]
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        numbered = self._numbers([WORD.findall(text.lower()) for text in texts])
-        windows, owner = [], []
-        for k, numbers in enumerate(numbered):
-            found = windows_of(numbers)
-            windows += found
-            owner += [k] * len(found)
-        lengths, owner = np.array([len(w) for w in windows]), np.array(owner)
+        flat = np.fromiter(map(number, chain.from_iterable(words)), dtype=np.int64, count=sum(map(len, words)))
+        starts = [window_starts(len(ws)) for ws in words]
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
+        counts = np.array([len(ws) for ws in words], dtype=np.int64)
+        starts = np.concatenate([np.array(s, dtype=np.int64) for s in starts]) if texts else np.zeros(0, dtype=np.int64)
+        lengths = np.minimum(WINDOW, counts[owner] - starts)
+        starts = starts + (np.cumsum(counts) - counts)[owner]
         top = np.full(len(texts), -np.inf)
         order = np.argsort(lengths, kind="stable")
         for first in range(0, len(order), LANES):
             chosen = order[first : first + LANES]
-            ids, sizes = _padded([windows[k] for k in chosen])
-            inputs = self.table[ids] if len(self.table) else np.zeros((*ids.shape, 6 * HIDDEN), dtype=np.float32)
-            np.maximum.at(top, owner[chosen], self.network.pool(inputs, sizes))
+            steps = np.arange(max(1, lengths[chosen[-1]]))[:, None]
+            if len(flat):
+                ids = flat[np.minimum(starts[chosen] + steps, len(flat) - 1)]
+                inputs = self.network.inputs(self.table, ids)
+            else:
+                inputs = np.zeros((len(steps), 2, len(chosen), 3 * HIDDEN), dtype=np.float32)
+            np.maximum.at(top, owner[chosen], self.network.pool(inputs, lengths[chosen]))
         return gru.sigmoid(top + self.network.shift)
 
 
