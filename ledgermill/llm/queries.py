@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import decontaminate, minhash, packing, recurrent_lm, secret_scan, simhash, token_store, toxicity, warc
+from ledgermill.llm import decontaminate, minhash, packing, recurrent_lm, repeated_spans, secret_scan, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read_back(spark, docs, tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.write_and_read_back(spark, _table(spark, sf_dir, "pages"), least_bytes=0)
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_lm_score": op5_lm_score,
     "op6_token_store": op6_token_store,
+    "op7_repeated_spans": op7_repeated_spans,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
