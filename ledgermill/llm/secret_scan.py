@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgermill.llm.common import id_and_text, slices
+from ledgermill.llm.common import id_and_text, ship_package, slices
 
 # The base patterns, their least lengths, and the order of kinds.
 ASSIGN = re.compile(
@@ -231,18 +231,28 @@ def redact(text: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows and columns, with secrets in the text replaced; a null text stays null."""
-    from ledgermill.llm.common import ship_package
+def redact_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """All rows and columns, with secrets in the text replaced; a null text stays null.
 
+    A column of text lengths, where there is one, follows a text that changed.
+    """
     ship_package(docs.sparkSession)
     place = docs.columns.index(text_col)
+    length = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = [None if t is None else redact(t) for t in batch.column(place).to_pylist()]
-            columns = list(batch.columns)
-            columns[place] = pa.array(clean, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            for part in slices(batch, batch.schema.names[place]):
+                texts = part.column(place).to_pylist()
+                clean = [None if t is None else redact(t) for t in texts]
+                columns = list(part.columns)
+                columns[place] = pa.array(clean, part.schema.field(place).type)
+                if length is not None:
+                    sizes = [
+                        n if old == new else len(new)
+                        for n, old, new in zip(part.column(length).to_pylist(), texts, clean, strict=True)
+                    ]
+                    columns[length] = pa.array(sizes, part.schema.field(length).type)
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

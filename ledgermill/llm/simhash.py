@@ -32,17 +32,22 @@ DISTANCE = 3
 BLOCK = 2048
 
 
-def text_fingerprint(text: bytes, words_in_shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of UTF-8 bytes; no words: zero."""
+def shingle_hashes(text: bytes, words_in_shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each shingle of UTF-8 bytes, repeats included; fewer words are one shingle."""
     words = text.lower().split()
-    if not words:
-        return 0
     if len(words) <= words_in_shingle:
-        shingles = [b" ".join(words)]
+        shingles = [b" ".join(words)] if words else []
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(words_in_shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+    return np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+
+
+def text_fingerprint(text: bytes, words_in_shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of UTF-8 bytes; no words: zero."""
+    hashes = shingle_hashes(text, words_in_shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, dtype=np.int64)
     for first in range(0, len(hashes), 65536):  # a bounded table of bits, however long the text
         part = hashes[first : first + 65536]
@@ -53,17 +58,20 @@ def text_fingerprint(text: bytes, words_in_shingle: int = SHINGLE) -> int:
 def fingerprints(
     docs: DataFrame, words_in_shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of each row as a signed long. Null text counts as empty."""
+    """``doc_id, text_hash, fp``: the fingerprint of each row as a signed long. Null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [text_fingerprint(text, words_in_shingle) for text in part.column(1).to_pylist()]
+                found = [text_fingerprint(text, words_in_shingle) for text in part.column(2).to_pylist()]
                 signed = np.array(found, dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(signed)], names=["doc_id", "text_hash", "fp"]
+                )
 
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_text(docs, id_col, text_col)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _variants(fps: DataFrame, distance: int) -> DataFrame:
@@ -92,9 +100,14 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _forest(fps: np.ndarray, others: np.ndarray | None, distance: int) -> list[tuple[int, int]]:
     """Links of a spanning forest among ``fps``, or between them and ``others``."""
     nodes = fps if others is None else np.concatenate([fps, others])
+    near = range(len(fps))
+    if others is None and len(fps) <= 128:
+        # Most small buckets hold no link at all: one table of distances tells.
+        table = _differing(fps[:, None], fps[None, :]) <= distance
+        near = np.flatnonzero(table.sum(axis=1) > 1).tolist()
     tree = np.arange(len(nodes))
     out = []
-    for k in range(len(fps)):
+    for k in near:
         first = k + 1 if others is None else len(fps)
         hits = first + np.flatnonzero(_differing(nodes[first:], nodes[k]) <= distance)
         hits = hits[tree[hits] != tree[k]]
@@ -211,30 +224,106 @@ def _block_pairs(members: DataFrame, distance: int) -> DataFrame:
     return cells.groupBy("key", "low", "high").applyInArrow(cell, "a long, b long")
 
 
-def near_duplicates(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``doc_id, fp, component_id`` from ``doc_id, fp``: the smallest id reachable over links.
+def _alike(links: DataFrame, smallest: DataFrame, docs: DataFrame, words_in_shingle: int, least: float) -> DataFrame:
+    """The links (a, b) whose documents share ``least`` of their distinct shingles (Jaccard).
 
-    Rows with equal fingerprints share a component. A row without an id belongs to the component
-    of its fingerprint, which is null if no row of it has an id. Ids are not names of fingerprints:
-    repeated ids with different texts link nothing by themselves.
+    A fingerprint is spoken for by its document with the smallest id; only documents with links
+    send their shingles, as hashes.
     """
-    prints = written(prints.select("doc_id", "fp"), "fingerprints")
+    ends = links.selectExpr("a as fp").union(links.selectExpr("b as fp")).distinct()
+    named = smallest.join(ends, "fp").select(F.col("fp").alias("e_fp"), F.col("least_id").alias("e_id"))
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = rows.join(named, F.expr("doc_id <=> e_id")).select("e_fp", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                fps, hashes = part.column(0).to_pylist(), []
+                for fp, text in zip(fps, part.column(1).to_pylist(), strict=True):
+                    # Of rows with one id only that with the fingerprint speaks for it.
+                    mine = np.array([text_fingerprint(text, words_in_shingle)], dtype=np.uint64).view(np.int64)[0] == fp
+                    hashes.append(np.unique(shingle_hashes(text, words_in_shingle)).view(np.int64) if mine else None)
+                out = pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["e_fp", "shingles"]
+                )
+                yield out.filter(out.column(1).is_valid())
+
+    sets = rows.mapInArrow(run, "e_fp long, shingles array<long>").groupBy("e_fp").agg(F.first("shingles").alias("shingles"))
+    sets = written(sets, "linked-shingles")
+    left = sets.select(F.col("e_fp").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("e_fp").alias("b"), F.col("shingles").alias("right"))
+    both = links.join(left, "a").join(right, "b")
+    shared = F.size(F.array_intersect("left", "right"))
+    return both.where(shared >= least * (F.size("left") + F.size("right") - shared)).select("a", "b")
+
+
+def _classes(
+    prints: DataFrame, distance: int, docs: DataFrame | None = None, words_in_shingle: int = SHINGLE, similarity: float = 0.0
+) -> DataFrame:
+    """``fp, least_id, class``: the class of each distinct fingerprint, by links of the given kind."""
     smallest = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
     buckets = _variants(smallest.select("fp"), distance).repartition("key").sortWithinPartitions("key", "fp")
     found = written(_bucket_links(buckets, distance), "bucket-links")
     links = found.where("block < 0").select("a", "b")
     members = found.where("block >= 0")
     links = written(links.distinct(), "links").union(_block_pairs(members, distance))
-    linked = connected_components(links).withColumnRenamed("node", "fp")
-    linked = written(linked, "linked-fingerprints")
-    classes = smallest.join(linked, "fp", "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("class")
-    )
+    if similarity > 0:
+        links = _alike(written(links.distinct(), "candidate-links"), smallest, docs, words_in_shingle, similarity)
+    linked = written(connected_components(links).withColumnRenamed("node", "fp"), "linked-fingerprints")
+    classes = smallest.join(linked, "fp", "left").select("fp", "least_id", F.coalesce("component", "fp").alias("class"))
+    return written(classes, "fingerprint-classes")
+
+
+def near_duplicates(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``doc_id, fp, component_id`` from ``doc_id, fp``: the smallest id reachable over links.
+
+    Rows with equal fingerprints share a component. A row without an id belongs to the component
+    of its fingerprint, which is null if no row of it has an id. Ids are not names of fingerprints:
+    repeated ids with different texts link nothing by themselves.
+    """
+    prints = written(prints.select("doc_id", "fp"), "fingerprints")
+    classes = _classes(prints, distance)
     # A class is named by its smallest document, so classes are combined before names go back.
     names = written(classes.groupBy("class").agg(F.min("least_id").alias("component_id")), "class-names")
-    by_fp = written(classes.select("fp", "class").join(names, "class").select("fp", "component_id"), "fingerprint-classes")
+    by_fp = written(classes.join(names, "class").select("fp", "component_id"), "fingerprint-names")
     return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(column: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
+
+
+def without_near_copies(
+    docs: DataFrame,
+    words_in_shingle: int = 5,
+    distance: int = 9,
+    similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """All columns of one row for each group of near copies: the smallest id, null last.
+
+    Two texts are near copies if their fingerprints over five-word shingles differ in few bits and
+    they share ``similarity`` of their shingles. Null and empty texts are one group. Of rows with
+    equal id and text one stays, whichever.
+    """
+    rows = id_and_text(docs, id_col, text_col)
+    prints = written(fingerprints(docs, words_in_shingle, id_col, text_col), "stage-fingerprints")
+    classes = _classes(prints, distance, rows, words_in_shingle, similarity)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    keepers = prints.join(classes.select("fp", "class"), "fp").groupBy("class").agg(F.min(order).alias("first"))
+    keepers = keepers.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
+    # How many rows share the id and text of the one that stays: nearly always one.
+    equal = prints.groupBy(F.col("doc_id").alias("e_id"), F.col("text_hash").alias("e_hash")).agg(F.count("*").alias("rows"))
+    keepers = keepers.join(equal, F.expr("keep_id <=> e_id and keep_hash = e_hash")).drop("e_id", "e_hash")
+    keepers = written(keepers, "kept-rows")
+    names = docs.columns
+    inner = [f"c{k}" for k in range(len(names))]
+    base = docs.toDF(*inner)
+    key, text = F.col(inner[names.index(id_col)]), F.col(inner[names.index(text_col)])
+    same = key.cast("long").eqNullSafe(F.col("keep_id")) & (
+        F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))) == F.col("keep_hash")
+    )
+    once = base.join(keepers.where("rows = 1"), same, "left_semi")
+    many = base.join(keepers.where("rows > 1"), same).dropDuplicates(["keep_id", "keep_hash"]).select(*inner)
+    return once.unionByName(many).toDF(*names)

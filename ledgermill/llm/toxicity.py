@@ -34,7 +34,7 @@ LEAST_DOCS = 8  # documents of the sample in which a word must be to get a vecto
 VOCABULARY = 20_000
 TRIGRAMS = 4096
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
-EPOCHS, WHOLE_EPOCHS, RATE, BAGS, DROP_WORD = 6, 3, 0.01, 32, 0.2
+EPOCHS, LEAST_STEPS, RATE, BAGS, DROP_WORD = 6, 400, 0.01, 32, 0.2
 LANES = 512
 MEMORY_WORDS = 150_000
 SEED = 5
@@ -179,7 +179,9 @@ def train(bags: list[list[list[str]]], labels: np.ndarray, odds: float) -> Netwo
         bounds = np.searchsorted(owner, np.arange(len(every) + 1))
     numbered = [[[place[w] for w in window] for window in bag] for bag in bags]
     learner = gru.Adam(p, RATE)
-    for epoch in range(EPOCHS if every else 0):
+    # A small sample is read more often, so that the network takes enough steps.
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(bags) // BAGS)))) if every else 0
+    for epoch in range(epochs):
         order = rng.permutation(len(bags))
         for first in range(0, len(order), BAGS):
             chosen = order[first : first + BAGS]
@@ -199,7 +201,7 @@ def train(bags: list[list[list[str]]], labels: np.ndarray, odds: float) -> Netwo
             projected = (vectors @ p["project"] + p["project_bias"]).astype(np.float32)
             logits, saved = network.pool(network.inputs(projected, back), lengths, tape=True)
             d_logits = (gru.sigmoid(logits) - labels[chosen][owner_bag]) / len(logits)
-            if epoch >= WHOLE_EPOCHS:
+            if 2 * epoch >= epochs:
                 # From here on the most toxic window of a bag speaks for it.
                 top = np.full(len(chosen), -1)
                 top[owner_bag[np.argsort(logits, kind="stable")]] = np.argsort(logits, kind="stable")
