@@ -18,7 +18,7 @@ CUSTOMER_COLUMNS = {
     "customer_type": "case when c_custkey % 5 = 0 then 'company' else 'individual' end",
     "full_name": "concat(' ', c_name)",
     "birth_date": "date '1940-01-01' + cast((c_custkey * 37) % 25000 + case when c_custkey % 11 = 0 then 36525 when c_custkey % 13 = 0 then -36525 else 0 end as int)",
-    "date_of_entry": "date '2018-01-01' + cast((c_custkey * 7) % 2500 as int)",
+    "date_of_entry": "case when c_custkey % 41 = 0 then null else date '2018-01-01' + cast((c_custkey * 7) % 2500 as int) end",
     "citizenship": "case when c_custkey % 3 = 0 then 'ZA' else 'GB' end",
     "nationality": "case when c_custkey % 6 = 0 then 'South Africa' else 'United Kingdom' end",
     "residential_address": "case c_custkey % 6 when 0 then concat(cast(c_custkey as string), ' Main Rd, City', cast(c_nationkey as string), ', Gauteng, South Africa') when 1 then concat(cast(c_custkey as string), ' Oak St, City', cast(c_nationkey as string), ', Western Cape') when 2 then 'Durban, KwaZulu-Natal' when 3 then concat('Flat ', cast(c_custkey as string), ', 1 High St, Leeds, Yorkshire, United Kingdom') when 4 then concat(cast(c_custkey as string), ' Elm Ave, Paris, Ile') end",

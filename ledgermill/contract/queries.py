@@ -18,23 +18,22 @@ from ledgermill.functions.dates import time_text
 from ledgermill.functions.fixed_values import DOMAINS
 from ledgermill.functions.text import json_fields, norm, yes_flag
 from ledgermill.operators import accounts, customers, quality, transactions
-from ledgermill.operators.audit import audited
+from ledgermill.operators.audit import audited, run_log
 from ledgermill.operators.keys import add_surrogate_key
 from ledgermill.operators.skew import row_tag, spread_join
-from ledgermill.operators.star_accounts import ACCOUNT_TABLES
+from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
 from ledgermill.plans import checks, metrics, reports
 from ledgermill.plans.ingest import run_ingest
-from ledgermill.plans.runs import SURROGATE_KEYS, run_all
+from ledgermill.plans.runs import SURROGATE_KEYS, run_all, run_transactions
 from ledgermill.session import shared_folder
 from ledgermill.sources import bronze
 from ledgermill.sources.layers import Lake
-from ledgermill.sources.schemas import ACCOUNTS
+from ledgermill.sources.schemas import ACCOUNTS, TRANSACTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-YEARS = range(1995, 2002)
 AS_OF = "2026-01-01"
 LOAN_DATE = "2000-06-30"
 
@@ -79,6 +78,11 @@ def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _years(orders: DataFrame) -> list[int]:
+    """The calendar years there are: one extract each."""
+    return [row.year for row in orders.select(F.year("o_orderdate").alias("year")).distinct().orderBy("year").collect()]
+
+
 def _second_load(orders: DataFrame) -> DataFrame:
     """A later load: 1995 is gone and the prices of 1997 changed."""
     year = F.year("o_orderdate")
@@ -110,9 +114,10 @@ def _full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly extracts as folders of files, loaded as bronze tables."""
     lake, orders = _lake(spark), yearly_orders(spark, sf_dir).drop("_source_file_url")
-    landing = [os.path.join(lake.root, "landing", f"orders_{y}.parquet") for y in YEARS]
-    for path, year in zip(landing, YEARS):
-        orders.where(F.year("o_orderdate") == year).write.parquet(path)
+    landing = []
+    for year in _years(orders):
+        landing.append(os.path.join(lake.root, "landing", f"orders_{year}.parquet"))
+        orders.where(F.year("o_orderdate") == year).write.parquet(landing[-1])
     done = run_ingest(lake, landing)
     return done.select("table_name", "status", "rows", "columns")
 
@@ -160,7 +165,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _union_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = yearly_orders(spark, sf_dir).drop("_source_file_url")
-    frames = {f"orders_{y}": orders.where(F.year("o_orderdate") == y) for y in YEARS}
+    frames = {f"orders_{y}": orders.where(F.year("o_orderdate") == y) for y in _years(orders)}
     return union_tagged(frames)
 
 
@@ -173,7 +178,7 @@ def _union_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("account_tier", "iban")
         .withColumn("expected_amount", F.col("expected_amount").cast("string"))
     )
-    late = rows.where(year >= 2022)
+    late = rows.where(F.coalesce(year >= 2022, F.lit(True)))
     joined = union_conformed([early, late], ACCOUNTS)
     return _select(joined, "account_id customer_id opening_date expected_amount account_tier iban is_primary_account")
 
@@ -255,6 +260,79 @@ def _dq_fk(t: Layers) -> DataFrame:
     return checks.together([*checks.reference(t), unknown])
 
 
+def _text_transactions(t: Layers) -> DataFrame:
+    """Transactions as some sources deliver them: everything as text, some of it out of range."""
+    rows = t["bronze_transactions"]
+    tail = F.substring(F.col("transaction_id"), -1, 1)
+    return rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns)).withColumns(
+        {
+            "transaction_fee": F.when(tail == "7", "1500.00").otherwise(F.col("transaction_fee")),
+            "amount": F.when((tail == "6") & (F.col("amount").cast("double") != 0), "99999999999999.00")
+            .when(tail == "5", "")
+            .otherwise(F.col("amount")),
+            "transaction_date": F.when(tail == "4", "31/12/1997").otherwise(F.col("transaction_date")),
+        }
+    )
+
+
+def _dq_cast_loss(t: Layers) -> DataFrame:
+    """Values lost to a cast, and for each transaction that stays what became of its amount."""
+    delivered = _text_transactions(t)
+    lost = quality.check_casts(delivered, "bronze_transactions", "transaction_id", TRANSACTIONS)
+    staged = transactions.clean_transactions(delivered, t["fact_accounts"])
+    facts = transactions.build_fact_transactions(staged)
+    kept = facts.groupBy(
+        F.lit("KEPT").alias("rule"),
+        F.lit("fact_transactions").alias("table_name"),
+        F.col("transaction_id").alias("key"),
+        F.when(F.col("transaction_amount").isNull(), "no amount").otherwise("amount").alias("detail"),
+    ).count()
+    return lost.unionByName(kept.drop("count"))
+
+
+def _ingest_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction files to bronze tables to facts; the time of day is that of the files."""
+    t, lake = Layers(spark, sf_dir), _lake(spark)
+    rows = t["bronze_transactions"]
+    names = ["erp_transactions_early", "erp_transactions_late"]
+    # one extract delivers a time, the other a full timestamp
+    full = F.concat(F.col("transaction_date").cast("string"), F.lit(" "), F.col("transaction_time"))
+    early = F.col("transaction_date") < "1997-01-01"
+    frames = [rows.where(early), rows.where(~early).withColumn("transaction_time", full)]
+    landing = [os.path.join(lake.root, "landing", f"{n.removeprefix('erp_')}.parquet") for n in names]
+    for frame, path in zip(frames, landing):
+        frame.write.parquet(path)
+    run_ingest(lake, landing)
+    tables = run_transactions(lake, [lake.read("bronze", n) for n in names], t["fact_accounts"])
+    return _select(
+        tables["fact_transactions"], "transaction_id transaction_date transaction_time transaction_amount transaction_fee"
+    )
+
+
+def _new_account_types(t: Layers) -> DataFrame:
+    """A second load meets types it knows, which keep their numbers, and new ones."""
+    stg = t["stg_accounts"]
+    known = build_dim_account_type(stg.where(F.col("account_type") > "D"))
+    return known.unionByName(build_dim_account_type(stg, known))
+
+
+def _skewed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers of order lines where one key holds a third of all rows and a third has none."""
+    third = F.col("l_orderkey") % 3
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(third == 0, F.lit(1)).when(third == 1, F.col("l_suppkey")).alias("supplier")
+    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return spread_join(row_tag(lines), suppliers, "supplier", "s_suppkey", slice_rows=100).drop("_row")
+
+
+def _two_current(t: Layers) -> DataFrame:
+    """Addresses where every tenth customer kept an old one that was not closed."""
+    rows = t["dim_addresses"]
+    left_open = rows.where(F.col("customer_id").endswith("0")).withColumn("street_name", F.lit("OLD ROAD"))
+    return rows.unionByName(left_open)
+
+
 def _dq_limits(t: Layers) -> DataFrame:
     tight = quality.check_limits(
         t["fact_customers"], "tight_customers", "customer_id", {"age_group": 10}, {"fixed_age_at_opening": (2, 0)}
@@ -276,8 +354,24 @@ def _lake(spark: SparkSession) -> Lake:
 def _etl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark)
     step = Layers(spark, sf_dir)
-    audited(lake, "clean_customers", lambda: step.build("stg_customers"), lambda df: lake.write(df, "staging", "customers"))
-    return _select(lake.read("error_log", "etl_log"), "procedure_name status rows_processed error_message")
+    batch = uuid.uuid4().hex
+
+    def store(df: DataFrame) -> DataFrame:
+        return lake.write(df, "staging", "customers")
+
+    audited(lake, "clean_customers", lambda: step.build("stg_customers"), store, batch)
+    unreadable = F.raise_error(F.lit("unreadable extract")).cast("string")
+    try:
+        audited(lake, "clean_broken", lambda: step["bronze_customers"].select(unreadable.alias("c")), store, batch)
+    except Exception:  # noqa: BLE001 - the log is the result
+        pass
+    log = run_log(lake)
+    told = F.when(F.col("error_message").contains("unreadable extract"), "unreadable extract")
+    return log.groupBy("procedure_name", "status", "rows_processed", told.alias("error_message")).agg(
+        F.countDistinct("batch_id").alias("batches"),
+        F.count("log_date").alias("dated"),
+        F.count("end_time").alias("ended"),
+    )
 
 
 def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,7 +508,11 @@ QUERIES: dict[str, Query] = {
     "dq_domain": _on_layers(_dq_domain),
     "dq_unique": _on_layers(lambda t: checks.together(checks.unique(t))),
     "dq_fk": _on_layers(_dq_fk),
-    "dq_current_address": _on_layers(lambda t: quality.check_current_address(t["dim_addresses"])),
+    "dq_current_address": _on_layers(lambda t: quality.check_current_address(_two_current(t))),
+    "dq_cast_loss": _on_layers(_dq_cast_loss),
+    "ingest_to_fact_transactions": lambda s, d: comparable(_ingest_to_facts(s, d)),
+    "new_account_types": _on_layers(_new_account_types),
+    "skewed_lookup": lambda s, d: comparable(_skewed_lookup(s, d)),
     "dq_limits": _on_layers(_dq_limits),
     "dq_summary": _on_layers(lambda t: quality.quality_summary(t["stg_customers"], t["stg_accounts"])),
     "surrogate_keys": _on_layers(_surrogate_keys),

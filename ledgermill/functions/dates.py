@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgermill.functions.fixed_values import MAX_CUSTOMER_AGE
+from ledgermill.functions.fixed_values import MAX_CUSTOMER_AGE, TIME_ONLY_DAY
 
 
 def year_gap(earlier: Column, later: Column) -> Column:
@@ -21,9 +21,15 @@ def fix_birth_date(birth: Column, entry: Column) -> Column:
 
 
 def time_text(c: Column) -> Column:
-    """Time of day as HH:mm:ss text; unreadable input gives NULL."""
-    at = F.concat(F.lit("2000-01-01 "), F.trim(c)).try_cast("timestamp_ntz")
-    return F.date_format(at, "HH:mm:ss")
+    """Time of day as HH:mm:ss text, from a time or a full timestamp; unreadable input gives NULL."""
+    return F.date_format(moment(c), "HH:mm:ss")
+
+
+def moment(c: Column) -> Column:
+    """Text as a point in time; a time without a date is one on TIME_ONLY_DAY."""
+    text = F.trim(c.cast("string"))
+    dated = F.concat(F.lit(f"{TIME_ONLY_DAY} "), text)
+    return F.coalesce(text.try_cast("timestamp_ntz"), dated.try_cast("timestamp_ntz"))
 
 
 def month_of(c: Column) -> Column:

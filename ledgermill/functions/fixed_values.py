@@ -46,6 +46,8 @@ COMPANY_AGE_BANDS = [
 ]
 COMPANY_AGE_ABOVE = "OVER 50 YEARS OLD"
 
+# the day given to a time of day that comes without a date
+TIME_ONLY_DAY = "1900-01-01"
 RISK_MEDIUM_FROM = "0.3"
 RISK_MEDIUM_TO = "0.5"
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ledgermill.functions.fixed_values import DATE_ORDER
 from ledgermill.functions.text import any_of, flag, from_right, label, norm, split_list
 from ledgermill.operators.skew import key_counts, row_tag, spread_join
-from ledgermill.session import written
 from ledgermill.sources.schemas import ACCOUNTS, conform
 
 # --- fixed values -----------------------------------------------------------------------
@@ -30,34 +29,39 @@ def _with_row(df: DataFrame) -> DataFrame:
     return df if "_row" in df.columns else row_tag(df)
 
 
-def add_duplicate_counts(df: DataFrame, slice_rows: int | None = None) -> DataFrame:
+def add_duplicate_counts(
+    df: DataFrame, slice_rows: int | None = None, counted_on: DataFrame | None = None
+) -> DataFrame:
     """Adds account_number_count, account_id_count and card_number_count.
 
     Both account counters are taken per account number. The counts are combined before the
     shuffle, and only keys that occur more than once are joined back: where duplicates are
     few, Spark broadcasts them and the accounts are not shuffled at all. A missing number
-    counts 0; its account ids are counted together.
+    counts 0; its account ids are counted together. ``counted_on`` holds the same rows before any
+    join, where counting them costs a scan of two columns.
     """
     tagged = _with_row(df)
     number, card = F.col("account_number"), F.col("card_number")
+    scan = df if counted_on is None else counted_on
     by_number = (
-        tagged.where(number.isNotNull())
+        scan.where(number.isNotNull())
         .groupBy("account_number")
         .agg(
             F.count(F.lit(1)).alias("account_number_count"),
             F.count("account_id").alias("account_id_count"),
         )
     )
-    by_card = key_counts(tagged, card, "card_number", "card_number_count")
+    by_card = key_counts(scan, card, "card_number", "card_number_count")
     counted = tagged
     for counts, key, rows in (
         (by_number, "account_number", "account_number_count"),
         (by_card, "card_number", "card_number_count"),
     ):
-        repeated = written(counts.where(F.col(rows) > 1), rows)
-        counted = spread_join(counted, repeated, key, key, left_rows=rows, slice_rows=slice_rows)
+        repeated = counts.where(F.col(rows) > 1)
+        sizes = repeated.select(F.col(key).alias("key"), F.col(rows).alias("rows"))
+        counted = spread_join(counted, repeated, key, key, counts=sizes, slice_rows=slice_rows)
     # one row: the account ids that carry no account number
-    unnumbered = tagged.where(number.isNull()).agg(F.count("account_id")).scalar()
+    unnumbered = scan.where(number.isNull()).agg(F.count("account_id")).scalar()
     has_id = F.col("account_id").isNotNull().cast("long")
     return counted.withColumns(
         {
@@ -84,13 +88,10 @@ def primary_counts(df: DataFrame) -> DataFrame:
 def add_primary_sanity(df: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """Adds primary_acc_count per customer and over_one_primary_acc."""
     keyed = _with_row(df).withColumn("_customer", norm(F.col("customer_id")))
+    primaries = primary_counts(df)
+    sizes = primaries.select(F.col("customer_key").alias("key"), "rows")
     joined = spread_join(
-        keyed,
-        written(primary_counts(df), "primary_counts"),
-        "_customer",
-        "customer_key",
-        left_rows="rows",
-        slice_rows=slice_rows,
+        keyed, primaries, "_customer", "customer_key", counts=sizes, slice_rows=slice_rows
     )
     # one row: the primary accounts that carry no customer
     unowned = df.where(F.col("customer_id").isNull()).agg(F.sum("is_primary_account")).scalar()
@@ -159,13 +160,18 @@ def explode_beneficiaries(df: DataFrame) -> DataFrame:
 
 
 def join_registration(
-    df: DataFrame, fact_customers: DataFrame, slice_rows: int | None = None
+    df: DataFrame,
+    fact_customers: DataFrame,
+    slice_rows: int | None = None,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the primary-account counters and the registration date; unknown customers drop out.
 
-    Both come from one row per customer, so accounts are joined once.
+    Both come from one row per customer, so accounts are joined once. ``counted_on`` holds the
+    same rows before any join.
     """
-    known = primary_counts(df).join(
+    primaries = primary_counts(df if counted_on is None else counted_on)
+    known = primaries.join(
         fact_customers.select(
             norm(F.col("customer_id")).alias("customer_key"), "customer_registration_date"
         ),
@@ -174,11 +180,11 @@ def join_registration(
     keyed = _with_row(df).withColumn("_customer", norm(F.col("customer_id")))
     joined = spread_join(
         keyed,
-        written(known, "known_customers"),
+        known,
         "_customer",
         "customer_key",
         how="inner",
-        left_rows="rows",
+        counts=primaries.select(F.col("customer_key").alias("key"), "rows"),
         slice_rows=slice_rows,
     )
     return joined.withColumn("over_one_primary_acc", flag(F.col("primary_acc_count") > 1)).drop(
@@ -195,10 +201,11 @@ def clean_accounts(
     bronze: DataFrame, fact_customers: DataFrame, slice_rows: int | None = None
 ) -> DataFrame:
     """Staging accounts: one row per bronze account of a known customer, lists still encoded."""
+    rows = conform(bronze, ACCOUNTS)
     return (
-        row_tag(conform(bronze, ACCOUNTS))
-        .transform(add_duplicate_counts, slice_rows)
-        .transform(join_registration, fact_customers, slice_rows)
+        row_tag(rows)
+        .transform(add_duplicate_counts, slice_rows, rows)
+        .transform(join_registration, fact_customers, slice_rows, rows)
         .transform(flag_date_sequence)
         .transform(standardise)
         .drop("_row", "customer_registration_date")

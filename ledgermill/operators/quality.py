@@ -101,6 +101,24 @@ def check_limits(
     return _violations(df, table, key, rules)
 
 
+def check_casts(df: DataFrame, table: str, key: str, spec: dict[str, list[str]]) -> DataFrame:
+    """Delivered values that do not fit the type of their column; detail is column=value.
+
+    The rows themselves are kept with a NULL, so this is where such a value is seen.
+    """
+    present = dict(df.dtypes)
+    rules = []
+    for kind, names in spec.items():
+        for c in names:
+            if c in present and present[c] != kind:
+                given = f"trim(cast(`{c}` as string))"
+                lost = f"{given} != '' and try_cast({given} as {kind}) is null"
+                rules.append(("CAST_LOSS", lost, f"concat('{c}=', {given})"))
+    return _violations(df, table, key, rules) if rules else df.limit(0).selectExpr(
+        "'CAST_LOSS' as rule", f"'{table}' as table_name", f"cast(`{key}` as string) as key", "cast(null as string) as detail"
+    )
+
+
 def quality_summary(customers: DataFrame, accounts: DataFrame) -> DataFrame:
     """(flag, flagged, rows) for the quality flags of the two staging tables."""
 

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.session import written
-
 # rows of one key that a single task may hold; larger keys are cut into slices
 SLICE_ROWS = 1_000_000
-# at most this many keys are treated as hot, which bounds the broadcast list; every other
-# key holds less than 1/MAX_HOT_KEYS of the rows
-MAX_HOT_KEYS = 10_000
+# a slice holds at least this share of all rows, so fewer keys than this are ever cut
+SLICED_KEYS = 10_000
 # rows with a NULL key never match and are only spread
 NULL_SLICES = 1 << 20
 
@@ -31,16 +28,16 @@ def key_counts(df: DataFrame, key: Column, name: str = "key", rows: str = "rows"
     return df.where(key.isNotNull()).groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias(rows))
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, slice_rows: int) -> DataFrame:
-    """(_hot_key, _slices) for the largest keys of a per-key count; at most MAX_HOT_KEYS rows."""
-    return (
-        counts.where(F.col(key).isNotNull() & (F.col(rows) > slice_rows))
-        .orderBy(F.desc(rows), key)
-        .limit(MAX_HOT_KEYS)
-        .select(
-            F.col(key).alias("_hot_key"),
-            F.ceil(F.col(rows) / F.lit(slice_rows)).cast("int").alias("_slices"),
-        )
+def hot_keys(counts: DataFrame, slice_rows: int) -> DataFrame:
+    """(_hot_key, _slices) of every key larger than a slice, from (key, rows).
+
+    The size of a slice is ``slice_rows``, or 1/SLICED_KEYS of all rows if that is more; fewer
+    than SLICED_KEYS keys can exceed it, which bounds the list without leaving any out.
+    """
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
+    size = F.greatest(F.lit(slice_rows).cast("double"), total / F.lit(float(SLICED_KEYS)))
+    return counts.where(F.col("key").isNotNull() & (F.col("rows") > size)).select(
+        F.col("key").alias("_hot_key"), F.ceil(F.col("rows") / size).cast("int").alias("_slices")
     )
 
 
@@ -50,51 +47,37 @@ def spread_join(
     left_key: str,
     right_key: str,
     how: str = "left",
-    left_rows: str | None = None,
+    counts: DataFrame | None = None,
     row: str = "_row",
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on one key; hot keys of ``left`` are cut into slices.
 
-    ``left`` needs the ``row`` column of :func:`row_tag`. The keys of ``left`` are counted
-    first, unless ``right`` carries the number of left rows per key in ``left_rows`` (then
-    ``right`` is read twice and should be a written table). A hot key gets one slice per
-    ``slice_rows`` rows: its left rows are dealt over the slices and its right rows are
-    repeated once per slice, so each pair meets exactly once. Left rows with a NULL key never
-    match and are only spread. Without hot keys the join is a plain one. The right key is
-    dropped from the result.
+    ``left`` needs the ``row`` column of :func:`row_tag`. The rows of ``left`` per key come from
+    ``counts`` (key, rows) or are counted here; it is one plan, and nothing runs before it does.
+    A hot key gets one slice per ``slice_rows`` rows: its left rows are dealt over the slices and
+    its right rows are repeated once per slice, so each pair meets exactly once. Left rows with a
+    NULL key never match and are only spread. The right key is dropped from the result.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    counts = (right, right_key, left_rows) if left_rows else (key_counts(left, F.col(left_key)), "key", "rows")
-    hot = written(hot_keys(*counts, slice_rows or SLICE_ROWS), "hot_keys")
+    counted = key_counts(left, F.col(left_key)) if counts is None else counts
+    # bounded: fewer than SLICED_KEYS rows
+    hot = F.broadcast(hot_keys(counted, slice_rows or SLICE_ROWS))
     keyed = right.withColumnRenamed(right_key, "_right_key")
-    same_key = F.col(left_key) == F.col("_right_key")
-    none_hot = hot.isEmpty()
-    if none_hot and how == "inner":
-        return left.join(keyed, same_key).drop("_right_key")
-
-    spread = F.when(F.col(left_key).isNull(), F.pmod(F.col(row), F.lit(NULL_SLICES)))
-    if none_hot:
-        dealt = left.withColumn("_slice", spread.otherwise(0).cast("int"))
-        repeated = keyed.withColumn("_right_slice", F.explode(F.array(F.lit(0))))
-    else:
-        # bounded: hot_keys keeps MAX_HOT_KEYS rows
-        listed = F.broadcast(hot)
-        own = F.pmod(F.col(row), F.coalesce("_slices", F.lit(1)))
-        dealt = (
-            left.join(listed, F.col(left_key) == F.col("_hot_key"), "left")
-            .withColumn("_slice", spread.otherwise(own).cast("int"))
-            .drop("_hot_key", "_slices")
-        )
-        repeated = (
-            keyed.join(listed, F.col("_right_key") == F.col("_hot_key"), "left")
-            .withColumn(
-                "_right_slice",
-                F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)),
-            )
-            .drop("_hot_key", "_slices")
+    own = F.pmod(F.col(row), F.coalesce("_slices", F.lit(1)))
+    spread = F.when(F.col(left_key).isNull(), F.pmod(F.col(row), F.lit(NULL_SLICES))).otherwise(own)
+    dealt = (
+        left.join(hot, F.col(left_key) == F.col("_hot_key"), "left")
+        .withColumn("_slice", spread.cast("int"))
+        .drop("_hot_key", "_slices")
+    )
+    repeated = (
+        keyed.join(hot, F.col("_right_key") == F.col("_hot_key"), "left")
+        .withColumn(
+            "_right_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
         )
-    return dealt.join(repeated, same_key & (F.col("_slice") == F.col("_right_slice")), how).drop(
-        "_right_key", "_slice", "_right_slice"
+        .drop("_hot_key", "_slices")
     )
+    same = (F.col(left_key) == F.col("_right_key")) & (F.col("_slice") == F.col("_right_slice"))
+    return dealt.join(repeated, same, how).drop("_right_key", "_slice", "_right_slice")

@@ -83,11 +83,30 @@ def clean_receiving_bank(bank: Column) -> Column:
     return F.when(own | _is_ewallet(), "").otherwise(norm(bank))
 
 
+def with_amount(bronze: DataFrame) -> DataFrame:
+    """Rows delivered with an amount other than zero.
+
+    An amount that is there but does not fit its type is none the less an amount: the row stays,
+    and the cast check reports the value.
+    """
+    if "amount" not in bronze.columns:
+        return bronze.limit(0)
+    given = F.trim(F.col("amount").cast("string"))
+    return bronze.where((given != "") & F.coalesce(given.try_cast("double") != 0, F.lit(True)))
+
+
 def clean_transactions(
-    bronze: DataFrame, fact_accounts: DataFrame, slice_rows: int | None = None
+    bronze: DataFrame,
+    fact_accounts: DataFrame,
+    slice_rows: int | None = None,
+    amounts_checked: bool = False,
 ) -> DataFrame:
-    """Staging transactions; rows without an amount or with amount zero are left out."""
-    moved = row_tag(conform(bronze, TRANSACTIONS).where(F.col("amount") != 0))
+    """Staging transactions; rows delivered without an amount or with amount zero are left out.
+
+    ``amounts_checked``: the rows went through :func:`with_amount` before their types were fixed.
+    """
+    delivered = bronze if amounts_checked else with_amount(bronze)
+    moved = row_tag(conform(delivered, TRANSACTIONS))
     resolved = resolve_receiving_account(moved, fact_accounts, slice_rows)
     meta = [c for c in resolved.columns if c.startswith("_") and c != "_row"]
     return resolved.select(

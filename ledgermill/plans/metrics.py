@@ -160,7 +160,10 @@ def products_per_customer(
 def customer_lifetime_value(
     fact_customers: DataFrame, fact_accounts: DataFrame, transactions: DataFrame, as_of: str
 ) -> DataFrame:
-    """M7: average revenue times average tenure in years, per customer type."""
+    """M7: average revenue times average tenure in years, per customer type.
+
+    Tenure is averaged over the customers whose registration date is known.
+    """
     tenure = F.datediff(F.lit(as_of).cast("date"), F.col("customer_registration_date"))
     per_type = (
         fact_customers.select("customer_id", "customer_type", tenure.alias("days"))
@@ -170,10 +173,11 @@ def customer_lifetime_value(
             F.count(F.lit(1)).alias("customers"),
             F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
             F.sum("days").alias("days"),
+            F.count("days").alias("dated"),
         )
     )
     avg_revenue = quotient(F.col("revenue"), F.col("customers"))
-    avg_years = quotient(F.col("days"), F.col("customers")) / DAYS_PER_YEAR
+    avg_years = quotient(F.col("days"), F.col("dated")) / DAYS_PER_YEAR
     averages = per_type.select(
         "customer_type",
         "customers",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,9 +12,9 @@ from ledgermill.operators.accounts import clean_accounts
 from ledgermill.operators.audit import audited
 from ledgermill.operators.customers import clean_customers
 from ledgermill.operators.keys import add_audit_columns, add_defaults, add_surrogate_key
-from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_fact_accounts
+from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type, build_fact_accounts
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
-from ledgermill.operators.transactions import build_fact_transactions, clean_transactions
+from ledgermill.operators.transactions import build_fact_transactions, clean_transactions, with_amount
 from ledgermill.operators.unions import union_conformed
 from ledgermill.sources.layers import Lake
 from ledgermill.sources.schemas import ACCOUNTS, CUSTOMERS, TRANSACTIONS
@@ -59,7 +60,7 @@ def _finished(df: DataFrame, table: str, audit: tuple[str, str]) -> DataFrame:
 
 
 def _load(
-    lake: Lake, tables: dict[str, Callable[[], DataFrame]], audit: tuple[str, str]
+    lake: Lake, tables: dict[str, Callable[[], DataFrame]], audit: tuple[str, str], batch_id: str
 ) -> dict[str, DataFrame]:
     def load(item):
         table, build = item
@@ -68,6 +69,7 @@ def _load(
             f"load_{table}",
             lambda: _finished(build(), table, audit),
             lambda df: lake.write(df, "silver", table),
+            batch_id,
         )
         return table, written
 
@@ -75,43 +77,67 @@ def _load(
         return dict(pool.map(load, tables.items()))
 
 
-def _stage(lake: Lake, table: str, step: Callable[[], DataFrame]) -> DataFrame:
-    return audited(lake, f"clean_{table}", step, lambda df: lake.write(df, "staging", table))
+def _stage(lake: Lake, table: str, step: Callable[[], DataFrame], batch_id: str) -> DataFrame:
+    return audited(lake, f"clean_{table}", step, lambda df: lake.write(df, "staging", table), batch_id)
 
 
-def run_customers(lake: Lake, bronze: list[DataFrame]) -> dict[str, DataFrame]:
+def run_customers(lake: Lake, bronze: list[DataFrame], batch_id: str | None = None) -> dict[str, DataFrame]:
     """Clean the yearly customer frames and load eleven tables."""
-    stg = _stage(lake, "customers", lambda: clean_customers(union_conformed(bronze, CUSTOMERS)))
+    batch_id = batch_id or uuid.uuid4().hex
+    stg = _stage(lake, "customers", lambda: clean_customers(union_conformed(bronze, CUSTOMERS)), batch_id)
     builders = {name: (lambda build=build: build(stg)) for name, build in CUSTOMER_TABLES.items()}
-    return _load(lake, builders, CUSTOMER_AUDIT)
+    return _load(lake, builders, CUSTOMER_AUDIT, batch_id)
 
 
-def run_accounts(lake: Lake, bronze: list[DataFrame], fact_customers: DataFrame) -> dict[str, DataFrame]:
-    """R2: clean the yearly account frames and load nine tables."""
+def run_accounts(
+    lake: Lake,
+    bronze: list[DataFrame],
+    fact_customers: DataFrame,
+    batch_id: str | None = None,
+    known_types: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """R2: clean the yearly account frames and load nine tables.
+
+    ``known_types`` are account types of an earlier load; they keep their numbers.
+    """
+    batch_id = batch_id or uuid.uuid4().hex
     stg = _stage(
-        lake, "accounts", lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers)
+        lake, "accounts", lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers), batch_id
     )
     builders = {name: (lambda build=build: build(stg)) for name, build in ACCOUNT_TABLES.items()}
-    tables = _load(lake, builders, ACCOUNT_AUDIT)
+    if known_types is not None:
+        types = known_types.select("account_type_id", "account_type")
+        builders["dim_account_type"] = lambda: types.unionByName(build_dim_account_type(stg, types))
+    tables = _load(lake, builders, ACCOUNT_AUDIT, batch_id)
     fact = {"fact_accounts": lambda: build_fact_accounts(stg, tables["dim_account_type"])}
-    return tables | _load(lake, fact, ACCOUNT_AUDIT)
+    return tables | _load(lake, fact, ACCOUNT_AUDIT, batch_id)
 
 
-def run_transactions(lake: Lake, bronze: list[DataFrame], fact_accounts: DataFrame) -> dict[str, DataFrame]:
+def run_transactions(
+    lake: Lake, bronze: list[DataFrame], fact_accounts: DataFrame, batch_id: str | None = None
+) -> dict[str, DataFrame]:
     """Clean the transaction frames and load the transaction facts."""
+    batch_id = batch_id or uuid.uuid4().hex
     stg = _stage(
         lake,
         "transactions",
-        lambda: clean_transactions(union_conformed(bronze, TRANSACTIONS), fact_accounts),
+        lambda: clean_transactions(
+            union_conformed([with_amount(df) for df in bronze], TRANSACTIONS), fact_accounts, amounts_checked=True
+        ),
+        batch_id,
     )
-    return _load(lake, {"fact_transactions": lambda: build_fact_transactions(stg)}, CUSTOMER_AUDIT)
+    return _load(lake, {"fact_transactions": lambda: build_fact_transactions(stg)}, CUSTOMER_AUDIT, batch_id)
 
 
 def run_all(
     lake: Lake, customers: list[DataFrame], accounts: list[DataFrame], transactions: list[DataFrame]
 ) -> dict[str, DataFrame]:
-    """Customers, then accounts, then transactions; returns the 21 silver tables."""
-    tables = run_customers(lake, customers)
-    tables |= run_accounts(lake, accounts, tables["fact_customers"])
-    tables |= run_transactions(lake, transactions, tables["fact_accounts"])
+    """Customers, then accounts, then transactions; returns the 21 silver tables.
+
+    The entries of a run in the log share one batch.
+    """
+    batch_id = uuid.uuid4().hex
+    tables = run_customers(lake, customers, batch_id)
+    tables |= run_accounts(lake, accounts, tables["fact_customers"], batch_id)
+    tables |= run_transactions(lake, transactions, tables["fact_accounts"], batch_id)
     return tables

@@ -32,11 +32,14 @@ _own_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; on a cluster
+    the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _own_folders:
         _own_folders[application] = tempfile.mkdtemp(prefix="ledgermill-")

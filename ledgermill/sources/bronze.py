@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.functions.dates import moment
 from ledgermill.functions.fixed_values import (
     CUSTOMER_FILE_MARK,
     CUSTOMER_PREFIX,
@@ -21,13 +22,12 @@ from ledgermill.functions.fixed_values import (
     TYPE_TARGETS,
 )
 from ledgermill.operators.skew import row_tag, spread_join
-from ledgermill.session import written
 
 METADATA_COLUMNS = list(METADATA_TYPES)
-# a row digest is added up in pieces of six hex digits; 39 further bits of a long leave room
-# for 5e11 rows per source
-HASH_PIECES = 5
-PIECE_DIGITS = 6
+# a row digest is added up in pieces of four hex digits; 47 further bits of a long leave room
+# for 1e14 rows per source
+HASH_PIECES = 8
+PIECE_DIGITS = 4
 
 
 def read_bronze(spark: SparkSession, paths: list[str], source: str = "_source_file_url") -> DataFrame:
@@ -87,8 +87,9 @@ def _loaded_at() -> Column:
 
 def add_ingest_metadata(df: DataFrame, source: str = "_source_file_url") -> DataFrame:
     """Adds load time in UTC and the content hash of the row's source."""
-    hashes = written(source_hash(df, source), "source_hash").withColumnRenamed("source_hash", "_source_hash")
-    tagged = spread_join(row_tag(df), hashes, source, "source", left_rows="rows")
+    hashes = source_hash(df, source).withColumnRenamed("source_hash", "_source_hash")
+    counts = hashes.select(F.col("source").alias("key"), "rows")
+    tagged = spread_join(row_tag(df), hashes, source, "source", counts=counts)
     return tagged.select(*df.columns, _loaded_at().alias("_ingestion_timestamp"), "_source_hash")
 
 
@@ -179,7 +180,10 @@ def profile_types(df: DataFrame) -> DataFrame:
 
 
 def preprocess(df: DataFrame) -> DataFrame:
-    """Booleans as 0/1, times without zone, text dates parsed (unreadable ones become NULL)."""
+    """Booleans as 0/1, times without zone, text dates parsed (unreadable ones become NULL).
+
+    A time of day without a date stays one; it is given a fixed day.
+    """
 
     def column(field: T.StructField) -> Column:
         c, kind = F.col(field.name), field.dataType
@@ -189,7 +193,7 @@ def preprocess(df: DataFrame) -> DataFrame:
             return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
         dated = any(k in field.name.lower() for k in ("date", "time"))
         if isinstance(kind, T.StringType) and dated:
-            return c.try_cast("timestamp_ntz")
+            return moment(c)
         return c
 
     return df.select(*(column(f).alias(f.name) for f in df.schema.fields))

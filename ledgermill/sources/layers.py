@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,13 +25,30 @@ class Lake:
     def write(
         self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None
     ) -> DataFrame:
-        """Full load: replace the table, then read it back."""
-        writer = df.write.mode("overwrite")
+        """Full load: write the new table beside the old one, then put it in its place.
+
+        A load that fails leaves the old table as it was.
+        """
+        home = self.path(layer, table)
+        fresh = f"{home}.new-{uuid.uuid4().hex}"
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, table))
+        writer.parquet(fresh)
+        self._replace(home, fresh)
         return self.read(layer, table)
 
+    def _replace(self, home: str, fresh: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        target, new, old = path(home), path(fresh), path(f"{home}.old-{uuid.uuid4().hex}")
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(target) and not files.rename(target, old):
+            raise OSError(f"could not set {home} aside")
+        if not files.rename(new, target):
+            files.rename(old, target)
+            raise OSError(f"could not put {fresh} in place")
+        files.delete(old, True)
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 

@@ -94,7 +94,7 @@ def struct_type(spec: dict[str, list[str]]) -> StructType:
 def conform(df: DataFrame, spec: dict[str, list[str]]) -> DataFrame:
     """Fixed column list and types; columns the input lacks become typed NULLs.
 
-    Values that do not fit their type become NULL.
+    Values that do not fit their type become NULL; ``quality.check_casts`` reports them.
     """
     present = dict(df.dtypes)
     wanted = columns(spec) | {n: t for n, t in columns(METADATA).items() if n in present}

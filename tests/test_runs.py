@@ -2,7 +2,7 @@ import pytest
 
 from ledgermill.contract.inputs import banking_frame
 from ledgermill.functions.fixed_values import REQUIRED
-from ledgermill.operators.audit import audited
+from ledgermill.operators.audit import audited, run_log
 from ledgermill.plans.checks import check_silver
 from ledgermill.plans.ingest import run_ingest
 from ledgermill.plans.runs import SURROGATE_KEYS, run_all
@@ -34,8 +34,11 @@ def test_whole_run_writes_every_table_and_logs_it(spark, tmp_path):
     assert ("UNIQUE", "dim_account_card_details") in rules and ("NOT_NULL", "dim_customer_profile") not in rules
     assert not [t for rule, t in rules if rule in ("REFERENCE", "DOMAIN")]
 
-    log = {r.procedure_name: r for r in lake.read("error_log", "etl_log").collect()}
-    assert {r.status for r in log.values()} == {"SUCCESS"} and len(log) == 24
+    entries = run_log(lake).collect()
+    assert len({r.batch_id for r in entries}) == 1 and {r.log_date for r in entries}
+    assert sorted(r.status for r in entries) == ["STARTED"] * 24 + ["SUCCESS"] * 24
+    log = {r.procedure_name: r for r in entries if r.status == "SUCCESS"}
+    assert len(log) == 24
     for name, size in sizes.items():
         assert log[f"load_{name}"].rows_processed == size
     assert log["clean_customers"].rows_processed == frames["fx_customers"].count()
@@ -49,17 +52,29 @@ def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
 
     with pytest.raises(RuntimeError):
         audited(lake, "load_x", lambda: spark.range(3), fail)
-    row = lake.read("error_log", "etl_log").first()
-    assert (row.status, row.error_message, row.rows_processed) == ("FAILED", "disk is gone", 0)
-    assert row.batch_id and row.end_time >= row.start_time
+    rows = {r.status: r for r in run_log(lake).collect()}
+    row = rows["FAILED"]
+    assert (row.error_message, row.rows_processed) == ("disk is gone", 0) and row.end_time >= row.start_time
+    assert rows["STARTED"].batch_id == row.batch_id and rows["STARTED"].end_time is None
 
 
 def test_an_empty_table_is_logged_with_no_rows(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     empty = spark.createDataFrame([], "a int").where("a > 1")
     assert audited(lake, "load_x", lambda: empty, lambda df: lake.write(df, "silver", "x")).count() == 0
-    row = lake.read("error_log", "etl_log").first()
-    assert (row.status, row.rows_processed) == ("SUCCESS", 0)
+    rows = {r.status: r.rows_processed for r in run_log(lake).collect()}
+    assert rows == {"STARTED": None, "SUCCESS": 0}
+
+
+def test_a_failed_load_leaves_the_table_as_it_was(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    assert lake.write(spark.range(3), "silver", "x").count() == 3
+    broken = spark.range(3).selectExpr("raise_error('broken row') as id")
+    with pytest.raises(Exception, match="broken row"):
+        lake.write(broken, "silver", "x")
+    assert lake.read("silver", "x").count() == 3
+    assert lake.write(spark.range(5), "silver", "x").count() == 5
+    assert not [p.name for p in (tmp_path / "silver").iterdir() if ".old-" in p.name]
 
 
 def test_extracts_become_bronze_tables(spark, tmp_path):

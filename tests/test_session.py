@@ -1,3 +1,5 @@
+import pytest
+
 from ledgermill import session
 
 
@@ -10,9 +12,9 @@ class Conf:
 
 
 class Session:
-    def __init__(self, folder, application="app-1"):
+    def __init__(self, folder, application="app-1", master="local[2]"):
         self.conf = Conf(folder)
-        self.sparkContext = type("Context", (), {"applicationId": application})
+        self.sparkContext = type("Context", (), {"applicationId": application, "master": master})
 
 
 def test_the_cluster_names_the_folder():
@@ -24,6 +26,12 @@ def test_a_session_without_the_setting_keeps_one_folder():
     assert first == session.shared_folder(Session(None)) != session.shared_folder(Session(None, "app-2"))
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_the_setting_is_refused(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session(None, master=master))
+
+
 def test_written_tables_read_back_unchanged(spark):
     df = spark.sql("select 1 as a, cast(null as decimal(5,2)) as b, array('x') as c")
     again = session.written(df, "t")

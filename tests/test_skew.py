@@ -48,25 +48,37 @@ def test_spread_join_on_random_rows(spark, left, right, how):
     assert joined(spark, rows, right, how, 2) == brute(rows, right, how)
 
 
-def test_keys_beyond_the_hot_list_still_match(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
-    left = [(i, k) for k in "abc" for i in range(10)]
-    right = [("a", 1), ("b", 2), ("c", 3)]
-    assert joined(spark, left, right, "inner", 2) == brute(left, right, "inner")
+def test_many_large_keys_are_all_cut(spark, monkeypatch):
+    """More large keys than the list may hold: slices grow, every key is still joined whole."""
+    monkeypatch.setattr(skew, "SLICED_KEYS", 3)
+    left = [(10 * k + i, f"k{k}") for k in range(8) for i in range(5)] + [(900 + i, "k0") for i in range(60)]
+    right = [(f"k{k}", k) for k in range(8)]
+    assert joined(spark, left, right, "left", 1) == brute(left, right, "left")
 
 
-def test_counts_on_the_right_side_are_used(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+def test_given_counts_are_used(spark):
     left = row_tag(spark.createDataFrame([(i, "ab"[i % 3 == 0]) for i in range(30)], "i int, k string"))
-    counts = key_counts(left, F.col("k"), "rk", "n")
-    out = spread_join(left, counts, "k", "rk", left_rows="n", slice_rows=2)
+    counts = key_counts(left, F.col("k"))
+    right = counts.withColumnsRenamed({"key": "rk", "rows": "n"})
+    out = spread_join(left, right, "k", "rk", counts=counts, slice_rows=2)
     assert {(r.k, r.n) for r in out.collect()} == {("a", 20), ("b", 10)} and out.count() == 30
 
 
-def test_hot_keys_are_capped_and_largest_first(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 2)
-    counts = spark.createDataFrame([("a", 10), ("b", 30), ("c", 20), ("d", 1), (None, 99)], "k string, n long")
-    assert {tuple(r) for r in hot_keys(counts, "k", "n", 5).collect()} == {("b", 6), ("c", 4)}
+def test_hot_keys_are_complete_and_bounded(spark, monkeypatch):
+    counts = spark.createDataFrame([("a", 10), ("b", 30), ("c", 20), ("d", 1), (None, 99)], "key string, rows long")
+    assert {tuple(r) for r in hot_keys(counts, 5).collect()} == {("a", 2), ("b", 6), ("c", 4)}
+    monkeypatch.setattr(skew, "SLICED_KEYS", 4)  # a quarter of 160 rows
+    assert {r._hot_key for r in hot_keys(counts, 5).collect()} == set()
+
+
+def test_building_the_join_runs_nothing(spark):
+    left = row_tag(spark.range(50).select((F.col("id") % 3).cast("string").alias("k")))
+    spark.sparkContext.setJobGroup("plan-only", "no job may start")
+    try:
+        spread_join(left, left.select(F.col("k").alias("rk")).distinct(), "k", "rk", slice_rows=2)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_rows_land_in_many_partitions(spark):
