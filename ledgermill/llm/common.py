@@ -79,12 +79,12 @@ def slices(batch: pa.RecordBatch, text: str, chars: int = 2_000_000):
     """Cuts a batch into runs of rows that hold about ``chars`` bytes of text, or one long text."""
     import pyarrow.compute as pc
 
-    sizes = pc.binary_length(batch.column(batch.schema.get_field_index(text))).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
     first, held = 0, 0
     for row, size in enumerate(sizes):
         if held and held + size > chars:
             yield batch.slice(first, row - first)
             first, held = row, 0
-        held += int(size)
+        held += size
     if first < batch.num_rows:
         yield batch.slice(first)
