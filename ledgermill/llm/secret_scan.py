@@ -140,14 +140,30 @@ def is_signed_token(text: str) -> bool:
 
 
 def _decoded(text: str) -> bytes | None:
-    packed = _SPACE.sub("", text)
-    packed = packed.rstrip("=")
+    packed = _SPACE.sub("", text).rstrip("=")
+    packed = packed[: len(packed) - (len(packed) % 4 == 1)]  # a single digit holds no byte
     try:
         return base64.b64decode(packed + "=" * (-len(packed) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
 
 
+def _der_end(text: str, start: int, end: int) -> int | None:
+    """Where a base64 key that begins at ``start`` ends; words that follow it may look like base64.
+
+    The outermost length tells how many digits belong to the key.
+    """
+    data = _decoded(text[start:end])
+    outer = der_item(data, 0) if data else None
+    if outer is None or not is_der_key(data[: outer[2]]):
+        return None
+    digits = [k for k in range(start, end) if text[k] not in "\r\n="]
+    stop = digits[-(-outer[2] * 8 // 6) - 1] + 1
+    while stop < end and text[stop] == "=":
+        stop += 1
+    return stop
+
+
 def _key_kind(data: bytes | None) -> str | None:
     if data is None:
         return None
@@ -171,10 +187,12 @@ def structural_spans(text: str) -> list[tuple[str, int, int]]:
     out = []
     for m in _BASE64.finditer(text):
         # The first bytes of a DER sequence and of the OpenSSH block fix the first base64 digits.
-        if text.startswith(("M", "b3BlbnNzaC1rZXkt"), m.start()):
-            kind = _key_kind(_decoded(m.group()))
-            if kind:
-                out.append((kind, m.start(), m.end()))
+        if text.startswith("M", m.start()):
+            stop = _der_end(text, m.start(), m.end())
+            if stop is not None:
+                out.append(("der_key", m.start(), stop))
+        elif text.startswith("b3BlbnNzaC1rZXkt", m.start()) and _key_kind(_decoded(m.group())):
+            out.append(("ssh_key", m.start(), m.end()))
     for m in _ANY_HEX.finditer(text):
         kind = _key_kind(bytes.fromhex(m.group()))
         if kind:
