@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,7 @@ def build_session(app: str = "ledgermill", master: str | None = None, **extra: s
 
 
 _own_folders: dict[str, str] = {}
+_open_scopes = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -63,6 +67,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """An intermediate table, written to the shared folder and read back.
 
     The result survives the loss of executors, has a short lineage, and readers prune its
-    columns.
+    columns. Inside :func:`scratch` it lasts as long as the scope.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, name))
+    path = write_shared(df, name)
+    scopes = getattr(_open_scopes, "stack", None)
+    if scopes:
+        scopes[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables, wherever it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread writes inside are removed at the end, also on failure."""
+    if not hasattr(_open_scopes, "stack"):
+        _open_scopes.stack = []
+    paths: list[str] = []
+    _open_scopes.stack.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.stack.pop()
+        for path in paths:
+            remove(spark, path)

@@ -1,11 +1,15 @@
+import os
+
 import pytest
 
 from ledgermill.contract.inputs import banking_frame
 from ledgermill.functions.fixed_values import REQUIRED
 from ledgermill.operators.audit import audited, run_log
+from ledgermill.operators.keys import add_surrogate_key
 from ledgermill.plans.checks import check_silver
 from ledgermill.plans.ingest import run_ingest
 from ledgermill.plans.runs import SURROGATE_KEYS, run_all
+from ledgermill.session import scratch, shared_folder, written
 from ledgermill.sources.layers import Lake
 
 SMALL = "/root/testdata/sf0.001"
@@ -58,6 +62,19 @@ def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
     assert rows["STARTED"].batch_id == row.batch_id and rows["STARTED"].end_time is None
 
 
+def test_intermediate_tables_are_gone_after_a_step(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    written(spark.range(1), "first")
+    folder = os.path.join(shared_folder(spark), "tables", spark.sparkContext.applicationId)
+    before = set(os.listdir(folder))
+    numbered = audited(lake, "load_x", lambda: add_surrogate_key(spark.range(5), "k"), lambda df: lake.write(df, "silver", "x"))
+    assert sorted(r.k for r in numbered.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(RuntimeError), scratch(spark):
+        written(spark.range(3), "t")
+        raise RuntimeError
+    assert set(os.listdir(folder)) == before
+
+
 def test_an_empty_table_is_logged_with_no_rows(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     empty = spark.createDataFrame([], "a int").where("a > 1")
