@@ -1,7 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 1. Every document is cut into words; runs of three words that also occur in a test item are hits.
-   Only words of test items are looked up, so a hit is exact.
 2. The documents that hold each n-gram are counted over the whole corpus. The seeds of an item are
    its rare n-grams: those in no more than ``RARE_TIMES`` as many documents as its rarest one, and
    ``RARE_MORE``. A passage that leaked into many documents so keeps its seeds, while runs of
@@ -68,18 +67,19 @@ class Items:
         return block
 
     def grams(self, numbers: np.ndarray) -> np.ndarray:
-        """A code for the n-gram at each place; -1 where a word is not of the items.
+        """A 63-bit code for the n-gram at each place; -1 where a word is not of the items.
 
-        Three numbers of a block of BLOCK_CHARS need 3 * 21 bits at most.
+        Should two n-grams share a code, the alignment tells them apart.
         """
         if len(numbers) < GRAM:
             return np.zeros(0, dtype=np.int64)
         parts = [numbers[k : len(numbers) - GRAM + 1 + k] for k in range(GRAM)]
         known = np.logical_and.reduce([p > 0 for p in parts])
-        code = parts[0]
+        code = parts[0].astype(np.uint64)
         for part in parts[1:]:
-            code = (code << 21) | part
-        return np.where(known, code, -1)
+            code = code * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64)
+            code ^= code >> np.uint64(29)
+        return np.where(known, (code >> np.uint64(1)).astype(np.int64), -1)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         get = self.words.get
@@ -143,7 +143,6 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> list[tuple[floa
 
 
 HITS = "doc_id long, text_hash long, code long, place int, fresh int"
-WINDOWS = "array<struct<item:int,bin:int>>"
 LEAKS = "doc_id long, text_hash long, item_id long, score double, matched_words int, start int, end int"
 
 
