@@ -241,11 +241,19 @@ def fee_income_growth(transactions: DataFrame) -> DataFrame:
 def customer_profitability(
     transactions: DataFrame, costs: DataFrame, fact_accounts: DataFrame
 ) -> DataFrame:
-    """Fee revenue less cost per customer; ``costs`` holds account_id and cost."""
-    wide, zero = "decimal(38,4)", F.lit(0).cast("decimal(38,4)")
-    revenue = transactions.groupBy("account_id").agg(F.sum(fees()).cast(wide).alias("revenue"))
-    spent = costs.groupBy("account_id").agg(F.sum("cost").cast(wide).alias("cost"))
-    booked = revenue.withColumn("cost", zero).unionByName(spent.withColumn("revenue", zero))
+    """Fee revenue less cost per customer; ``costs`` holds account_id and cost.
+
+    Both kinds of rows are united first, so accounts are summed up and shuffled once.
+    """
+    wide, single = "decimal(38,4)", "decimal(28,4)"
+    zero = F.lit(0).cast(single)
+    earned = transactions.select("account_id", fees().cast(single).alias("revenue"), zero.alias("cost"))
+    spent = costs.select("account_id", zero.alias("revenue"), F.col("cost").cast(single).alias("cost"))
+    booked = (
+        earned.unionByName(spent)
+        .groupBy("account_id")
+        .agg(*(F.sum(c).cast(wide).alias(c) for c in ("revenue", "cost")))
+    )
     return (
         booked.join(account_owners(fact_accounts), "account_id")
         .groupBy("customer_id")
