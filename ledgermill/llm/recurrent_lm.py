@@ -169,7 +169,7 @@ class Lexicon:
                 read = at if at >= 0 else size + (word[-1] * 31 + word[max(0, len(word) - 2)] * 7) % SUFFIXES
                 new[:, k] = at, read, frequent.get(word, -1)
             self.pending.append(new)
-        return np.fromiter(map(self.place.__getitem__, found), dtype=np.int64, count=len(found))
+        return np.fromiter(map(self.place.__getitem__, found), dtype=np.int32, count=len(found))
 
     def make_room(self) -> None:
         if len(self.place) > MEMORY_WORDS:
@@ -409,13 +409,14 @@ def score_batch(model: Model, lexicon: Lexicon, texts: list[bytes]):
     lexicon.make_room()
     looked = [lexicon.rows([end, *tokens(text), end]) for text in texts]
     number, read_of, count_of = lexicon.settle()
+    number, read_of = number.astype(np.int32), read_of.astype(np.int32)
     spelled = None
     numbers, reads, aims, stats = [], [], [], []
     for rows in looked:
         mine, counts = number[rows[1:]], count_of[rows[1:]]
         numbers.append(mine)
         reads.append(read_of[rows[:-1]])
-        aims.append(np.where(mine < 0, len(words.known), mine))
+        aims.append(np.where(mine < 0, np.int32(len(words.known)), mine))
         local = counts >= 0
         base = float(np.log10((counts[local] + 1) / words.spread()).sum())
         share = float(np.log10((counts[local & (mine < 0)] + 1) / words.rare_spread()).sum())
