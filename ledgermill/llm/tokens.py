@@ -15,6 +15,9 @@ import re
 MEMORY_WORDS = 1_200_000
 # Marks that end a word. Such a mark never joins the letter or digit before it in one piece.
 MARKS = ".,;:!?|*&%$#)"
+# Byte-level vocabularies write a byte without a visible sign of its own as a letter from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _VISIBLE)}
 _PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 
@@ -37,6 +40,15 @@ class Encoder:
         self.limit = memory_words
         self.memory: dict[str, bytes | None] = {}
 
+    def _word(self, part: str) -> bytes | None:
+        """The ids of a part that is one piece of letters, straight from the merges; else None."""
+        word = part[1:] if part[:1] == " " and not self.drops_space else part
+        if not word.isalpha() or self.drops_space and not word.isascii():
+            return None
+        spelled = part.lower() if self.drops_space else part
+        pieces = self.tokenizer.model.tokenize(spelled.encode().decode("latin-1").translate(_BYTE_LETTERS))
+        return array.array("I", [piece.id for piece in pieces]).tobytes()
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array("I", e.ids).tobytes() for e in found]
@@ -58,7 +70,14 @@ class Encoder:
                 fresh.add(marks)
             else:
                 fresh.add(part)
-        fresh = [p for p in fresh if p not in memory]
+        rest = []
+        for part in fresh.difference(memory):
+            ids = self._word(part)
+            if ids is None:
+                rest.append(part)
+            else:
+                memory[part] = ids
+        fresh = rest
         for part, ids in zip(fresh, self._whole(fresh), strict=True):
             memory[part] = ids
         if not self.drops_space:
