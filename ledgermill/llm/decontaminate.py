@@ -35,7 +35,7 @@ SEEDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 LEAST_WORDS = 8  # aligned words that tell a copy from a phrase
-ALIGN_CELLS = 1 << 22
+ALIGN_CELLS = 1 << 16  # of a row of the tables aligned together
 WORD = re.compile(r"\w+")
 
 
@@ -208,24 +208,28 @@ def _aligned(docs: DataFrame, windows: DataFrame, items, threshold: float) -> Da
         block: Items = items.value
         for batch in batches:
             for part in slices(batch, "text"):
-                out = []
+                keys, spans, numbers, pairs = [], [], [], []
                 for doc_id, digest, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    spans = [m.span() for m in WORD.finditer(lowered(text))]
-                    numbers = block.numbers([lowered(text)[a:b] for a, b in spans])
-                    pairs = []
+                    low = lowered(text)
+                    places = [m.span() for m in WORD.finditer(low)]
+                    row = len(keys)
+                    keys.append((doc_id, digest))
+                    spans.append(places)
+                    numbers.append(block.numbers([low[x:y] for x, y in places]))
                     for window in asked:
-                        item = block.texts[window["item"]]
-                        first = window["bin"] * (WINDOW // 2) - len(item)
-                        pairs.append((window["item"], max(0, first), first + WINDOW + 2 * len(item)))
-                    best: dict[int, tuple] = {}
-                    for group in _groups(pairs, block):
-                        found = align([block.texts[k] for k, _, _ in group], [numbers[a:b] for _, a, b in group])
-                        for (item, base, _), (score, matches, first, end) in zip(group, found, strict=True):
-                            least = min(LEAST_WORDS, len(block.texts[item]))
-                            if score >= threshold and matches >= least and score > best.get(item, (0,))[0]:
-                                at = spans[base + first][0], spans[base + end - 1][1]
-                                best[item] = (float(score), matches, *at)
-                    out += [(doc_id, digest, block.ids[item], *best[item]) for item in sorted(best)]
+                        n = len(block.texts[window["item"]])
+                        first = window["bin"] * (WINDOW // 2) - n
+                        pairs.append((window["item"], row, max(0, first), first + WINDOW + 2 * n))
+                # Windows of all documents at hand are aligned together.
+                best: dict[tuple[int, int], tuple] = {}
+                for group in _groups(pairs, block):
+                    found = align([block.texts[p[0]] for p in group], [numbers[p[1]][p[2] : p[3]] for p in group])
+                    for (item, row, base, _), (score, matches, first, end) in zip(group, found, strict=True):
+                        least = min(LEAST_WORDS, len(block.texts[item]))
+                        if score >= threshold and matches >= least and score > best.get((row, item), (0,))[0]:
+                            at = spans[row][base + first][0], spans[row][base + end - 1][1]
+                            best[row, item] = (float(score), matches, *at)
+                out = [(*keys[row], block.ids[item], *best[row, item]) for row, item in sorted(best)]
                 if out:
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
                     names = [field.split()[0] for field in LEAKS.split(", ")]
@@ -235,15 +239,17 @@ def _aligned(docs: DataFrame, windows: DataFrame, items, threshold: float) -> Da
     return both.select("doc_id", "text_hash", "text", "windows").mapInArrow(run, LEAKS)
 
 
-def _groups(pairs: list[tuple[int, int, int]], block: Items) -> Iterator[list[tuple[int, int, int]]]:
-    """Pairs in groups whose alignment tables stay below ALIGN_CELLS, or one pair."""
-    pairs = sorted(pairs, key=lambda p: len(block.texts[p[0]]))
-    group: list[tuple[int, int, int]] = []
-    for pair in pairs:
-        if group and (len(group) + 1) * (pair[2] - pair[1] + 1) > ALIGN_CELLS // 16:
+def _groups(pairs: list[tuple], block: Items) -> Iterator[list[tuple]]:
+    """Pairs (item, row, start, end) in groups whose tables stay below ALIGN_CELLS, or one pair."""
+    group: list[tuple] = []
+    width = 0
+    for pair in sorted(pairs, key=lambda p: len(block.texts[p[0]])):
+        wider = max(width, pair[3] - pair[2] + 1)
+        if group and (len(group) + 1) * wider > ALIGN_CELLS:
             yield group
-            group = []
+            group, wider = [], pair[3] - pair[2] + 1
         group.append(pair)
+        width = wider
     if group:
         yield group
 
