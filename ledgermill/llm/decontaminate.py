@@ -1,16 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every document is cut into words; runs of three words that also occur in a test item are hits.
-2. The documents that hold each n-gram are counted over the whole corpus. The seeds of an item are
-   its rare n-grams: those in no more than ``RARE_TIMES`` as many documents as its rarest one, and
-   ``RARE_MORE``. A passage that leaked into many documents so keeps its seeds, while runs of
-   everyday words lose theirs.
-3. Two different seeds of an item near each other in a document make a window.
-4. The item is aligned with the window word by word; the score is the best local alignment over the
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every document is cut into words; runs of three words that also occur in a test item are seeds,
+   the common ones too. What is found in a document so depends on it and the items alone, never on
+   how often a passage or its words occur in the rest of the corpus.
+2. Two different seeds of an item near each other in a document make a window. Windows that lack
+   too many of the item's words to reach the threshold in any order are left out.
+3. The item is aligned with the window word by word; the score is the best local alignment over the
    best possible one. Edited and paraphrased copies lose some words but keep the order of others.
 
 Test items are read in blocks of bounded size, one pass over the documents per block; a block is
-the only thing that tasks receive whole.
+the only thing that tasks receive whole. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from ledgermill.session import written
 
 GRAM = 3
 BLOCK_CHARS = 16 << 20  # characters of test items in a block
-RARE_TIMES, RARE_MORE = 4, 16
+SEED_ROWS = 1 << 20  # pairs of a seed and an item looked at together
 WINDOW = 64  # words in which the seeds of a window lie
 SEEDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -52,7 +51,8 @@ class Items:
     words: dict[str, int]
     ids: list[int | None]
     texts: list[np.ndarray]
-    codes: np.ndarray  # sorted distinct n-gram codes
+    codes: np.ndarray  # n-gram codes, sorted; one for each item that holds the n-gram
+    owners: np.ndarray  # the place of that item
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]]) -> Items:
@@ -61,9 +61,13 @@ class Items:
             np.array([words.setdefault(w, len(words) + 1) for w in WORD.findall(lowered(text))], dtype=np.int64)
             for _, text in rows
         ]
-        block = cls(words, [i for i, _ in rows], texts, np.zeros(0, dtype=np.int64))
-        grams = [block.grams(t) for t in texts]
-        block.codes = np.unique(np.concatenate(grams)) if grams else block.codes
+        none = np.zeros(0, dtype=np.int64)
+        block = cls(words, [i for i, _ in rows], texts, none, none)
+        grams = [np.unique(block.grams(t)) for t in texts]
+        if grams:
+            codes, owners = np.concatenate(grams), np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+            order = np.argsort(codes, kind="stable")
+            block.codes, block.owners = codes[order], owners[order]
         return block
 
     def grams(self, numbers: np.ndarray) -> np.ndarray:
@@ -85,15 +89,43 @@ class Items:
         get = self.words.get
         return np.array([get(w, 0) for w in words], dtype=np.int64)
 
-    def hits(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and word positions of the items' n-grams in a text."""
-        codes = self.grams(self.numbers(WORD.findall(lowered(text))))
+    def windows(self, numbers: np.ndarray) -> list[tuple[int, int]]:
+        """(item, bin) where SEEDS different seeds of an item lie in a window of a document.
+
+        Windows overlap by half: bin k holds the seeds that begin in the halves k and k + 1.
+        """
+        codes = self.grams(numbers)
         place = np.flatnonzero(codes >= 0)
-        if not len(place) or not len(self.codes):
-            return codes[:0], place[:0]
-        found = np.searchsorted(self.codes, codes[place])
-        place = place[self.codes[np.minimum(found, len(self.codes) - 1)] == codes[place]]
-        return codes[place], place
+        low = np.searchsorted(self.codes, codes[place], "left")
+        times = np.searchsorted(self.codes, codes[place], "right") - low
+        place, low, times = place[times > 0], low[times > 0], times[times > 0]
+        if not len(place):
+            return []
+        half = place // (WINDOW // 2)
+        found = []
+        first = 0
+        while first < len(place):
+            # The hits of a few halves at a time; the last half also begins the next stretch.
+            total = np.cumsum(times[first:])
+            stop = int(half[first + min(np.searchsorted(total, SEED_ROWS), len(total) - 1)])
+            stop = max(stop, int(half[first]) + 1)
+            end = int(np.searchsorted(half, stop, "right"))
+            found.append(self._dense(half[first:end], low[first:end], times[first:end], stop))
+            first = end if end == len(place) else int(np.searchsorted(half, stop, "left"))
+        return sorted({pair for pairs in found for pair in pairs})
+
+    def _dense(self, half: np.ndarray, low: np.ndarray, times: np.ndarray, stop: int) -> list[tuple[int, int]]:
+        at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+        half = np.repeat(half, times)
+        pairs = np.concatenate([np.stack([self.owners[at], half - back, at]) for back in (0, 1)], axis=1)
+        pairs = np.unique(pairs, axis=1)[:2]
+        pairs, seeds = np.unique(pairs, axis=1, return_counts=True)
+        return [tuple(p) for p in pairs[:, seeds >= SEEDS].T.tolist()]
+
+    def may_hold(self, item: int, window: np.ndarray, threshold: float) -> bool:
+        """Whether enough words of the item are in the window to reach the threshold in any order."""
+        words = self.texts[item]
+        return int(np.isin(words, window).sum()) >= threshold * len(words)
 
 
 def align(items: list[np.ndarray], windows: list[np.ndarray]) -> list[tuple[float, int, int, int]]:
@@ -142,84 +174,33 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> list[tuple[floa
     ]
 
 
-HITS = "doc_id long, text_hash long, code long, place int, fresh int"
 LEAKS = "doc_id long, text_hash long, item_id long, score double, matched_words int, start int, end int"
 
 
-def _hits(docs: DataFrame, items) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = items.value
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows, codes, places, fresh = [], [], [], []
-                for row, text in enumerate(part.column(2).to_pylist()):
-                    code, place = block.hits(text)
-                    if len(code):
-                        _, first = np.unique(code, return_index=True)
-                        new = np.zeros(len(code), dtype=np.int32)
-                        new[first] = 1
-                        rows.append(np.full(len(code), row))
-                        codes.append(code)
-                        places.append(place)
-                        fresh.append(new)
-                if rows:
-                    rows = pa.array(np.concatenate(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(rows),
-                            part.column(1).take(rows),
-                            pa.array(np.concatenate(codes)),
-                            pa.array(np.concatenate(places).astype(np.int32)),
-                            pa.array(np.concatenate(fresh)),
-                        ],
-                        names=["doc_id", "text_hash", "code", "place", "fresh"],
-                    )
-
-    return docs.mapInArrow(run, HITS)
-
-
-def _windows(spark: SparkSession, hits: DataFrame, block: Items) -> DataFrame:
-    """``doc_id, text_hash, windows``: where two seeds of an item lie within WINDOW words."""
-    grams = [(int(code), k) for k, text in enumerate(block.texts) for code in np.unique(block.grams(text))]
-    grams = spark.createDataFrame(grams, "code long, item int")
-    held = hits.groupBy("code").agg(F.sum("fresh").alias("docs"))
-    counted = written(grams.join(held, "code"), "item-grams")
-    rarest = counted.groupBy("item").agg(F.min("docs").alias("fewest"))
-    seeds = counted.join(rarest, "item").where(F.col("docs") <= RARE_TIMES * F.col("fewest") + RARE_MORE)
-    seeds = written(seeds.select("code", "item"), "seeds")
-    # Windows overlap by half, so seeds within half a window share one.
-    half = F.floor(F.col("place") / (WINDOW // 2)).cast("int")
-    placed = hits.join(seeds, "code").select(
-        "doc_id", "text_hash", "item", "code", F.explode(F.array(half - 1, half)).alias("bin")
-    )
-    found = placed.groupBy("doc_id", "text_hash", "item", "bin").agg(
-        F.min("code").alias("least"), F.max("code").alias("most")
-    )
-    return found.where("least < most").groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("item", "bin"))).alias("windows")
-    )
-
-
-def _aligned(docs: DataFrame, windows: DataFrame, items, threshold: float) -> DataFrame:
-    asked = windows.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "windows")
-    both = docs.join(asked, F.expr("doc_id <=> w_id and text_hash = w_hash"))
+def _found(docs: DataFrame, items, threshold: float) -> DataFrame:
+    """Leaks of a block of items: seeds, windows and alignments of a document in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Items = items.value
         for batch in batches:
             for part in slices(batch, "text"):
                 keys, spans, numbers, pairs = [], [], [], []
-                for doc_id, digest, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for doc_id, digest, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     low = lowered(text)
                     places = [m.span() for m in WORD.finditer(low)]
-                    row = len(keys)
-                    keys.append((doc_id, digest))
-                    spans.append(places)
-                    numbers.append(block.numbers([low[x:y] for x, y in places]))
-                    for window in asked:
-                        n = len(block.texts[window["item"]])
-                        first = window["bin"] * (WINDOW // 2) - n
-                        pairs.append((window["item"], row, max(0, first), first + WINDOW + 2 * n))
+                    words = block.numbers([low[x:y] for x, y in places])
+                    mine = []
+                    for item, place in block.windows(words):
+                        n = len(block.texts[item])
+                        first = place * (WINDOW // 2) - n
+                        first, end = max(0, first), first + WINDOW + 2 * n
+                        if block.may_hold(item, words[first:end], threshold):
+                            mine.append((item, len(keys), first, end))
+                    if mine:
+                        keys.append((doc_id, digest))
+                        spans.append(places)
+                        numbers.append(words)
+                        pairs += mine
                 # Windows of all documents at hand are aligned together.
                 best: dict[tuple[int, int], tuple] = {}
                 for group in _groups(pairs, block):
@@ -236,7 +217,7 @@ def _aligned(docs: DataFrame, windows: DataFrame, items, threshold: float) -> Da
                     columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return both.select("doc_id", "text_hash", "text", "windows").mapInArrow(run, LEAKS)
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(run, LEAKS)
 
 
 def _groups(pairs: list[tuple], block: Items) -> Iterator[list[tuple]]:
@@ -285,9 +266,7 @@ def find_leaks(
         mine = tests.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == k) if blocks > 1 else tests
         block = Items.of(sorted((tuple(r) for r in mine.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         items = spark.sparkContext.broadcast(block)
-        hits = written(_hits(rows.where("text != ''"), items), "gram-hits")
-        windows = written(_windows(spark, hits, block), "seed-windows")
-        found = _aligned(rows, windows, items, threshold)
+        found = _found(rows.where("text != ''"), items, threshold)
         result = found if result is None else result.unionByName(found)
     # Equal items of several blocks, and repeated rows, are reported once.
     return result.distinct()

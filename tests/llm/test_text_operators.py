@@ -219,6 +219,31 @@ def test_leaks_are_found_and_clean_documents_stay(spark):
     assert decontaminate.find_leaks(df.limit(0), tests).count() == 0
 
 
+def test_many_edited_copies_next_to_one_verbatim_leak(spark):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(400)]
+    item = " ".join(rng.choices(words, k=40))
+    edited = item.split()
+    for k in range(0, 40, 6):
+        edited[k] = "changed"
+    one = " ".join([*rng.choices(words, k=90), *edited])
+    docs = [(k, one) for k in range(60)]  # one text
+    docs += [(100 + k, " ".join([*rng.choices(words, k=90), *edited])) for k in range(60)]  # texts of their own
+    docs += [(200, " ".join([*rng.choices(words, k=60), item]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(0, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.find_leaks(df, tests).collect()} == {d for d, _ in docs}
+
+
+def test_windows_do_not_hang_on_how_many_seeds_are_read_together(monkeypatch):
+    rng = random.Random(8)
+    block = decontaminate.Items.of([(k, " ".join(rng.choices("abcdef", k=20))) for k in range(30)])
+    text = block.numbers(rng.choices("abcdefgh", k=700))
+    whole = block.windows(text)
+    monkeypatch.setattr(decontaminate, "SEED_ROWS", 100)
+    assert whole and block.windows(text) == whole
+
+
 # --- language model ---------------------------------------------------------------------
 
 
