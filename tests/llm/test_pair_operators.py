@@ -125,6 +125,58 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert simhash.without_near_copies(df.limit(0)).count() == 0
 
 
+def kept_of(texts, similarity=0.8):
+    """Plain search: the first text of each group linked by Jaccard similarity of five-word shingles."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if group[a] != group[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-6:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    return sorted(set(group))
+
+
+def stay(spark, texts):
+    df = spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], DOCS)
+    return sorted(r.doc_id for r in simhash.without_near_copies(df).collect())
+
+
+def test_equal_fingerprints_are_not_enough(spark):
+    rng = random.Random(12)
+    line = "one line of nine words that is often repeated "
+    texts = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) + " " + line * 60 for _ in range(20)]
+    assert len({simhash.text_fingerprint(t.encode(), 5) for t in texts}) == 1
+    assert kept_of(texts) == stay(spark, texts) == list(range(20))
+
+
+@pytest.mark.parametrize(("n_words", "share", "times"), [(60, 0.02, 8), (250, 0.02, 8), (250, 0.02, 2), (60, 0.015, 1)])
+def test_every_pair_of_near_copies_is_found(spark, monkeypatch, n_words, share, times):
+    rng = random.Random(n_words)
+    texts = []
+    for _ in range(6):
+        base = [f"v{rng.randrange(3000)}" for _ in range(n_words)]
+        texts.append(" ".join(base))
+        texts += [" ".join(w if rng.random() > share else f"x{rng.randrange(10**6)}" for w in base) for _ in range(25)]
+    monkeypatch.setattr(simhash, "HOT_TIMES", times)
+    assert stay(spark, texts) == kept_of(texts)
+
+
+def test_a_link_between_members_that_the_ends_of_a_bucket_do_not_hold(spark):
+    rng = random.Random(3)
+    base = [f"v{k}" for k in range(200)]
+    left = base[:]
+    for k in range(10, 190, 30):
+        left[k] = f"l{k}"
+    texts = [" ".join(base[:160] + [f"a{k}" for k in range(40)])]
+    for k in range(30):
+        words = left[:]
+        words[rng.randrange(200)] = f"r{k}"
+        texts.append(" ".join(words))
+    assert stay(spark, texts) == kept_of(texts)
+
+
 # --- MinHash ----------------------------------------------------------------------------
 
 
