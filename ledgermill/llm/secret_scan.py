@@ -11,11 +11,10 @@ Spans are code points, end exclusive, written as kind:start:end.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +33,17 @@ KINDS = ("assign", "access", "hex", "der_key", "ssh_key", "signed_token")
 # A run of hex digits shorter than the least length fails as a whole, so it need not be visited.
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST["hex"])
 _LONG_ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (LEAST["access"] - 4))
-# Candidates of the structural kinds. Line breaks inside a block of base64 belong to it.
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
-_ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){24,}(?![0-9A-Za-z])")
-_TOKEN = re.compile(r"[A-Za-z0-9_-]{12,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-_SPACE = re.compile(r"[\r\n]")
+# Candidates of the structural kinds begin wherever the digits of a DER sequence or of the OpenSSH
+# block do, also inside a longer run of digits.
+_HEAD = re.compile(r"M(?=[A-P][A-Za-z0-9+/]{22})|b3BlbnNzaC1rZXkt(?=[A-Za-z0-9+/]{8})")
+_HEX_HEAD = re.compile(r"30(?=[0-9a-fA-F]{46})|6[fF]70656[eE]7373682[dD]6[bB]65792[dD](?=[0-9a-fA-F]{22})")
+_DIGITS, _HEX_DIGITS = re.compile(r"[A-Za-z0-9+/]+"), re.compile(r"[0-9a-fA-F]+")
+# Line breaks, escaped ones too, and the indentation of the next line belong to a block.
+_BREAK = re.compile(r"(?:[ \t]*(?:\r\n?|\n|(?:\\+r)?\\+n)[ \t]*)+")
+_PADDING = re.compile(r"={0,2}")
+# A token: its head is the end of a run of digits before a dot.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{12,}+)(?=\.([A-Za-z0-9_-]{4,}+)\.([A-Za-z0-9_-]*+))")
+_OBJECT = re.compile(r"e(?=[w-z0-9_-])")  # the first digits of a brace
 
 SEQUENCE, INTEGER, OCTETS = 0x30, 0x02, 0x04
 SSH_MAGIC = b"openssh-key-v1\x00"
@@ -95,31 +100,40 @@ def is_der_key(data: bytes) -> bool:
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key block: magic, three strings, a count, then that many keys and a rest."""
-    if not data.startswith(SSH_MAGIC):
-        return False
+    """An OpenSSH private key block and nothing behind it."""
+    return ssh_end(lambda n: data[:n]) == len(data)
+
+
+def ssh_end(first: Callable[[int], bytes]) -> int | None:
+    """Bytes of an OpenSSH private key block: magic, three strings, a count, then that many keys and a rest.
+
+    ``first(n)`` gives the first n bytes, or all if there are fewer.
+    """
+    if not first(len(SSH_MAGIC)).startswith(SSH_MAGIC):
+        return None
     at = len(SSH_MAGIC)
 
+    def word(at: int) -> int | None:
+        data = first(at + 4)
+        return int.from_bytes(data[at : at + 4], "big") if len(data) >= at + 4 else None
+
     def string(at: int) -> int | None:
-        if at + 4 > len(data):
-            return None
-        end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-        return end if end <= len(data) else None
+        size = word(at)
+        return None if size is None or len(first(at + 4 + size)) < at + 4 + size else at + 4 + size
 
     for _ in range(3):
         at = string(at)
         if at is None:
-            return False
-    if at + 4 > len(data):
-        return False
-    count, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    if not 1 <= count <= 16:
-        return False
+            return None
+    count = word(at)
+    if count is None or not 1 <= count <= 16:
+        return None
+    at += 4
     for _ in range(count + 1):
         at = string(at)
         if at is None:
-            return False
-    return at == len(data)
+            return None
+    return at
 
 
 def _json_object(part: str) -> dict | None:
@@ -139,37 +153,76 @@ def is_signed_token(text: str) -> bool:
     return bool(signature) or header["alg"].lower() == "none"
 
 
-def _decoded(text: str) -> bytes | None:
-    packed = _SPACE.sub("", text).rstrip("=")
-    packed = packed[: len(packed) - (len(packed) % 4 == 1)]  # a single digit holds no byte
-    try:
-        return base64.b64decode(packed + "=" * (-len(packed) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-
-
-def _der_end(text: str, start: int, end: int) -> int | None:
-    """Where a base64 key that begins at ``start`` ends; words that follow it may look like base64.
-
-    The outermost length tells how many digits belong to the key.
+class _Block:
+    """Digits of base64 or hex from a place on, across line breaks; read only as far as asked for."""
+
+    def __init__(self, text: str, start: int, base64_digits: bool) -> None:
+        self.text, self.start, self.is_base64 = text, start, base64_digits
+        self.runs: list[tuple[int, int]] = []  # places of the runs of digits
+        self.size, self.at = 0, start
+        self.bytes = b""
+
+    def first(self, n: int) -> bytes:
+        """The first n bytes, or as many as there are."""
+        if len(self.bytes) < n:
+            digits = -(-n * 4 // 3) if self.is_base64 else 2 * n
+            self._read(digits)
+            packed = "".join(self.text[lo:hi] for lo, hi in self.runs)[:digits]
+            if self.is_base64:
+                packed = packed[: len(packed) - (len(packed) % 4 == 1)]  # a single digit holds no byte
+                self.bytes = base64.b64decode(packed + "=" * (-len(packed) % 4))
+            else:
+                self.bytes = bytes.fromhex(packed[: len(packed) // 2 * 2])
+        return self.bytes[:n]
+
+    def _read(self, digits: int) -> None:
+        pattern = _DIGITS if self.is_base64 else _HEX_DIGITS
+        while self.size < digits:
+            run = pattern.match(self.text, self.at, self.at + digits - self.size)
+            if run is None:
+                gap = _BREAK.match(self.text, self.at)
+                if gap is None or not self.runs:
+                    return
+                run = pattern.match(self.text, gap.end(), gap.end() + digits - self.size)
+                if run is None:
+                    return
+            if self.runs and self.runs[-1][1] == run.start():
+                self.runs[-1] = self.runs[-1][0], run.end()
+            else:
+                self.runs.append(run.span())
+            self.size += run.end() - run.start()
+            self.at = run.end()
+
+    def stop(self, n: int) -> int:
+        """The place behind the digits of the first n bytes and their padding."""
+        left = -(-n * 4 // 3) if self.is_base64 else 2 * n
+        for lo, hi in self.runs:
+            if left <= hi - lo:
+                return _PADDING.match(self.text, lo + left).end() if self.is_base64 else lo + left
+            left -= hi - lo
+        raise ValueError("fewer digits than asked for")
+
+
+def _key_span(text: str, start: int, base64_digits: bool) -> tuple[str, int] | None:
+    """Kind and end of the key that begins at ``start``; words that follow it may look like its digits.
+
+    The lengths inside the key tell how many digits belong to it.
     """
-    data = _decoded(text[start:end])
-    outer = der_item(data, 0) if data else None
-    if outer is None or not is_der_key(data[: outer[2]]):
+    block = _Block(text, start, base64_digits)
+    head = block.first(12)
+    if head[:1] == b"o":
+        end = ssh_end(block.first)
+        return None if end is None else ("ssh_key", block.stop(end))
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[:1] != b"\x30" or width > 4 or head[1] == 0x80:
         return None
-    digits = [k for k in range(start, end) if text[k] not in "\r\n="]
-    stop = digits[-(-outer[2] * 8 // 6) - 1] + 1
-    while stop < end and text[stop] == "=":
-        stop += 1
-    return stop
-
-
-def _key_kind(data: bytes | None) -> str | None:
-    if data is None:
+    size = int.from_bytes(head[2 : 2 + width], "big") if width else head[1]
+    # The version tells keys from most other bytes before their digits are read.
+    if head[2 + width : 4 + width] != b"\x02\x01" or head[4 + width] > 1:
         return None
-    if data[:1] == b"\x30" and is_der_key(data):
-        return "der_key"
-    return "ssh_key" if is_ssh_key(data) else None
+    end = 2 + width + size
+    data = block.first(end)
+    return ("der_key", block.stop(end)) if len(data) == end and is_der_key(data) else None
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -185,21 +238,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def structural_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of candidates whose decoded bytes have the structure of a key or a signed token."""
     out = []
-    for m in _BASE64.finditer(text):
-        # The first bytes of a DER sequence and of the OpenSSH block fix the first base64 digits.
-        if text.startswith("M", m.start()):
-            stop = _der_end(text, m.start(), m.end())
-            if stop is not None:
-                out.append(("der_key", m.start(), stop))
-        elif text.startswith("b3BlbnNzaC1rZXkt", m.start()) and _key_kind(_decoded(m.group())):
-            out.append(("ssh_key", m.start(), m.end()))
-    for m in _ANY_HEX.finditer(text):
-        kind = _key_kind(bytes.fromhex(m.group()))
-        if kind:
-            out.append((kind, m.start(), m.end()))
+    for heads, base64_digits in ((_HEAD, True), (_HEX_HEAD, False)):
+        end = 0
+        for m in heads.finditer(text):
+            # Inside a key that was found nothing is looked for; behind it and behind rejected ones all is.
+            found = _key_span(text, m.start(), base64_digits) if m.start() >= end else None
+            if found:
+                end = found[1]
+                out.append((found[0], m.start(), end))
+    end = 0
     for m in _TOKEN.finditer(text):
-        if is_signed_token(m.group()):
-            out.append(("signed_token", m.start(), m.end()))
+        if m.start() < end or _json_object(m[2]) is None:
+            continue
+        for start in (m.start(), *(x.start() for x in _OBJECT.finditer(text, m.start() + 1, m.end()))):
+            if m.end() - start >= 12 and is_signed_token(f"{text[start:m.end()]}.{m[2]}.{m[3]}"):
+                end = m.end(3)
+                out.append(("signed_token", start, end))
+                break
     return out
 
 
