@@ -9,9 +9,8 @@ times their share (c + 1) / (n + v + 1) among those tokens, where unseen tokens
 start at the unigram distribution, so training can only improve on it.
 
 Training: truncated backpropagation over windows of ``STEPS`` tokens. A first model is learned from
-about ``FIRST_DOCS`` training documents; then every task goes on from it over windows of all its
-training documents (one in ``EVERY`` windows, at places that differ between documents) and the
-parameters of all tasks are averaged, weighted by their tokens. The work grows with the corpus.
+about ``FIRST_DOCS`` training documents; then every task goes on from it over all windows of all its
+training documents and the parameters of all tasks are averaged, weighted by their tokens. The work grows with the corpus.
 
 Scoring: documents lie in lanes one after the other; the state is carried from window to window
 and starts at zero with each document, so a document is scored whole, however long.
@@ -43,7 +42,7 @@ LOCAL_WORDS = 150_000  # counts that every task holds; all others are joined
 LOCAL_BYTES = 48
 SUFFIXES = 128
 SIZE, HIDDEN = 16, 16
-STEPS, LANES, EVERY = 32, 64, 6
+STEPS, LANES = 32, 64
 SCORE_STEPS = 64
 FIRST_DOCS, FIRST_PASSES = 1500, 2
 RATE, LATER_RATE = 0.01, 0.002
@@ -285,18 +284,15 @@ class Model:
         learner.step(grads)
 
 
-def train_on(model: Model, words: Words, texts: list[bytes], rate: float, every: int, passes: int) -> int:
-    """Truncated backpropagation over windows of the texts; returns the tokens seen.
-
-    Windows of a text come every ``every`` windows, starting at one that differs from text to text.
-    """
+def train_on(model: Model, words: Words, texts: list[bytes], rate: float, passes: int) -> int:
+    """Truncated backpropagation over all windows of the texts; returns the tokens seen."""
     rng = np.random.default_rng(SEED)
     size, lexicon, end = len(words.known), Lexicon(words), END.encode()
     lexicon.make_room()
     pieces = []
-    for place, text in enumerate(texts):
+    for text in texts:
         found = [end, *tokens(text), end]
-        for lo in range((place % every) * STEPS, len(found) - 1, every * STEPS):
+        for lo in range(0, len(found) - 1, STEPS):
             pieces.append(lexicon.rows(found[lo : lo + STEPS + 1]))
     number, read, _ = lexicon.settle()
     learner = gru.Adam(model.params, rate)
@@ -324,7 +320,7 @@ def first_model(rows: DataFrame, words: Words) -> Model:
     texts = training.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text")
     texts = texts.dropDuplicates(["doc_id"]).mapInArrow(_excerpts, "doc_id long, text binary")
     found = sorted(((r["doc_id"], bytes(r["text"])) for r in texts.collect()), key=lambda r: (r[0] is None, r[0] or 0))
-    train_on(model, words, [text for _, text in found], RATE, 1, FIRST_PASSES)
+    train_on(model, words, [text for _, text in found], RATE, FIRST_PASSES)
     return model
 
 
@@ -356,7 +352,7 @@ def average(rows: DataFrame, words: Words, start: Model) -> Model:
             for part in slices(batch, "text", SLICE_CHARS):
                 texts = [t for t, out in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True) if not out]
                 if texts:
-                    seen += train_on(model, known, texts, LATER_RATE, EVERY, 1)
+                    seen += train_on(model, known, texts, LATER_RATE, 1)
         if seen:
             flat = np.concatenate([v.ravel() for v in model.params.values()]).astype(np.float64) * seen
             parts = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)]
