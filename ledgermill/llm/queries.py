@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import decontaminate, minhash, packing, recurrent_lm, repeated_spans, secret_scan, simhash, token_store, toxicity, warc
+from ledgermill.llm import (
+    conversation_trie,
+    decontaminate,
+    minhash,
+    nearest_neighbours,
+    packing,
+    periodic_runs,
+    recurrent_lm,
+    repeated_spans,
+    secret_scan,
+    simhash,
+    token_store,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +80,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours.search(_table(spark, sf_dir, "embeddings"), every=20, nearest=20)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_nodes(_table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.repeat_tails(_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -77,5 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_neighbours": op11_neighbours,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {}
