@@ -10,8 +10,7 @@ Only distinct fingerprints are indexed. A bucket yields a spanning forest of its
 its pairs. A bucket beyond ``BLOCK`` members is dealt out again as pairs of blocks, so no task
 holds more than two blocks.
 
-``without_near_copies`` asks for similar shingle sets, which fingerprints cannot promise; it looks for
-its candidates in the shingles themselves (see there) and uses no fingerprint.
+Similar shingle sets are more than fingerprints can promise; for those see ``near_copies``.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import id_and_text, slices
@@ -33,9 +32,6 @@ SEED = 42
 SHINGLE = 3
 DISTANCE = 3
 BLOCK = 2048
-# Shingles in HOT_TIMES or more of the texts that a task counts together are common; the most common are
-# ordered behind all others. This order decides on speed alone.
-HOT_BUFFER, HOT_TIMES, HOT_SHINGLES = 4 << 20, 8, 50_000
 
 
 def shingle_hashes(text: bytes, words_in_shingle: int = SHINGLE) -> np.ndarray:
@@ -260,200 +256,3 @@ def near_duplicates(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def hex_fingerprint(column: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
-
-
-def _shingle_set(text: bytes, words_in_shingle: int) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted; a text without words has the empty shingle."""
-    found = shingle_hashes(text, words_in_shingle)
-    if not len(found):
-        found = np.array([xxhash.xxh64_intdigest(b"", SEED)], dtype="<u8")
-    return np.unique(found.view(np.int64))
-
-
-def _common_shingles(rows: DataFrame, words_in_shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of many texts, sorted, and the place of each when ordered by the number of texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def counted() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= HOT_TIMES
-            return pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(times[often])], names=["shingle", "n"])
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for text in part.column(1).to_pylist():
-                    held.append(_shingle_set(text, words_in_shingle))
-                    size += len(held[-1])
-                    if size >= HOT_BUFFER:
-                        yield counted()
-                        held, size = [], 0
-        if held:
-            yield counted()
-
-    counts = rows.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    found = counts.orderBy(F.desc("n"), "shingle").limit(HOT_SHINGLES).collect()
-    shingles = np.array([r["shingle"] for r in found], dtype=np.int64)
-    order = np.argsort(shingles)
-    return shingles[order], (len(found) - np.arange(len(found)))[order]
-
-
-def _least_shared(similarity: float, size: int) -> int:
-    return int(np.ceil(similarity * size - 1e-9))
-
-
-def _prefixes(rows: DataFrame, words_in_shingle: int, similarity: float) -> DataFrame:
-    """``key, node, size, place``: the first shingles of each distinct text in one order of all shingles.
-
-    Two texts that share enough shingles have one of their first n - least + 1 in common.
-    """
-    sent = rows.sparkSession.sparkContext.broadcast(_common_shingles(rows, words_in_shingle))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, ranks = sent.value
-        seen: set[int] = set()
-        for batch in batches:
-            for part in slices(batch, "text"):
-                keys, nodes, sizes = [], [], []
-                for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if node in seen:
-                        continue
-                    seen.add(node)
-                    found = _shingle_set(text, words_in_shingle)
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-                        found = found[np.argsort(np.where(common[at] == found, ranks[at], 0), kind="stable")]
-                    keys.append(found[: len(found) - _least_shared(similarity, len(found)) + 1])
-                    nodes.append(node)
-                    sizes.append(len(found))
-                if not keys:
-                    continue
-                times = [len(k) for k in keys]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys)),
-                        pa.array(np.repeat(np.array(nodes, dtype=np.int64), times)),
-                        pa.array(np.repeat(np.array(sizes, dtype=np.int32), times)),
-                        pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in times])),
-                    ],
-                    names=["key", "node", "size", "place"],
-                )
-
-    return rows.mapInArrow(run, "key long, node long, size int, place int")
-
-
-def _may_match(a: str, b: str, similarity: float) -> Column:
-    """Whether two texts can be similar if the key is the first shingle they share."""
-    size_a, size_b = F.col(f"{a}size"), F.col(f"{b}size")
-    rest = F.least(size_a - F.col(f"{a}place"), size_b - F.col(f"{b}place"))
-    return (rest * (1 + similarity) >= similarity * (size_a + size_b) - 1e-6) & (
-        F.least(size_a, size_b) >= similarity * F.greatest(size_a, size_b) - 1e-6
-    )
-
-
-def _sets(rows: DataFrame, nodes: DataFrame, words_in_shingle: int) -> DataFrame:
-    """``node, shingles`` of the texts among ``nodes``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = {}
-                for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if node not in seen:
-                        seen.add(node)
-                        found[node] = _shingle_set(text, words_in_shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.list_(pa.int64()))],
-                    names=["node", "shingles"],
-                )
-
-    wanted = rows.join(nodes, "node", "left_semi").select("node", "text")
-    return wanted.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
-
-
-def _alike(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links (a, b) whose texts share ``similarity`` of their distinct shingles (Jaccard)."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = links.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("left", "right"))
-    return both.where(shared >= similarity * (F.size("left") + F.size("right") - shared) - 1e-6).select("a", "b")
-
-
-def _similar_texts(rows: DataFrame, words_in_shingle: int, similarity: float) -> DataFrame:
-    """``node, component`` over every pair of distinct texts that are similar enough.
-
-    Texts with a key in common meet in its bucket. First the two ends of each bucket are compared with
-    all its members; what proves similar is contracted. Then every pair of a bucket whose texts are still
-    apart is compared, so a link is left out only where its texts are connected by verified ones.
-    """
-    whole = Window.partitionBy("key")
-    me = F.struct("node", "size", "place")
-    ends = _prefixes(rows, words_in_shingle, similarity).select(
-        "key", "node", "size", "place", F.min(me).over(whole).alias("first"), F.max(me).over(whole).alias("last")
-    )
-    shared = ends.where("first.node < last.node").dropDuplicates(["key", "node"])
-    shared = written(shared, "shared-shingles")
-    sets = written(_sets(rows, shared.select("node").distinct(), words_in_shingle), "shingle-sets")
-    link = [F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")]
-    stars = None
-    for end in ("first", "last"):
-        other = [F.col(f"{end}.{c}").alias(f"other_{c}") for c in ("node", "size", "place")]
-        mine = shared.select("node", "size", "place", *other).where("node != other_node")
-        mine = mine.where(_may_match("", "other_", similarity)).select(*link)
-        stars = mine if stars is None else stars.union(mine)
-    stars = written(_alike(written(stars.distinct(), "star-links"), sets, similarity), "verified-stars")
-    known = written(connected_components(stars), "contracted-texts")
-    placed = shared.select("key", "node", "size", "place").join(known, "node", "left")
-    placed = written(placed.withColumn("label", F.coalesce("component", "node")).drop("component"), "placed-texts")
-    labels = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = labels.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-    mixed = written(mixed.where("labels > 1").select("key", "main.label").withColumnRenamed("label", "main"), "mixed-buckets")
-    # Of two texts apart, one at least is not of the bucket's main component.
-    apart = placed.join(mixed, "key").where("label != main")
-    apart = apart.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "size", "place", "label")))
-    pairs = placed.join(apart, "key").where("label != other_label").where(_may_match("", "other_", similarity))
-    pairs = written(pairs.select(*link).distinct(), "pairs-apart")
-    # Contracted texts enter as stars around the name of their component.
-    contracted = known.where("node != component").selectExpr("node as a", "component as b")
-    return connected_components(_alike(pairs, sets, similarity).union(contracted))
-
-
-def without_near_copies(
-    docs: DataFrame,
-    words_in_shingle: int = 5,
-    similarity: float = 0.8,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """All columns of one row for each group of near copies: the smallest id, null last.
-
-    Two texts are near copies if they share ``similarity`` (more than 0) of their distinct shingles; all
-    such pairs are found. Texts without words, null ones included, are one group. Of rows with equal id
-    and text one stays, whichever.
-    """
-    rows = id_and_text(docs, id_col, text_col)
-    prints = written(rows.select("doc_id", F.xxhash64("text").alias("text_hash")), "text-hashes")
-    texts = rows.select(F.xxhash64("text").alias("node"), F.col("text").cast("binary").alias("text"))
-    linked = written(_similar_texts(texts, words_in_shingle, similarity), "linked-texts")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    firsts = prints.groupBy("text_hash").agg(F.min(order).alias("first"))
-    firsts = firsts.join(linked.withColumnRenamed("node", "text_hash"), "text_hash", "left")
-    keepers = firsts.groupBy(F.coalesce("component", "text_hash").alias("class")).agg(F.min("first").alias("first"))
-    keepers = keepers.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
-    # How many rows share the id and text of the one that stays: nearly always one.
-    equal = prints.groupBy(F.col("doc_id").alias("e_id"), F.col("text_hash").alias("e_hash")).agg(F.count("*").alias("rows"))
-    keepers = keepers.join(equal, F.expr("keep_id <=> e_id and keep_hash = e_hash")).drop("e_id", "e_hash")
-    keepers = written(keepers, "kept-rows")
-    names = docs.columns
-    inner = [f"c{k}" for k in range(len(names))]
-    base = docs.toDF(*inner)
-    key, text = F.col(inner[names.index(id_col)]), F.col(inner[names.index(text_col)])
-    same = key.cast("long").eqNullSafe(F.col("keep_id")) & (
-        F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))) == F.col("keep_hash")
-    )
-    once = base.join(keepers.where("rows = 1"), same, "left_semi")
-    many = base.join(keepers.where("rows > 1"), same).dropDuplicates(["keep_id", "keep_hash"]).select(*inner)
-    return once.unionByName(many).toDF(*names)
