@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from ledgermill.functions.dates import time_text
 from ledgermill.functions.fixed_values import DOMAINS
 from ledgermill.functions.text import json_fields, norm, yes_flag
 from ledgermill.operators import accounts, customers, quality, transactions
-from ledgermill.operators.audit import audited, run_log
+from ledgermill.operators.audit import QUALITY_TABLE, audited, logged, run_log
 from ledgermill.operators.keys import add_surrogate_key
 from ledgermill.operators.skew import row_tag, spread_join
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type
@@ -26,7 +27,17 @@ from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
 from ledgermill.plans import checks, metrics, reports
 from ledgermill.plans.ingest import run_ingest
-from ledgermill.plans.runs import SURROGATE_KEYS, run_all, run_transactions
+from ledgermill.plans.runs import (
+    CUSTOMER_AUDIT,
+    QUARANTINE,
+    REPORT,
+    SURROGATE_KEYS,
+    LoadRejected,
+    inspect_load,
+    load_tables,
+    run_all,
+    run_transactions,
+)
 from ledgermill.session import shared_folder
 from ledgermill.sources import bronze
 from ledgermill.sources.layers import Lake
@@ -374,9 +385,22 @@ def _etl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# (application, test folder) -> lake, silver tables and batch of one whole run
+_runs: dict[tuple[str, str], tuple[Lake, dict[str, DataFrame], str]] = {}
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, DataFrame], str]:
+    """One run over the bronze tables, shared by the queries that look at its results."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _runs:
+        t, lake, batch = Layers(spark, sf_dir), _lake(spark), uuid.uuid4().hex
+        frames = ([t[f"bronze_{n}"]] for n in ("customers", "accounts", "transactions"))
+        _runs[key] = lake, run_all(lake, *frames, batch_id=batch), batch
+    return _runs[key]
+
+
 def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Layers(spark, sf_dir)
-    tables = run_all(_lake(spark), [t["bronze_customers"]], [t["bronze_accounts"]], [t["bronze_transactions"]])
+    _, tables, _ = _whole_run(spark, sf_dir)
     counted = [
         df.agg(
             F.count(F.lit(1)).alias("rows"),
@@ -388,6 +412,99 @@ def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(checks.together(counted))
 
 
+def _run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags a run counted while it wrote its staging tables."""
+    lake, _, batch = _whole_run(spark, sf_dir)
+    return logged(lake, QUALITY_TABLE, batch).select("flag", "flagged", "rows")
+
+
+def _published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the silver tables as SQL finds them after a run."""
+    lake, tables, _ = _whole_run(spark, sf_dir)
+    if len(_runs) > 1:  # a run over another folder has published its own tables since
+        lake.publish("silver", list(tables))
+    return checks.together([spark.sql(f"select '{n}' as table_name, count(*) as rows from silver.{n}") for n in tables])
+
+
+def _rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files to bronze to facts: every value that did not fit, with its key and source."""
+    t, lake, batch = Layers(spark, sf_dir), _lake(spark), uuid.uuid4().hex
+    path = os.path.join(lake.root, "landing", "transactions_text.parquet")
+    _text_transactions(t).write.parquet(path)
+    run_ingest(lake, [path])
+    run_transactions(lake, [lake.read("bronze", "erp_transactions_text")], t["fact_accounts"], batch)
+    source = F.regexp_replace("source", "^.*/", "").alias("source")
+    return logged(lake, QUARANTINE, batch).select("table_name", source, "key", "column_name", "value")
+
+
+def _in_lake(lake: Lake, tables: list[str]) -> list[DataFrame]:
+    read = F.lit("READ").alias("status")
+    return [
+        lake.read("silver", n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), read, "rows") for n in tables
+    ]
+
+
+def _customer_tables(stg: DataFrame, names: list[str]) -> dict[str, Callable[[], DataFrame]]:
+    return {n: (lambda build=CUSTOMER_TABLES[n]: build(stg)) for n in names}
+
+
+def _failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables are loaded; then a load of fewer rows fails in one builder, and all three read as before."""
+    stg, lake, batch = Layers(spark, sf_dir)["stg_customers"], _lake(spark), uuid.uuid4().hex
+    names = ["fact_customers", "dim_addresses", "dim_contacts"]
+    with lake.load() as load:
+        load_tables(load, _customer_tables(stg, names), CUSTOMER_AUDIT, batch)
+    fewer = _customer_tables(stg.where(F.col("customer_type") == "COMPANY"), names)
+    whole = fewer["dim_contacts"]
+    fewer["dim_contacts"] = lambda: whole().withColumn("contact", F.raise_error(F.lit("broken row")).cast("string"))
+    try:
+        with lake.load() as load:
+            load_tables(load, fewer, CUSTOMER_AUDIT, batch)
+    except PySparkException:
+        pass
+    failed = run_log(lake).where(F.col("status") == "FAILED")
+    failed = failed.select(F.col("procedure_name").alias("name"), "status", F.col("rows_processed").alias("rows"))
+    return checks.together([*_in_lake(lake, names), failed])
+
+
+def _gated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with customers that are there twice is reported and not published."""
+    stg, lake, batch = Layers(spark, sf_dir)["stg_customers"], _lake(spark), uuid.uuid4().hex
+    names, gates = ["fact_customers", "dim_contacts"], ["UNIQUE:fact_customers"]
+    with lake.load() as load:
+        inspect_load(lake, load_tables(load, _customer_tables(stg, names), CUSTOMER_AUDIT, batch), gates, batch)
+    twice, batch = _customer_tables(stg, names), uuid.uuid4().hex
+    once = twice["fact_customers"]
+    twice["fact_customers"] = lambda: once().unionByName(once().where(F.col("customer_type") == "COMPANY"))
+    try:
+        with lake.load() as load:
+            inspect_load(lake, load_tables(load, twice, CUSTOMER_AUDIT, batch), gates, batch)
+    except LoadRejected:
+        pass
+    report = logged(lake, REPORT, batch).where("blocking")
+    report = report.select(F.concat_ws(":", "rule", "table_name").alias("name"), F.lit("REJECTED").alias("status"), F.col("violations").alias("rows"))
+    return checks.together([*_in_lake(lake, names), report])
+
+
+def _changed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second ingest: early years are delivered no more, 1997 has changed, the rest is as before."""
+    lake, orders = _lake(spark), yearly_orders(spark, sf_dir).drop("_source_file_url")
+    landing = os.path.join(lake.root, "landing")
+
+    def deliver(rows: DataFrame, years: list[int]) -> None:
+        for year in years:
+            part = rows.where(F.year("o_orderdate") == year)
+            part.write.mode("overwrite").parquet(os.path.join(landing, f"orders_{year}.parquet"))
+
+    years = _years(orders)
+    deliver(orders, years)
+    run_ingest(lake, [os.path.join(landing, f"orders_{y}.parquet") for y in years], only_changed=True)
+    later = _second_load(orders)
+    deliver(later, [1997])
+    done = run_ingest(lake, [os.path.join(landing, f"orders_{y}.parquet") for y in _years(later)], only_changed=True)
+    return done.select("table_name", "status", "rows", "columns")
+
+
 def _movement(t: Layers) -> DataFrame:
     return metrics.customer_movement(t["fact_customers"], t["fact_accounts"], t["dim_account_status"])
 
@@ -518,6 +635,12 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": _on_layers(_surrogate_keys),
     "etl_log": lambda s, d: comparable(_etl_log(s, d)),
     "run_all": _run_all,
+    "run_quality": lambda s, d: comparable(_run_quality(s, d)),
+    "published_counts": lambda s, d: comparable(_published_counts(s, d)),
+    "rescued_values": _rescued_values,
+    "failed_load": lambda s, d: comparable(_failed_load(s, d)),
+    "gated_load": lambda s, d: comparable(_gated_load(s, d)),
+    "changed_extracts": lambda s, d: comparable(_changed_extracts(s, d)),
     "distinct_accounts": _on_layers(lambda t: metrics.distinct_accounts(t["bronze_accounts"])),
     # gold metrics
     "m01_customer_base_growth": _on_layers(lambda t: metrics.customer_base_growth(t["fact_customers"])),

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.sources.schemas import rescued
+
 
 def _violations(df: DataFrame, table: str, key: str, rules: list[tuple[str, str, str]]) -> DataFrame:
     """Rows breaking any of (rule, SQL condition, SQL detail)."""
@@ -119,33 +121,45 @@ def check_casts(df: DataFrame, table: str, key: str, spec: dict[str, list[str]])
     )
 
 
+def rescued_values(df: DataFrame, table: str, key: str, spec: dict[str, list[str]], source: str | None = None) -> DataFrame:
+    """Values lost on the way to their types: (table_name, source, key, column_name, value).
+
+    Reads the columns whose type differs, and none if all fit. Without the column ``source`` it is NULL.
+    """
+    origin = F.col(source) if source and source in df.columns else F.lit(None).cast("string")
+    name = F.col(key).cast("string") if key in df.columns else F.lit(None).cast("string")
+    lost = df.select(F.lit(table).alias("table_name"), origin.alias("source"), name.alias("key"), rescued(df, spec).alias("lost"))
+    return lost.where(F.col("lost").isNotNull()).select(
+        "table_name", "source", "key", F.explode("lost").alias("column_name", "value")
+    )
+
+
+def customer_flags() -> dict[str, Column]:
+    flags = ("is_invalid_email_format", "registered_expired_document", "registered_expired_visa")
+    return {n: F.col(n) == 1 for n in flags}
+
+
+def account_flags() -> dict[str, Column]:
+    return {
+        "duplicate_account_number": F.col("account_number_count") > 1,
+        "duplicate_account_id": F.col("account_id_count") > 1,
+        "duplicate_card_number": F.col("card_number_count") > 1,
+        "over_one_primary_acc": F.col("over_one_primary_acc") == 1,
+        "invalid_date": F.col("invalid_date") == 1,
+    }
+
+
+def counters(flags: dict[str, Column]) -> list[Column]:
+    """How many rows each flag marks."""
+    return [F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).alias(n) for n, c in flags.items()]
+
+
 def quality_summary(customers: DataFrame, accounts: DataFrame) -> DataFrame:
     """(flag, flagged, rows) for the quality flags of the two staging tables."""
 
     def counted(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
-        totals = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *(F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).alias(n) for n, c in flags.items()),
-        )
+        totals = df.agg(F.count(F.lit(1)).alias("rows"), *counters(flags))
         rows = [F.struct(F.lit(n).alias("flag"), F.col(n).alias("flagged"), F.col("rows")) for n in flags]
         return totals.select(F.inline(F.array(*rows)))
 
-    return counted(
-        customers,
-        {
-            "is_invalid_email_format": F.col("is_invalid_email_format") == 1,
-            "registered_expired_document": F.col("registered_expired_document") == 1,
-            "registered_expired_visa": F.col("registered_expired_visa") == 1,
-        },
-    ).unionByName(
-        counted(
-            accounts,
-            {
-                "duplicate_account_number": F.col("account_number_count") > 1,
-                "duplicate_account_id": F.col("account_id_count") > 1,
-                "duplicate_card_number": F.col("card_number_count") > 1,
-                "over_one_primary_acc": F.col("over_one_primary_acc") == 1,
-                "invalid_date": F.col("invalid_date") == 1,
-            },
-        )
-    )
+    return counted(customers, customer_flags()).unionByName(counted(accounts, account_flags()))

@@ -67,3 +67,24 @@ def check_silver(tables: Tables) -> DataFrame:
             quality.check_current_address(tables["dim_addresses"]),
         ]
     )
+
+
+def check_tables(tables: Tables) -> DataFrame | None:
+    """The violations of every rule whose tables are among these; none if no rule applies."""
+    there = {n: tables[n] for n in tables}
+    found = [quality.check_not_null(there[n], n, key_of(n), c) for n, c in REQUIRED.items() if n in there]
+    found += [quality.check_domain(there[n], n, key_of(n), labels) for n, labels in DOMAINS.items() if n in there]
+    found += [quality.check_unique(there[n], n, keys) for n, keys in UNIQUE_KEYS.items() if n in there]
+    found += [
+        quality.check_reference(there[child], child, column, there[parent], parent_column)
+        for child, (column, parent, parent_column) in REFERENCES.items()
+        if child in there and parent in there
+    ]
+    found += [
+        quality.check_limits(there[n], n, key_of(n), TEXT_LIMITS.get(n, {}), NUMBER_LIMITS.get(n, {}))
+        for n in dict.fromkeys([*TEXT_LIMITS, *NUMBER_LIMITS])
+        if n in there
+    ]
+    if "dim_addresses" in there:
+        found.append(quality.check_current_address(there["dim_addresses"]))
+    return together(found) if found else None

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgermill.operators.accounts import clean_accounts
-from ledgermill.operators.audit import audited
+from ledgermill.operators.audit import add_to_log, audited
 from ledgermill.operators.customers import clean_customers
 from ledgermill.operators.keys import add_audit_columns, add_defaults, add_surrogate_key
+from ledgermill.operators.quality import account_flags, customer_flags, rescued_values
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type, build_fact_accounts
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.transactions import build_fact_transactions, clean_transactions, with_amount
 from ledgermill.operators.unions import union_conformed
-from ledgermill.sources.layers import Lake
+from ledgermill.plans.checks import check_tables, together
+from ledgermill.sources.layers import Lake, Load
 from ledgermill.sources.schemas import ACCOUNTS, CUSTOMERS, TRANSACTIONS
 
 # --- fixed values: surrogate key and audit column names ---------------------------------
@@ -47,6 +50,8 @@ SURROGATE_KEYS = {
 ACCOUNT_AUDIT = ("created_at", "updated_at")
 CUSTOMER_AUDIT = ("created_date", "update_date")
 
+VIOLATIONS, REPORT, QUARANTINE = "violations", "quality_report", "quarantine"
+
 # tables written side by side; each write is a Spark job of its own
 PARALLEL_WRITES = 4
 
@@ -59,34 +64,81 @@ def _finished(df: DataFrame, table: str, audit: tuple[str, str]) -> DataFrame:
     return add_audit_columns(add_defaults(df, table), *audit)
 
 
-def _load(
-    lake: Lake, tables: dict[str, Callable[[], DataFrame]], audit: tuple[str, str], batch_id: str
+class LoadRejected(Exception):
+    """A load broke rules that it must keep; none of its tables was published."""
+
+
+def load_tables(
+    load: Load, tables: dict[str, Callable[[], DataFrame]], audit: tuple[str, str], batch_id: str
 ) -> dict[str, DataFrame]:
-    def load(item):
+    """Builds and writes silver tables side by side; they are seen by this load only until it commits."""
+
+    def one(item):
         table, build = item
         written = audited(
-            lake,
+            load.lake,
             f"load_{table}",
             lambda: _finished(build(), table, audit),
-            lambda df: lake.write(df, "silver", table),
+            lambda df: load.write(df, "silver", table),
             batch_id,
         )
         return table, written
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-        return dict(pool.map(load, tables.items()))
+        return dict(pool.map(one, tables.items()))
+
 
+def _stage(
+    load: Load, table: str, step: Callable[[], DataFrame], batch_id: str, flags: dict[str, Column] | None = None
+) -> DataFrame:
+    return audited(load.lake, f"clean_{table}", step, lambda df: load.write(df, "staging", table), batch_id, flags)
 
-def _stage(lake: Lake, table: str, step: Callable[[], DataFrame], batch_id: str) -> DataFrame:
-    return audited(lake, f"clean_{table}", step, lambda df: lake.write(df, "staging", table), batch_id)
 
+def inspect_load(lake: Lake, tables: Mapping[str, DataFrame], gates: Collection[str], batch_id: str) -> None:
+    """Checks written tables before they are published.
 
-def run_customers(lake: Lake, bronze: list[DataFrame], batch_id: str | None = None) -> dict[str, DataFrame]:
-    """Clean the yearly customer frames and load eleven tables."""
+    Violations go to ``error_log/violations``, their numbers per rule and table to
+    ``error_log/quality_report``. A violation of a rule among the ``gates`` rejects the load; a gate is a
+    rule such as UNIQUE, or a rule of one table such as UNIQUE:fact_customers.
+    """
+    found = check_tables(tables)
+    if found is None:
+        return
+    place = add_to_log(lake, VIOLATIONS, found, batch_id)
+    rows = lake.spark.read.schema(found.schema).parquet(place)
+    gate = F.concat_ws(":", "rule", "table_name")
+    blocking = F.col("rule").isin(list(gates)) | gate.isin(list(gates))
+    counted = rows.groupBy("rule", "table_name").agg(F.count(F.lit(1)).alias("violations"), F.min("key").alias("example"))
+    report = add_to_log(lake, REPORT, counted.withColumn("blocking", blocking), batch_id)
+    broken = lake.spark.read.parquet(report).where("blocking").orderBy("rule", "table_name").collect()
+    if broken:
+        named = ", ".join(f"{r.rule} of {r.table_name}: {r.violations}" for r in broken)
+        raise LoadRejected(f"not published, {named}")
+
+
+def quarantine(
+    lake: Lake, table: str, key: str, frames: list[DataFrame], spec: dict[str, list[str]], batch_id: str
+) -> None:
+    """Lists every delivered value that ingest or the cast to the specified types loses."""
+    lost = [rescued_values(df, table, key, spec, "_source_file_url") for df in frames]
+    if lost:
+        add_to_log(lake, QUARANTINE, together(lost), batch_id)
+
+
+def run_customers(
+    lake: Lake, bronze: list[DataFrame], batch_id: str | None = None, gates: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Clean the yearly customer frames and load eleven tables, all or none."""
     batch_id = batch_id or uuid.uuid4().hex
-    stg = _stage(lake, "customers", lambda: clean_customers(union_conformed(bronze, CUSTOMERS)), batch_id)
-    builders = {name: (lambda build=build: build(stg)) for name, build in CUSTOMER_TABLES.items()}
-    return _load(lake, builders, CUSTOMER_AUDIT, batch_id)
+    quarantine(lake, "customers", "customer_id", bronze, CUSTOMERS, batch_id)
+    with lake.load() as load:
+        stg = _stage(
+            load, "customers", lambda: clean_customers(union_conformed(bronze, CUSTOMERS)), batch_id, customer_flags()
+        )
+        builders = {name: (lambda build=build: build(stg)) for name, build in CUSTOMER_TABLES.items()}
+        tables = load_tables(load, builders, CUSTOMER_AUDIT, batch_id)
+        inspect_load(lake, tables, gates, batch_id)
+    return tables
 
 
 def run_accounts(
@@ -95,49 +147,74 @@ def run_accounts(
     fact_customers: DataFrame,
     batch_id: str | None = None,
     known_types: DataFrame | None = None,
+    gates: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """R2: clean the yearly account frames and load nine tables.
+    """R2: clean the yearly account frames and load nine tables, all or none.
 
     ``known_types`` are account types of an earlier load; they keep their numbers.
     """
     batch_id = batch_id or uuid.uuid4().hex
-    stg = _stage(
-        lake, "accounts", lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers), batch_id
-    )
-    builders = {name: (lambda build=build: build(stg)) for name, build in ACCOUNT_TABLES.items()}
-    if known_types is not None:
-        types = known_types.select("account_type_id", "account_type")
-        builders["dim_account_type"] = lambda: types.unionByName(build_dim_account_type(stg, types))
-    tables = _load(lake, builders, ACCOUNT_AUDIT, batch_id)
-    fact = {"fact_accounts": lambda: build_fact_accounts(stg, tables["dim_account_type"])}
-    return tables | _load(lake, fact, ACCOUNT_AUDIT, batch_id)
+    quarantine(lake, "accounts", "account_id", bronze, ACCOUNTS, batch_id)
+    with lake.load() as load:
+        stg = _stage(
+            load,
+            "accounts",
+            lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers),
+            batch_id,
+            account_flags(),
+        )
+        builders = {name: (lambda build=build: build(stg)) for name, build in ACCOUNT_TABLES.items()}
+        if known_types is not None:
+            types = known_types.select("account_type_id", "account_type")
+            builders["dim_account_type"] = lambda: types.unionByName(build_dim_account_type(stg, types))
+        tables = load_tables(load, builders, ACCOUNT_AUDIT, batch_id)
+        fact = {"fact_accounts": lambda: build_fact_accounts(stg, tables["dim_account_type"])}
+        tables |= load_tables(load, fact, ACCOUNT_AUDIT, batch_id)
+        inspect_load(lake, tables, gates, batch_id)
+    return tables
 
 
 def run_transactions(
-    lake: Lake, bronze: list[DataFrame], fact_accounts: DataFrame, batch_id: str | None = None
+    lake: Lake,
+    bronze: list[DataFrame],
+    fact_accounts: DataFrame,
+    batch_id: str | None = None,
+    gates: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """Clean the transaction frames and load the transaction facts."""
+    """Clean the transaction frames and load the transaction facts, with their staging table or not at all."""
     batch_id = batch_id or uuid.uuid4().hex
-    stg = _stage(
-        lake,
-        "transactions",
-        lambda: clean_transactions(
-            union_conformed([with_amount(df) for df in bronze], TRANSACTIONS), fact_accounts, amounts_checked=True
-        ),
-        batch_id,
-    )
-    return _load(lake, {"fact_transactions": lambda: build_fact_transactions(stg)}, CUSTOMER_AUDIT, batch_id)
+    quarantine(lake, "transactions", "transaction_id", bronze, TRANSACTIONS, batch_id)
+    with lake.load() as load:
+        stg = _stage(
+            load,
+            "transactions",
+            lambda: clean_transactions(
+                union_conformed([with_amount(df) for df in bronze], TRANSACTIONS), fact_accounts, amounts_checked=True
+            ),
+            batch_id,
+        )
+        facts = {"fact_transactions": lambda: build_fact_transactions(stg)}
+        tables = load_tables(load, facts, CUSTOMER_AUDIT, batch_id)
+        inspect_load(lake, tables, gates, batch_id)
+    return tables
 
 
 def run_all(
-    lake: Lake, customers: list[DataFrame], accounts: list[DataFrame], transactions: list[DataFrame]
+    lake: Lake,
+    customers: list[DataFrame],
+    accounts: list[DataFrame],
+    transactions: list[DataFrame],
+    gates: Collection[str] = (),
+    batch_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Customers, then accounts, then transactions; returns the 21 silver tables.
 
-    The entries of a run in the log share one batch.
+    Each of the three is loaded as a whole or not at all. The entries of a run in the log, in the quality
+    tables and in the quarantine share one batch. At the end the silver tables are published for SQL.
     """
-    batch_id = uuid.uuid4().hex
-    tables = run_customers(lake, customers, batch_id)
-    tables |= run_accounts(lake, accounts, tables["fact_customers"], batch_id)
-    tables |= run_transactions(lake, transactions, tables["fact_accounts"], batch_id)
+    batch_id = batch_id or uuid.uuid4().hex
+    tables = run_customers(lake, customers, batch_id, gates)
+    tables |= run_accounts(lake, accounts, tables["fact_customers"], batch_id, gates=gates)
+    tables |= run_transactions(lake, transactions, tables["fact_accounts"], batch_id, gates)
+    lake.publish("silver", list(tables))
     return tables

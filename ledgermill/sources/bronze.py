@@ -93,14 +93,19 @@ def add_ingest_metadata(df: DataFrame, source: str = "_source_file_url") -> Data
     return tagged.select(*df.columns, _loaded_at().alias("_ingestion_timestamp"), "_source_hash")
 
 
-def tag_extract(df: DataFrame, path: str) -> DataFrame:
-    """The three metadata columns of a frame that is one extract; its hash needs no join."""
-    hashed = source_hash(df.withColumn("_source_file_url", F.lit(path)))
+def extract_hash(df: DataFrame, path: str) -> str | None:
+    """The content hash of a frame that is one extract; NULL without rows."""
+    found = source_hash(df.withColumn("_source_file_url", F.lit(path))).first()
+    return found["source_hash"] if found else None
+
+
+def tag_extract(df: DataFrame, path: str, digest: str | None) -> DataFrame:
+    """The three metadata columns of a frame that is one extract."""
     return df.withColumns(
         {
             "_source_file_url": F.lit(path),
             "_ingestion_timestamp": _loaded_at(),
-            "_source_hash": hashed.select("source_hash").scalar(),
+            "_source_hash": F.lit(digest).cast("string"),
         }
     )
 
@@ -197,3 +202,28 @@ def preprocess(df: DataFrame) -> DataFrame:
         return c
 
     return df.select(*(column(f).alias(f.name) for f in df.schema.fields))
+
+
+RESCUED = "_rescued"
+
+
+def rescued_map(lost: dict[str, Column], before: Column | None = None) -> Column:
+    """Column name -> delivered text that was lost; NULL if none was. ``lost``: that text or NULL."""
+    entries = F.array(*(F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in lost.items()))
+    found = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())) if lost else F.create_map()
+    found = found.cast("map<string,string>")
+    if before is not None:
+        earlier = F.coalesce(before, F.create_map().cast("map<string,string>"))
+        found = F.map_concat(F.map_filter(earlier, lambda k, _: ~F.map_contains_key(found, k)), found)
+    return F.when(F.size(found) > 0, found)
+
+
+def preprocess_rescued(df: DataFrame) -> DataFrame:
+    """As :func:`preprocess`, with the text of dates that could not be read in a map column."""
+    lost = {}
+    for field in df.schema.fields:
+        dated = any(k in field.name.lower() for k in ("date", "time"))
+        if isinstance(field.dataType, T.StringType) and dated:
+            given = F.col(field.name)
+            lost[field.name] = F.when((F.trim(given) != "") & moment(given).isNull(), given)
+    return preprocess(df.withColumn(RESCUED, rescued_map(lost)))

@@ -1,13 +1,28 @@
-"""Layer folders: bronze, silver, gold and the error log."""
+"""Layer folders: bronze, staging, silver, gold and the error log.
+
+A table lies in a version folder of its own. A manifest names the version of every table; the manifest
+with the highest number holds. Tables of one load become visible together, when their manifest is put
+down, and a load that fails leaves every table as it was. Nothing is renamed.
+"""
 
 from __future__ import annotations
 
+import json
 import os
+import threading
+import time
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "staging", "silver", "gold", "error_log")
+MANIFESTS = "_manifests"
+TRIES = 20
+
+_commits: dict[str, threading.Lock] = {}
 
 
 class Lake:
@@ -17,45 +32,166 @@ class Lake:
         self.spark = spark
         self.root = root
 
-    def path(self, layer: str, table: str) -> str:
+    def home(self, layer: str, table: str) -> str:
+        """The folder of a table that has no versions, such as a log."""
         if layer not in LAYERS:
             raise ValueError(f"unknown layer: {layer}")
         return os.path.join(self.root, layer, table)
 
-    def write(
-        self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None
-    ) -> DataFrame:
-        """Full load: write the new table beside the old one, then put it in its place.
-
-        A load that fails leaves the old table as it was.
-        """
-        home = self.path(layer, table)
-        fresh = f"{home}.new-{uuid.uuid4().hex}"
-        writer = df.write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(fresh)
-        self._replace(home, fresh)
-        return self.read(layer, table)
+    def path(self, layer: str, table: str) -> str:
+        """The folder that holds the table now."""
+        home = self.home(layer, table)
+        entry = self.entry(layer, table)
+        return os.path.join(self.root, entry["path"]) if entry else home
 
-    def _replace(self, home: str, fresh: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        target, new, old = path(home), path(fresh), path(f"{home}.old-{uuid.uuid4().hex}")
-        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if files.exists(target) and not files.rename(target, old):
-            raise OSError(f"could not set {home} aside")
-        if not files.rename(new, target):
-            files.rename(old, target)
-            raise OSError(f"could not put {fresh} in place")
-        files.delete(old, True)
+    def entry(self, layer: str, table: str) -> dict | None:
+        """What the manifest says of a table: its path, and what the load that wrote it added."""
+        return self.manifest()[1].get(f"{layer}/{table}")
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
+    def write(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
+        """Full load of one table. A load that fails leaves the old table as it was."""
+        with self.load() as load:
+            load.write(df, layer, table, partition_by)
+        return self.read(layer, table)
+
+    @contextmanager
+    def load(self) -> Iterator[Load]:
+        """Tables written inside become visible together at the end; after a failure none does."""
+        load = Load(self)
+        try:
+            yield load
+            load.commit()
+        except BaseException:
+            load.abandon()
+            raise
+
     def publish(self, layer: str, tables: list[str]) -> None:
-        """Make tables of a layer readable in SQL as ``layer.table``."""
+        """Make the present versions of tables of a layer readable in SQL as ``layer.table``."""
         location = os.path.join(self.root, layer)
         self.spark.sql(f"create database if not exists {layer} location '{location}'")
         for table in tables:
             self.spark.sql(f"drop table if exists {layer}.{table}")
             self.spark.sql(f"create table {layer}.{table} using parquet location '{self.path(layer, table)}'")
+
+    # --- manifests: <number> holds the name of a file that was complete before -------------------
+
+    def _files(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _put(self, path: str, text: str) -> None:
+        """A new file; fails if there is one of this name."""
+        files, place = self._files(path)
+        out = files.create(place, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def _get(self, path: str) -> str:
+        files, place = self._files(path)
+        source = files.open(place)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
+    def remove(self, path: str) -> None:
+        files, place = self._files(path)
+        files.delete(place, True)
+
+    def manifest(self) -> tuple[int, dict[str, dict]]:
+        """The number of the newest manifest and its tables; 0 and none before the first load."""
+        folder = os.path.join(self.root, MANIFESTS)
+        files, place = self._files(folder)
+        if not files.exists(place):
+            return 0, {}
+        numbers = [int(s.getPath().getName()) for s in files.listStatus(place) if s.getPath().getName().isdigit()]
+        for number in sorted(numbers, reverse=True):
+            name = self._get(os.path.join(folder, f"{number:010d}"))
+            if name.endswith("\n"):  # else a writer is still about to put it down
+                return number, json.loads(self._get(os.path.join(folder, name.strip())))
+        return 0, {}
+
+    def _commit(self, changes: Mapping[str, dict | None]) -> None:
+        """Puts down the next manifest: the newest one with the changes (none: the table goes).
+
+        Another load that commits at the same time takes the number first; then its manifest is the base.
+        """
+        folder = os.path.join(self.root, MANIFESTS)
+        with _commits.setdefault(self.root, threading.Lock()):
+            for trial in range(TRIES):
+                number, tables = self.manifest()
+                stale = []
+                for table, entry in changes.items():
+                    old = tables.pop(table, None)
+                    stale += [old["previous"]] if old and old.get("previous") else []
+                    if entry is not None:
+                        # The version before stays readable for who has opened it.
+                        tables[table] = {**entry, "previous": old["path"] if old else None}
+                    elif old:
+                        stale.append(old["path"])
+                name = f"{uuid.uuid4().hex}.json"
+                self._put(os.path.join(folder, name), json.dumps(tables, sort_keys=True))
+                try:
+                    self._put(os.path.join(folder, f"{number + 1:010d}"), f"{name}\n")
+                except Exception as taken:
+                    self.remove(os.path.join(folder, name))
+                    if trial == TRIES - 1 or "AlreadyExists" not in str(taken) and "already exists" not in str(taken):
+                        raise
+                    time.sleep(0.1 * (trial + 1))
+                    continue
+                for path in stale:
+                    self.remove(os.path.join(self.root, path))
+                return
+
+
+class Load:
+    """Tables that become visible together. Several threads may write into one load."""
+
+    def __init__(self, lake: Lake):
+        self.lake = lake
+        self._changes: dict[str, dict | None] = {}
+        self._written: list[str] = []
+        self._guard = threading.Lock()
+
+    def write(
+        self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None, **facts: str | int | None
+    ) -> DataFrame:
+        """Writes a version that only this load sees; ``facts`` are kept in the manifest."""
+        home = self.lake.home(layer, table)
+        path = f"{os.path.relpath(home, self.lake.root)}.v-{uuid.uuid4().hex}"
+        place = os.path.join(self.lake.root, path)
+        with self._guard:
+            self._written.append(place)
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(place)
+        with self._guard:
+            self._changes[f"{layer}/{table}"] = {"path": path, **facts}
+        return self.lake.spark.read.parquet(place)
+
+    def note(self, layer: str, table: str, **facts: str | int | None) -> None:
+        """Adds facts to a table of this load."""
+        with self._guard:
+            self._changes[f"{layer}/{table}"].update(facts)
+
+    def drop(self, layer: str, table: str) -> None:
+        with self._guard:
+            self._changes[f"{layer}/{table}"] = None
+
+    def commit(self) -> None:
+        if self._changes:
+            self.lake._commit(self._changes)
+
+    def abandon(self) -> None:
+        """Removes what was written; a file system that refuses must not hide why the load failed."""
+        for place in self._written:
+            try:
+                self.lake.remove(place)
+            except PySparkException:
+                continue

@@ -107,3 +107,15 @@ def conform(df: DataFrame, spec: dict[str, list[str]]) -> DataFrame:
         return F.col(name).try_cast(kind).alias(name)
 
     return df.select(*(column(n, t) for n, t in wanted.items()))
+
+
+def rescued(df: DataFrame, spec: dict[str, list[str]]):
+    """Map column: delivered text that :func:`conform` turns to NULL, and what was lost before."""
+    from ledgermill.sources.bronze import RESCUED, rescued_map
+
+    present, lost = dict(df.dtypes), {}
+    for name, kind in columns(spec).items():
+        if name in present and present[name] != kind and kind != "string":
+            given = F.trim(F.col(name).cast("string"))
+            lost[name] = F.when((given != "") & given.try_cast(kind).isNull(), given)
+    return rescued_map(lost, F.col(RESCUED) if RESCUED in present else None)

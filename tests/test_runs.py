@@ -1,16 +1,19 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill.contract.inputs import banking_frame
 from ledgermill.functions.fixed_values import REQUIRED
-from ledgermill.operators.audit import audited, run_log
+from ledgermill.operators.audit import audited, logged, run_log
 from ledgermill.operators.keys import add_surrogate_key
 from ledgermill.plans.checks import check_silver
 from ledgermill.plans.ingest import run_ingest
-from ledgermill.plans.runs import SURROGATE_KEYS, run_all
+from ledgermill.plans.runs import SURROGATE_KEYS, LoadRejected, run_all, run_customers
 from ledgermill.session import scratch, shared_folder, written
 from ledgermill.sources.layers import Lake
+from ledgermill.sources.schemas import TRANSACTIONS
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -115,6 +118,76 @@ def test_extracts_become_bronze_tables(spark, tmp_path):
     assert len(row) == 1 and row[0]._source_file_url == paths[0] and len(row[0]._source_hash) == 32
 
 
+def test_text_lost_on_ingest_is_rescued(spark, tmp_path):
+    from ledgermill.operators.quality import rescued_values
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    path = str(tmp_path / "transactions_2023.parquet")
+    rows = [(" t1", "31/12/1997", "10:15", "5.00", "x"), ("t2", "2023-02-01", None, "many", None), ("t3", "", " ", None, None)]
+    spark.createDataFrame(
+        rows, "transaction_id string, transaction_date string, transaction_time string, amount string, loyalty_points string"
+    ).write.parquet(path)
+    assert run_ingest(lake, [path]).first()["columns"] == 5
+    bronze = lake.read("bronze", "erp_transactions_2023")
+    found = rescued_values(bronze, "transactions", "transaction_id", TRANSACTIONS, "_source_file_url").collect()
+    assert {tuple(r)[2:] for r in found} == {
+        (" t1", "transaction_date", "31/12/1997"),
+        (" t1", "loyalty_points", "x"),
+        ("t2", "amount", "many"),
+    }
+    assert {(r.table_name, r.source) for r in found} == {("transactions", path)}
+    typed = bronze.select("transaction_id").withColumn("amount", F.lit(1).cast("decimal(15,2)"))
+    assert rescued_values(typed, "transactions", "transaction_id", TRANSACTIONS).count() == 0
+
+
+def test_a_load_is_seen_whole_or_not_at_all(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    with lake.load() as load:
+        load.write(spark.range(3), "silver", "a")
+        load.write(spark.range(3), "silver", "b")
+        assert lake.manifest() == (0, {})
+    old = lake.read("silver", "a")
+    with pytest.raises(RuntimeError), lake.load() as load:
+        assert load.write(spark.range(5), "silver", "a").count() == 5
+        load.drop("silver", "b")
+        raise RuntimeError
+    assert [lake.read("silver", t).count() for t in "ab"] == [3, 3] and lake.manifest()[0] == 1
+    lake.write(lake.read("silver", "a").union(spark.range(1)), "silver", "a")
+    assert (old.count(), lake.read("silver", "a").count()) == (3, 4)  # the version before stays readable
+    lake.write(spark.range(9), "silver", "a")
+    versions = [p.name for p in (tmp_path / "silver").iterdir()]
+    assert sorted(v.split(".v-")[0] for v in versions) == ["a", "a", "b"]
+
+
+def test_loads_that_commit_at_the_same_time_keep_each_others_tables(spark, tmp_path):
+    lakes = [Lake(spark, str(tmp_path)) for _ in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: lakes[k].write(spark.range(k + 1), "bronze", f"t{k}"), range(6)))
+    assert [lakes[0].read("bronze", f"t{k}").count() for k in range(6)] == [1, 2, 3, 4, 5, 6]
+    assert lakes[0].manifest()[0] == 6
+
+
+def test_a_manifest_that_is_not_complete_does_not_count(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write(spark.range(2), "silver", "a")
+    (tmp_path / "_manifests" / "0000000002").write_text("abc")
+    assert lake.manifest()[0] == 1 and lake.read("silver", "a").count() == 2
+
+
+def test_a_broken_gate_publishes_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    customers = banking_frame(spark, SMALL, "fx_customers").limit(40)
+    run_customers(lake, [customers], "first", gates=["UNIQUE:fact_customers", "REFERENCE"])
+    before = lake.manifest()
+    # the eight companies have no birth date, so their rows are equal and count once
+    with pytest.raises(LoadRejected, match="UNIQUE of fact_customers: 32"):
+        run_customers(lake, [customers, customers.withColumn("birth_date", F.date_add("birth_date", 400))], "second", gates=["UNIQUE"])
+    assert lake.manifest() == before
+    report = {(r.rule, r.table_name): (r.violations, r.blocking) for r in logged(lake, "quality_report", "second").collect()}
+    assert report["UNIQUE", "fact_customers"] == (32, True)
+    assert logged(lake, "violations", "second").where("rule = 'UNIQUE' and table_name = 'fact_customers'").count() == 32
+
+
 def test_layers_are_fixed(spark, tmp_path):
     with pytest.raises(ValueError):
         Lake(spark, str(tmp_path)).path("copper", "t")
