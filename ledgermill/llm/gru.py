@@ -84,9 +84,9 @@ class Adam:
         self.square = {k: np.zeros_like(v) for k, v in params.items()}
         self.steps = 0
 
-    def step(self, grads: dict[str, np.ndarray | tuple[np.ndarray, np.ndarray]]) -> None:
+    def step(self, grads: dict[str, np.ndarray | tuple[np.ndarray, np.ndarray]], share: float = 1.0) -> None:
         self.steps += 1
-        rate = self.rate * (1 - self.second**self.steps) ** 0.5 / (1 - self.first**self.steps)
+        rate = share * self.rate * (1 - self.second**self.steps) ** 0.5 / (1 - self.first**self.steps)
         for name, grad in grads.items():
             rows, grad = row_sums(*grad) if isinstance(grad, tuple) else (slice(None), grad)
             mean = self.mean[name][rows] * self.first + grad * (1 - self.first)

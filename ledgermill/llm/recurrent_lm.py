@@ -8,7 +8,8 @@ times P(word | class, state). Tokens outside the vocabulary are one word of a cl
 times their share (c + 1) / (n + v + 1) among those tokens, where unseen tokens are one kind. Biases
 start at the unigram distribution, so training can only improve on it.
 
-Training: truncated backpropagation over windows of ``STEPS`` tokens. A first model is learned from
+Training: truncated backpropagation over windows of ``STEPS`` tokens, the state carried from window to
+window. A first model is learned from
 about ``FIRST_DOCS`` training documents; then every task goes on from it over all windows of all its
 training documents and the parameters of all tasks are averaged, weighted by their tokens. The work grows with the corpus.
 
@@ -19,6 +20,7 @@ and starts at zero with each document, so a document is scored whole, however lo
 from __future__ import annotations
 
 import copy
+import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -42,10 +44,10 @@ LOCAL_WORDS = 150_000  # counts that every task holds; all others are joined
 LOCAL_BYTES = 48
 SUFFIXES = 128
 SIZE, HIDDEN = 16, 16
-STEPS, LANES = 32, 64
+STEPS, FIRST_LANES, LANES = 32, 64, 512  # few lanes: many steps for few tokens; many lanes: little work a token
 SCORE_STEPS = 64
 FIRST_DOCS, FIRST_PASSES = 1500, 2
-RATE, LATER_RATE = 0.01, 0.002
+RATE, LATER_RATE = 0.01, 0.008
 COUNTER_WORDS = 400_000
 MEMORY_WORDS = 400_000
 SLICE_CHARS = 24_000_000
@@ -268,10 +270,28 @@ class Model:
             return out, grads, d_states
         return out
 
-    def learn(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray, learner: gru.Adam) -> None:
-        """One step over windows (steps, lanes), whose states start at zero."""
+    def learn(
+        self,
+        inputs: np.ndarray,
+        targets: np.ndarray,
+        valid: np.ndarray,
+        fresh: np.ndarray,
+        state: np.ndarray,
+        learner: gru.Adam,
+        share: float = 1.0,
+    ) -> np.ndarray:
+        """One step over a window (steps, lanes) that goes on from ``state``; returns the state after it.
+
+        Gradients end at the first token of the window, or where a document begins. ``share``: how full the
+        window is; an emptier one moves the parameters less.
+        """
+        grads, out = self.gradients(inputs, targets, valid, fresh, state)
+        learner.step(grads, share)
+        return out[-1]
+
+    def gradients(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray, fresh: np.ndarray, state: np.ndarray):
+        """Gradients of the mean negative log likelihood of a window, and its states."""
         p = self.params
-        state, fresh = np.zeros((1, inputs.shape[1], HIDDEN), dtype=np.float32), np.zeros(inputs.shape, dtype=bool)
         out, (vectors, keep, kept) = self.states(inputs, state, fresh, tape=True)
         _, grads, d_states = self.likelihood(out[:, 0][valid], targets[valid], learn=True)
         d_out = np.zeros_like(out)
@@ -281,33 +301,42 @@ class Model:
         flat = vectors.reshape(-1, SIZE)
         grads["project"], grads["project_bias"] = flat.T @ d_inputs, d_inputs.sum(axis=0)
         grads["embed"] = (inputs.reshape(-1), d_inputs @ p["project"].T)
-        learner.step(grads)
+        return grads, out
 
 
-def train_on(model: Model, words: Words, texts: list[bytes], rate: float, passes: int) -> int:
-    """Truncated backpropagation over all windows of the texts; returns the tokens seen."""
+def train_on(model: Model, words: Words, texts: list[bytes], rate: float, passes: int, most_lanes: int) -> int:
+    """Truncated backpropagation over all tokens of the texts; returns the tokens seen.
+
+    Documents lie in lanes one after the other, in an order drawn for each pass. A state starts at zero with
+    each document and is carried from window to window, as in scoring.
+    """
     rng = np.random.default_rng(SEED)
     size, lexicon, end = len(words.known), Lexicon(words), END.encode()
     lexicon.make_room()
-    pieces = []
-    for text in texts:
-        found = [end, *tokens(text), end]
-        for lo in range(0, len(found) - 1, STEPS):
-            pieces.append(lexicon.rows(found[lo : lo + STEPS + 1]))
-    number, read, _ = lexicon.settle()
+    looked = [lexicon.rows([end, *tokens(text), end]) for text in texts]
+    number, read_of, _ = lexicon.settle()
+    aim_of = np.where(number < 0, size, number).astype(np.int32)
+    read_of = read_of.astype(np.int32)
+    lengths = np.array([len(rows) - 1 for rows in looked], dtype=np.int64)
     learner = gru.Adam(model.params, rate)
     for _ in range(passes):
-        order = rng.permutation(len(pieces))
-        for first in range(0, len(order), LANES):
-            chosen = [pieces[k] for k in order[first : first + LANES]]
-            inputs = np.zeros((STEPS, len(chosen)), dtype=np.int64)
-            targets, valid = np.zeros_like(inputs), np.zeros(inputs.shape, dtype=bool)
-            for lane, rows in enumerate(chosen):
-                n = len(rows) - 1
-                inputs[:n, lane], targets[:n, lane], valid[:n, lane] = read[rows[:-1]], number[rows[1:]], True
-            targets[targets < 0] = size
-            model.learn(inputs, targets, valid, learner)
-    return sum(len(rows) - 1 for rows in pieces)
+        lanes = deal_lanes(lengths, rng.permutation(len(looked)), most_lanes, 4 * STEPS)
+        steps = [int(lengths[lane].sum()) for lane in lanes]
+        read = np.zeros((steps[0], len(lanes)), dtype=np.int32)
+        aim, fresh = np.zeros_like(read), np.zeros(read.shape, dtype=bool)
+        for lane, docs in enumerate(lanes):
+            read[: steps[lane], lane] = np.concatenate([read_of[looked[k][:-1]] for k in docs])
+            aim[: steps[lane], lane] = np.concatenate([aim_of[looked[k][1:]] for k in docs])
+            fresh[np.cumsum(lengths[docs]) - lengths[docs], lane] = True
+        left = np.array(steps)
+        state = np.zeros((1, len(lanes), HIDDEN), dtype=np.float32)
+        for lo in range(0, steps[0], STEPS):
+            live = int((left > lo).sum())
+            window = (slice(lo, lo + STEPS), slice(0, live))
+            valid = np.arange(lo, min(lo + STEPS, steps[0]))[:, None] < left[None, :live]
+            share = valid.sum() / (STEPS * len(lanes))
+            state = model.learn(read[window], aim[window], valid, fresh[window], state[:, :live], learner, share)
+    return int(lengths.sum())
 
 
 def first_model(rows: DataFrame, words: Words) -> Model:
@@ -320,7 +349,7 @@ def first_model(rows: DataFrame, words: Words) -> Model:
     texts = training.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text")
     texts = texts.dropDuplicates(["doc_id"]).mapInArrow(_excerpts, "doc_id long, text binary")
     found = sorted(((r["doc_id"], bytes(r["text"])) for r in texts.collect()), key=lambda r: (r[0] is None, r[0] or 0))
-    train_on(model, words, [text for _, text in found], RATE, FIRST_PASSES)
+    train_on(model, words, [text for _, text in found], RATE, FIRST_PASSES, FIRST_LANES)
     return model
 
 
@@ -352,7 +381,7 @@ def average(rows: DataFrame, words: Words, start: Model) -> Model:
             for part in slices(batch, "text", SLICE_CHARS):
                 texts = [t for t, out in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True) if not out]
                 if texts:
-                    seen += train_on(model, known, texts, LATER_RATE, 1)
+                    seen += train_on(model, known, texts, LATER_RATE, 1, LANES)
         if seen:
             flat = np.concatenate([v.ravel() for v in model.params.values()]).astype(np.float64) * seen
             parts = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)]
@@ -385,17 +414,20 @@ def average(rows: DataFrame, words: Words, start: Model) -> Model:
     return start
 
 
-def lanes_of(lengths: np.ndarray) -> list[list[int]]:
-    """Documents in lanes of about equal length, longest lane first."""
-    longest, total = int(lengths.max()), int(lengths.sum())
-    n_lanes = max(1, min(len(lengths), 512, total // max(longest, 1024)))
-    order = np.argsort(-lengths, kind="stable")
-    loads, lanes = np.zeros(n_lanes, dtype=np.int64), [[] for _ in range(n_lanes)]
+def deal_lanes(lengths: np.ndarray, order: np.ndarray, most: int, least_steps: int) -> list[list[int]]:
+    """Documents in lanes of about equal length, longest lane first; each goes to the shortest lane so far."""
+    n_lanes = max(1, min(len(lengths), most, int(lengths.sum()) // least_steps))
+    loads, lanes = [(0, lane) for lane in range(n_lanes)], [[] for _ in range(n_lanes)]
     for k in order.tolist():
-        lane = int(np.argmin(loads))
+        load, lane = loads[0]
         lanes[lane].append(k)
-        loads[lane] += lengths[k]
-    return [lanes[k] for k in np.argsort(-loads, kind="stable")]
+        heapq.heapreplace(loads, (load + int(lengths[k]), lane))
+    return [lanes[lane] for _, lane in sorted(loads, key=lambda x: (-x[0], x[1]))]
+
+
+def lanes_of(lengths: np.ndarray) -> list[list[int]]:
+    """The lanes of scoring: long documents first, so that lanes end together."""
+    return deal_lanes(lengths, np.argsort(-lengths, kind="stable"), 512, 1024)
 
 
 def score_batch(model: Model, lexicon: Lexicon, texts: list[bytes]):

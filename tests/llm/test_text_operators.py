@@ -327,9 +327,14 @@ def test_a_document_scores_the_same_in_any_lane():
 def test_every_token_of_every_text_is_trained_on(monkeypatch):
     words = recurrent_lm.Words(100, 4, {b"\n": 10, b"a": 60, b"b": 20, b"c": 10}, [b"\n", b"a", b"b", b"c"])
     learned = []
-    monkeypatch.setattr(recurrent_lm.Model, "learn", lambda self, inputs, targets, valid, learner: learned.append(int(valid.sum())))
+
+    def learn(self, inputs, targets, valid, fresh, state, learner, share):
+        learned.append(int(valid.sum()))
+        return state
+
+    monkeypatch.setattr(recurrent_lm.Model, "learn", learn)
     texts = [b"a b c " * n for n in (0, 1, 10, 10, 10, 10, 50, 300)]
-    seen = recurrent_lm.train_on(recurrent_lm.Model(words), words, texts, 0.002, passes=1)
+    seen = recurrent_lm.train_on(recurrent_lm.Model(words), words, texts, 0.002, passes=1, most_lanes=4)
     assert seen == sum(learned) == sum(len(t.split()) + 1 for t in texts)
 
 
