@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermill.llm import (
     conversation_trie,
@@ -62,7 +63,9 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    found = repeated_spans.remove_repeats(_table(spark, sf_dir, "documents"))
+    # Cuts may fall inside a character; what is left of it becomes a replacement character.
+    return found.select("*", F.decode(F.col("kept"), "UTF-8").alias("kept_text")).drop("kept")
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,4 +111,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_conversation_trie": op12_conversation_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES: dict[str, str] = {}
+# Five hex digits of the digest are four letters of base 32.
+LETTERS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(hex, 5 * i + 1, 5) as bigint) // {32**k}) % 32 + 1 as int), 1)"
+    for k in (3, 2, 1, 0)
+)
+ORACLES: dict[str, str] = {
+    "op8_warc_revisits": (
+        "select page_id, payload_bytes, payload_digest, if(page_id = original, 'response', 'revisit') as record_type, "
+        "if(page_id = original, null, original) as refers_to from (select page_id, octet_length(encode(body)) as "
+        f"payload_bytes, array_to_string(list_transform(range(8), lambda i: {LETTERS}), '') as payload_digest, "
+        "max(page_id) over (partition by body) as original from (select page_id, coalesce(html, '') as body, "
+        "sha1(coalesce(html, '')) as hex from pages))"
+    ),
+}

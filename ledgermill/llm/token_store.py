@@ -209,7 +209,7 @@ class TokenStore:
 
         read = (
             places.select("doc_id", "file", "start", "n_tokens")
-            .repartition("file")
+            .repartition(max(1, self.shards.count()), "file")
             .sortWithinPartitions("file", "start")
             .mapInPandas(run, "doc_id long, file string, start long, n_tokens long, ids_crc32 long")
         )

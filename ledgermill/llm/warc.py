@@ -191,7 +191,8 @@ def read_headers(archives: DataFrame) -> DataFrame:
                     if rows:
                         yield _batch(rows, kinds, names)
 
-    return archives.select("file").repartition("file").mapInArrow(run, HEADERS)
+    # A few names stand for much data: as many tasks as archives, which adaptive execution must not join.
+    return archives.select("file").repartition(max(1, archives.count())).mapInArrow(run, HEADERS)
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
