@@ -128,7 +128,10 @@ def _prefixes(stored: DataFrame, convs: DataFrame, maps: list) -> DataFrame:
 def _verified(prefixes: DataFrame, nodes: DataFrame, stored: DataFrame, node: list[str]) -> bool:
     """Whether all prefixes of each node end in equal turns."""
     mixed = nodes.where("least_ref != most_ref").select(node)
-    asked = prefixes.select(*node, "ref_conv", "ref_place").join(mixed, node, "left_semi").distinct()
+    # Written as joined: a node that very many conversations share may be split there, which a following
+    # aggregate by the same columns would not allow.
+    asked = prefixes.select(*node, "ref_conv", "ref_place").join(mixed, node, "left_semi")
+    asked = written(asked, "shared-prefixes").distinct()
     turns = stored.select(F.col("conv_id").alias("ref_conv"), F.col("place").alias("ref_place"), "role", "text")
     met = asked.join(turns, ["ref_conv", "ref_place"])
     turn = F.struct("role", "text")
