@@ -65,7 +65,7 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_spans.remove_repeats(_table(spark, sf_dir, "documents"))
     # Cuts may fall inside a character; what is left of it becomes a replacement character.
-    return found.select("*", F.decode(F.col("kept"), "UTF-8").alias("kept_text")).drop("kept")
+    return found.select("*", F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")).drop("kept")
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
