@@ -382,13 +382,17 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
         F.sum(F.when(F.col("n_contents") <= NODE_FRAGMENTS, F.col("place.n_windows") + (length - 1))), F.max("n_contents")
     ).first()
     buckets = max(1, -(-(size or 0) // BUCKET_BYTES))
-    fitting = distinct
-    runs = []
+    contents = _contents(keyed, distinct, length)
     if (largest or 0) > NODE_FRAGMENTS:
-        hot = sizes.where(F.col("n_contents") > NODE_FRAGMENTS).select("anchor")
-        fitting = distinct.join(hot, "anchor", "left_anti")
-        runs.append(_window_runs(_contents(keyed, distinct.join(hot, "anchor", "left_semi"), length), length))
-    runs.append(_bucket_runs(_contents(keyed, fitting, length), buckets, length))
+        # Both kinds read the fragments from one table, so that texts are shuffled for them once.
+        contents = written(contents, "fragment-contents")
+        hot = written(sizes.where(F.col("n_contents") > NODE_FRAGMENTS).select("anchor"), "hot-anchors")
+        runs = [
+            _window_runs(contents.join(hot, "anchor", "left_semi"), length),
+            _bucket_runs(contents.join(hot, "anchor", "left_anti"), buckets, length),
+        ]
+    else:
+        runs = [_bucket_runs(contents, buckets, length)]
     found = written(runs[0] if len(runs) == 1 else runs[0].unionByName(runs[1]), "repeated-runs")
     parts = mixed.select("anchor", "content", "doc_id", "text_hash", "start").join(found, ["anchor", "content"])
     parts = parts.selectExpr("doc_id", "text_hash", "start + low as low", "start + high as high")
