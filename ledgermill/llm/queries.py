@@ -24,6 +24,9 @@ from ledgermill.llm import (
 )
 
 
+CONVERSATION_LIMITS = packing.Limits(tokens=4096, segments=8, loss=2048)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,6 +48,12 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    examples = packing.conversation_examples(turns, tokenizer_path("word_bpe_49k.json"))
+    return packing.pack_examples(examples, "example_id", "tokens", "loss_tokens", CONVERSATION_LIMITS)
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +108,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
+    "pack_conversations": pack_conversations,
     "op3_fingerprint": op3_fingerprint,
     "op4_secrets": op4_secrets,
     "op5_lm_score": op5_lm_score,

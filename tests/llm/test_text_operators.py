@@ -4,10 +4,12 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill.llm import decontaminate, packing, recurrent_lm, secret_scan, token_store, toxicity
 from ledgermill.llm.queries import tokenizer_path
@@ -105,6 +107,64 @@ def test_examples_stay_whole_under_all_limits(spark):
     assert whole.ngroups <= 1.5 * sum(t for _, t, _ in rows[:300]) / 100
 
 
+def test_many_tiny_texts_are_packed_in_seconds():
+    # In Spark-free form: the time of a group must not grow with the square of its items.
+    packer = packing._DocumentPacker(packing.Limits(), 0)
+    began = time.perf_counter()
+    for doc_id in range(200_000):
+        packer.add(doc_id, (1).to_bytes(4, "little"))
+        if packer.full():
+            packer.pack(last=False)
+    packer.pack(last=True)
+    assert time.perf_counter() - began < 30
+    rows = packer.take().to_pandas()
+    assert sorted(rows["doc_id"]) == list(range(200_000)) and (rows["length"] == 1).all()
+    assert rows.groupby("sequence_id").size().max() <= 256
+
+
+def test_rest_of_a_group_of_examples_is_carried_on(spark, monkeypatch):
+    rows = [(k, 7 + k % 5, k % 4) for k in range(2000)]
+    monkeypatch.setattr(packing, "GROUP_EXAMPLES", 32)
+    packer = packing._ExamplePacker(packing.Limits(100, 8, 12), 0)
+    for row in rows:
+        packer.add(*row)
+        if packer.pool.size >= packing.GROUP_EXAMPLES:
+            packer.pack(last=False)
+    packer.pack(last=True)
+    out = packer.take().to_pandas()
+    assert sorted(out["example_id"]) == list(range(2000)) and out["fits"].all()
+    whole = out.groupby("sequence_id")
+    tokens, loss, size = whole["tokens"].sum(), whole["loss_tokens"].sum(), whole.size()
+    assert tokens.max() <= 100 and loss.max() <= 12 and size.max() <= 8
+    assert (loss == 12).any()
+    for _, sequence in out.sort_values(["offset", "tokens"]).groupby("sequence_id"):
+        assert sequence["offset"].tolist() == [0, *sequence["tokens"].cumsum()[:-1]]
+    assert whole.ngroups <= 1.3 * max(out["tokens"].sum() / 100, out["loss_tokens"].sum() / 12)
+
+
+def test_conversations_are_packed_under_three_limits(spark):
+    rows = [(k, t, ("user", "Assistant")[t % 2], "one two three " * (k % 9 + 20 * (t % 2) * (k % 3 == 0)))
+            for k in range(120) for t in range(k % 6 + 1)]
+    rows += [(None, 0, None, None), (None, 0, None, None), (7, 0, "user", "one two three")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    turns = turns.withColumn("example_id", F.lit("x")).withColumn("tokens", F.lit("y"))
+    path = tokenizer_path("word_bpe_49k.json")
+    coder = Encoder(path)
+    want = {}
+    for conv, _, role, text in rows:
+        size = len(coder.encode([text or ""])[0]) // 4 + 1
+        had = want.get(conv, (0, 0, 0))
+        want[conv] = (had[0] + 1, had[1] + size, had[2] + (size if role == "Assistant" else 0))
+    examples = packing.conversation_examples(turns, path)
+    assert {r[0]: tuple(r[1:]) for r in examples.collect()} == want
+    out = packing.pack_examples(examples, "example_id", "tokens", "loss_tokens", packing.Limits(400, 6, 200)).toPandas()
+    assert len(out) == len(want)
+    whole = out[out["fits"]].groupby("sequence_id")
+    assert whole["tokens"].sum().max() <= 400 and whole["loss_tokens"].sum().max() <= 200
+    assert whole.size().max() == 6
+    assert packing.conversation_examples(turns.limit(0), path).count() == 0
+
+
 # --- secrets ----------------------------------------------------------------------------
 
 
