@@ -3,10 +3,12 @@
 1. Every document is cut into words; runs of three words that also occur in a test item are seeds,
    the common ones too. What is found in a document so depends on it and the items alone, never on
    how often a passage or its words occur in the rest of the corpus.
-2. Two different seeds of an item near each other in a document make a window. Windows that lack
-   too many of the item's words to reach the threshold in any order are left out.
+2. Two different seeds of an item near each other in a document make a window; of an item that has
+   but one seed that one does. Windows that lack too many of the item's words to reach the threshold
+   in any order are left out.
 3. The item is aligned with the window word by word; the score is the best local alignment over the
    best possible one. Edited and paraphrased copies lose some words but keep the order of others.
+   VERBATIM words in a row are a copy whatever share of a long item they are.
 
 Test items are read in blocks of bounded size, one pass over the documents per block; a block is
 the only thing that tasks receive whole. Nothing is shuffled.
@@ -34,6 +36,7 @@ SEEDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 LEAST_WORDS = 8  # aligned words that tell a copy from a phrase
+VERBATIM = 50  # words in a row that tell a copy whatever the length of the item
 ALIGN_CELLS = 1 << 16  # of a row of the tables aligned together
 WORD = re.compile(r"\w+")
 
@@ -53,6 +56,7 @@ class Items:
     texts: list[np.ndarray]
     codes: np.ndarray  # n-gram codes, sorted; one for each item that holds the n-gram
     owners: np.ndarray  # the place of that item
+    needs: np.ndarray  # different seeds that a window must hold, by item
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]]) -> Items:
@@ -62,12 +66,13 @@ class Items:
             for _, text in rows
         ]
         none = np.zeros(0, dtype=np.int64)
-        block = cls(words, [i for i, _ in rows], texts, none, none)
+        block = cls(words, [i for i, _ in rows], texts, none, none, none)
         grams = [np.unique(block.grams(t)) for t in texts]
         if grams:
             codes, owners = np.concatenate(grams), np.repeat(np.arange(len(grams)), [len(g) for g in grams])
             order = np.argsort(codes, kind="stable")
             block.codes, block.owners = codes[order], owners[order]
+            block.needs = np.array([min(SEEDS, len(g)) for g in grams])
         return block
 
     def grams(self, numbers: np.ndarray) -> np.ndarray:
@@ -90,7 +95,7 @@ class Items:
         return np.array([get(w, 0) for w in words], dtype=np.int64)
 
     def windows(self, numbers: np.ndarray) -> list[tuple[int, int]]:
-        """(item, bin) where SEEDS different seeds of an item lie in a window of a document.
+        """(item, bin) where enough different seeds of an item lie in a window of a document.
 
         Windows overlap by half: bin k holds the seeds that begin in the halves k and k + 1.
         """
@@ -120,12 +125,23 @@ class Items:
         pairs = np.concatenate([np.stack([self.owners[at], half - back, at]) for back in (0, 1)], axis=1)
         pairs = np.unique(pairs, axis=1)[:2]
         pairs, seeds = np.unique(pairs, axis=1, return_counts=True)
-        return [tuple(p) for p in pairs[:, seeds >= SEEDS].T.tolist()]
+        return [tuple(p) for p in pairs[:, seeds >= self.needs[pairs[0]]].T.tolist()]
 
     def may_hold(self, item: int, window: np.ndarray, threshold: float) -> bool:
-        """Whether enough words of the item are in the window to reach the threshold in any order."""
+        """Whether enough words of the item are in the window for the threshold, or a verbatim part, in any order."""
         words = self.texts[item]
-        return int(np.isin(words, window).sum()) >= threshold * len(words)
+        return int(np.isin(words, window).sum()) >= min(threshold * len(words), VERBATIM)
+
+    def verbatim(self, item: int, window: np.ndarray) -> tuple[int, int]:
+        """First and end word of the longest part of the item that stands in the window word by word."""
+        words = self.texts[item]
+        run, best, end = np.zeros(len(window) + 1, dtype=np.int64), 0, 0
+        for word in words:
+            run[1:] = np.where(window == word, run[:-1] + 1, 0)
+            top = int(run.argmax())
+            if run[top] > best:
+                best, end = int(run[top]), top
+        return end - best, end
 
 
 def align(items: list[np.ndarray], windows: list[np.ndarray]) -> list[tuple[float, int, int, int]]:
@@ -207,7 +223,12 @@ def _found(docs: DataFrame, items, threshold: float) -> DataFrame:
                     found = align([block.texts[p[0]] for p in group], [numbers[p[1]][p[2] : p[3]] for p in group])
                     for (item, row, base, _), (score, matches, first, end) in zip(group, found, strict=True):
                         least = min(LEAST_WORDS, len(block.texts[item]))
-                        if score >= threshold and matches >= least and score > best.get((row, item), (0,))[0]:
+                        copied = score >= threshold and matches >= least
+                        if not copied and matches >= VERBATIM:
+                            window = numbers[row][base : base + WINDOW + 2 * len(block.texts[item])]
+                            first, end = block.verbatim(item, window)
+                            copied = end - first >= VERBATIM
+                        if copied and score > best.get((row, item), (0,))[0]:
                             at = spans[row][base + first][0], spans[row][base + end - 1][1]
                             best[row, item] = (float(score), matches, *at)
                 out = [(*keys[row], block.ids[item], *best[row, item]) for row, item in sorted(best)]
@@ -251,7 +272,8 @@ def find_leaks(
     """One row per document and test item found in it, with score, aligned words and place.
 
     ``doc_id, text_hash, item_id, score, matched_words, start, end``: start and end are code points
-    of the best alignment. Null or empty texts and items of fewer than GRAM words match nothing.
+    of the best alignment, or of the verbatim part where the score is below the threshold. Null or
+    empty texts and items of fewer than GRAM words match nothing.
     Repeated rows are found once per distinct id and text; a null id stays null. Without documents
     or items the result is empty.
     """

@@ -340,6 +340,43 @@ def test_windows_do_not_hang_on_how_many_seeds_are_read_together(monkeypatch):
     assert whole and block.windows(text) == whole
 
 
+def test_short_items_and_verbatim_parts_of_long_items_are_found(spark):
+    rng = random.Random(12)
+    filler = [" ".join(f"f{rng.randint(0, 300)}" for _ in range(120)) for _ in range(6)]
+    long = [f"v{rng.randint(0, 200)}" for _ in range(400)]
+    tests = spark.createDataFrame([(0, "Alpha beta gamma"), (1, " ".join(long))], "item_id long, text string")
+    parts = {1: long[130:280], 2: long[340:], 3: long[10:50], 4: long[200:249] + ["x"] + long[250:290]}
+    docs = [(k, f"{filler[k]} {' '.join(part)} {filler[k + 1]}") for k, part in parts.items()]
+    docs += [(10, f"{filler[0]}, alpha BETA gamma. {filler[1]}"), (11, f"alpha beta {filler[1]}"), (12, "alpha beta. Gamma")]
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), tests).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (10, 0), (12, 0)}
+    texts = dict(docs)
+    for row in found:
+        assert decontaminate.lowered(texts[row.doc_id])[row.start : row.end].split()[-1].strip(".,")[0] in "vg"
+
+
+def test_seeds_find_what_aligning_every_item_with_every_document_finds(spark):
+    rng = random.Random(13)
+    words = [f"w{k}" for k in range(150)]
+    items = [rng.choices(words, k=rng.randint(3, 60)) for _ in range(12)]
+    docs = []
+    for k in range(180):
+        item = items[k % 12]
+        copy = [w for w in (rng.choice(words) if rng.random() < (k % 6) / 12 else w for w in item) if rng.random() > 0.05]
+        docs.append((k, " ".join([*rng.choices(words, k=40), *(copy if k % 4 else []), *rng.choices(words, k=40)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    block = decontaminate.Items.of([(k, " ".join(i)) for k, i in enumerate(items)])
+    every = set()
+    for doc_id, text in docs:
+        for k, item in enumerate(block.texts):
+            [(score, matches, _, _)] = decontaminate.align([item], [block.numbers(text.split())])
+            if score >= decontaminate.THRESHOLD and matches >= min(decontaminate.LEAST_WORDS, len(item)):
+                every.add((doc_id, k))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(df, tests).collect()}
+    assert found <= every and len(every) > 60 and len(found) >= 0.9 * len(every)
+
+
 # --- language model ---------------------------------------------------------------------
 
 
