@@ -27,6 +27,7 @@ from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
 from ledgermill.plans import checks, metrics, reports
 from ledgermill.plans.ingest import run_ingest
+from ledgermill.sources.registry import read_entity, type_registry
 from ledgermill.plans.runs import (
     CUSTOMER_AUDIT,
     QUARANTINE,
@@ -505,6 +506,45 @@ def _changed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("table_name", "status", "rows", "columns")
 
 
+def _typed_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Years whose layouts differ, ingested in two goes into one schema.
+
+    In 1995 customers are text, 1996 has no status, 1997 has remarks, weights are whole until 1997.
+    """
+    lake, orders = _lake(spark), yearly_orders(spark, sf_dir).drop("_source_file_url")
+    paths = {}
+    for year in _years(orders):
+        part = orders.where(F.year("o_orderdate") == year)
+        if year == 1995:
+            part = part.withColumn("o_custkey", F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
+        if year == 1996:
+            part = part.drop("o_orderstatus")
+        if year == 1997:
+            part = part.withColumn("o_remark", F.repeat(F.lit("x"), (F.col("o_orderkey") % 90).cast("int")))
+        weight = F.col("o_orderkey") % 100
+        part = part.withColumn("o_weight", weight.cast("bigint") if year < 1998 else (weight / 8).cast("double"))
+        paths[year] = os.path.join(lake.root, "landing", f"orders_{year}.parquet")
+        part.write.parquet(paths[year])
+    later = [path for year, path in paths.items() if year != 1995]
+    run_ingest(lake, later, only_changed=True, typed=True)
+    run_ingest(lake, list(paths.values()), only_changed=True, typed=True)
+    return lake
+
+
+def _type_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = type_registry(_typed_lake(spark, sf_dir))
+    return found.select("entity", F.col("column").alias("column_name"), "target_type")
+
+
+def _typed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All years read in one schema, by table."""
+    return read_entity(_typed_lake(spark, sf_dir), "erp_orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_weight",
+        F.length("o_remark").alias("remark_length"), F.col("_table").alias("table_name"),
+        F.col("_rescued").isNull().cast("int").alias("nothing_lost"),
+    )
+
+
 def _movement(t: Layers) -> DataFrame:
     return metrics.customer_movement(t["fact_customers"], t["fact_accounts"], t["dim_account_status"])
 
@@ -641,6 +681,8 @@ QUERIES: dict[str, Query] = {
     "failed_load": lambda s, d: comparable(_failed_load(s, d)),
     "gated_load": lambda s, d: comparable(_gated_load(s, d)),
     "changed_extracts": lambda s, d: comparable(_changed_extracts(s, d)),
+    "type_registry": lambda s, d: comparable(_type_registry(s, d)),
+    "typed_years": lambda s, d: comparable(_typed_years(s, d)),
     "distinct_accounts": _on_layers(lambda t: metrics.distinct_accounts(t["bronze_accounts"])),
     # gold metrics
     "m01_customer_base_growth": _on_layers(lambda t: metrics.customer_base_growth(t["fact_customers"])),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +100,18 @@ def extract_hash(df: DataFrame, path: str) -> str | None:
     return found["source_hash"] if found else None
 
 
+def hash_and_lengths(df: DataFrame, path: str, text_columns: list[str]) -> tuple[str | None, dict[str, int | None]]:
+    """The content hash and the longest text of each column, both from one pass."""
+    if not text_columns:
+        return extract_hash(df, path), {}
+    seen = Observation(f"lengths-{uuid.uuid4().hex}")
+    longest = [F.max(F.length(F.col(f"`{c}`").cast("string"))).alias(f"l{i}") for i, c in enumerate(text_columns)]
+    digest = extract_hash(df.observe(seen, *longest), path)
+    if digest is None:  # without rows nothing is observed
+        return None, {}
+    return digest, {c: seen.get.get(f"l{i}") for i, c in enumerate(text_columns)}
+
+
 def tag_extract(df: DataFrame, path: str, digest: str | None) -> DataFrame:
     """The three metadata columns of a frame that is one extract."""
     return df.withColumns(
@@ -167,9 +180,20 @@ def _target_type(name: Column, dtype: Column, longest: Column) -> Column:
     return picked.otherwise(F.format_string("NVARCHAR(%d)", width.cast("int")))
 
 
+def plain_types(df: DataFrame) -> dict[str, str]:
+    """Column -> plain type."""
+    return {f.name: _dtype(f.dataType) for f in df.schema.fields}
+
+
+def with_targets(profile: DataFrame) -> DataFrame:
+    """Adds the target type to (column, dtype, max_len)."""
+    target = _target_type(F.col("column"), F.col("dtype"), F.col("max_len"))
+    return profile.select("column", "dtype", "max_len", target.alias("target_type"))
+
+
 def profile_types(df: DataFrame) -> DataFrame:
     """(column, dtype, max_len, target_type); lengths come from one pass over the text columns."""
-    kinds = {f.name: _dtype(f.dataType) for f in df.schema.fields}
+    kinds = plain_types(df)
     lengths = df.agg(
         *(
             F.expr(f"cast(max(length(cast(`{n}` as string))) as int) as `{n}`")
@@ -179,9 +203,7 @@ def profile_types(df: DataFrame) -> DataFrame:
         )
     ).unpivot([], list(kinds), "column", "max_len")
     dtype_of = F.expr("map(" + ", ".join(f"'{n}', '{k}'" for n, k in kinds.items()) + ")")
-    typed = lengths.withColumn("dtype", dtype_of[F.col("column")])
-    target = _target_type(F.col("column"), F.col("dtype"), F.col("max_len"))
-    return typed.select("column", "dtype", "max_len", target.alias("target_type"))
+    return with_targets(lengths.withColumn("dtype", dtype_of[F.col("column")]))
 
 
 def preprocess(df: DataFrame) -> DataFrame:

@@ -175,7 +175,7 @@ class Load:
             self._changes[f"{layer}/{table}"] = {"path": path, **facts}
         return self.lake.spark.read.parquet(place)
 
-    def note(self, layer: str, table: str, **facts: str | int | None) -> None:
+    def note(self, layer: str, table: str, **facts: str | int | list | None) -> None:
         """Adds facts to a table of this load."""
         with self._guard:
             self._changes[f"{layer}/{table}"].update(facts)

@@ -191,3 +191,48 @@ def test_a_broken_gate_publishes_nothing(spark, tmp_path):
 def test_layers_are_fixed(spark, tmp_path):
     with pytest.raises(ValueError):
         Lake(spark, str(tmp_path)).path("copper", "t")
+
+
+def test_least_type_of_two():
+    from ledgermill.sources.registry import merge, wider
+
+    cases = [
+        ("BIGINT", "BIGINT", "BIGINT"), ("INTEGER", "BIGINT", "BIGINT"), ("BIT", "INTEGER", "INTEGER"),
+        ("DATE", "DATETIME", "DATETIME"), ("DECIMAL(15,2)", "DECIMAL(15,4)", "DECIMAL(17,4)"),
+        ("INTEGER", "DECIMAL(15,2)", "DECIMAL(15,2)"), ("BIGINT", "DECIMAL(15,4)", "DECIMAL(23,4)"),
+        ("DECIMAL(38,0)", "DECIMAL(15,4)", "NVARCHAR(40)"), ("NVARCHAR(50)", "NVARCHAR(60)", "NVARCHAR(60)"),
+        ("NVARCHAR(10)", "BIGINT", "NVARCHAR(20)"), ("DATE", "BIT", "NVARCHAR(10)"), ("TEXT", "DATE", "TEXT"),
+    ]
+    for one, other, least in cases:
+        assert wider(one, other) == wider(other, one) == least
+        assert wider(least, one) == wider(least, other) == least
+    assert merge([{"a": "BIT", "B": "DATE"}, {}, {"b": "DATETIME", "c": "TEXT"}]) == {"a": "BIT", "B": "DATETIME", "c": "TEXT"}
+
+
+def test_years_with_other_types_load_into_one_schema(spark, tmp_path):
+    from ledgermill.sources.registry import read_entity, type_registry
+
+    lake, landing = Lake(spark, str(tmp_path / "lake")), tmp_path / "landing"
+    frames = {
+        2021: spark.createDataFrame([(1, 5, "10.50", "x")], "k long, n int, amount string, _rescue_me string"),
+        2022: spark.createDataFrame([("k2", 2.25, "much")], "K string, n double, amount string"),
+        2023: spark.createDataFrame([], "k long, extra string"),
+    }
+    paths = []
+    for year, df in frames.items():
+        paths.append(str(landing / f"loans_{year}.parquet"))
+        df.write.parquet(paths[-1])
+    paths.append(str(landing / "loans_2024.parquet"))  # never delivered
+    first = {r.table_name: r.status for r in run_ingest(lake, paths[:1], only_changed=True, typed=True).collect()}
+    assert first == {"erp_loans_2021": "LOADED"} and dict(lake.read("bronze", "erp_loans_2021").dtypes)["k"] == "bigint"
+    out = {r.table_name[-4:]: (r.status, r["rows"]) for r in run_ingest(lake, paths, only_changed=True, typed=True).collect()}
+    assert out == {"2021": ("SKIPPED", 1), "2022": ("LOADED", 1), "2023": ("LOADED", 0), "2024": ("FAILED", None)}
+    types = {r.column: r.target_type for r in type_registry(lake).where("entity = 'erp_loans'").collect()}
+    assert types == {
+        "k": "NVARCHAR(50)", "n": "DECIMAL(23,4)", "amount": "DECIMAL(15,2)", "_rescue_me": "NVARCHAR(50)", "extra": "NVARCHAR(500)",
+    }
+    whole = read_entity(lake, "erp_loans")
+    rows = {(r.k, str(r.n), str(r.amount), r._rescued and r._rescued["amount"]) for r in whole.collect()}
+    assert rows == {("1", "5.0000", "10.50", None), ("k2", "2.2500", "None", "much")}
+    written = [dict(lake.read("bronze", f"erp_loans_{y}").dtypes) for y in (2022, 2023)]
+    assert written[0] == written[1] and written[0]["k"] == "string" and written[0]["n"] == "decimal(23,4)"
