@@ -25,7 +25,7 @@ from ledgermill.operators.skew import row_tag, spread_join
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
-from ledgermill.plans import checks, metrics, reports
+from ledgermill.plans import checks, metrics, periods, reports
 from ledgermill.plans.ingest import run_ingest
 from ledgermill.sources.registry import read_entity, type_registry
 from ledgermill.plans.runs import (
@@ -549,6 +549,10 @@ def _movement(t: Layers) -> DataFrame:
     return metrics.customer_movement(t["fact_customers"], t["fact_accounts"], t["dim_account_status"])
 
 
+def _periods(t: Layers) -> DataFrame:
+    return periods.customer_periods(t["fact_accounts"], t["dim_account_status"])
+
+
 def _minimum_slice(t: Layers) -> DataFrame:
     """Success rate per channel straight from bronze."""
     kept = t["bronze_transactions"].where(F.col("amount") != 0)
@@ -692,6 +696,11 @@ QUERIES: dict[str, Query] = {
     "m03_new_customer_growth_yoy": _on_layers(lambda t: metrics.new_customer_growth_yoy(t["fact_customers"])),
     "m04_churn_rate": _on_layers(lambda t: metrics.churn_rate(_movement(t))),
     "m05_retention_rate": _on_layers(lambda t: metrics.retention_rate(_movement(t))),
+    "m04_customer_periods": _on_layers(_periods),
+    "m04_customer_turnover": _on_layers(lambda t: periods.customer_turnover(_periods(t))),
+    "m05_retention_of_turnover": _on_layers(
+        lambda t: periods.retention_of_turnover(periods.customer_turnover(_periods(t)))
+    ),
     "m06_products_per_customer": _on_layers(
         lambda t: metrics.products_per_customer(t["fact_customers"], t["dim_account_products"], t["dim_account_status"])
     ),
