@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.operators.accounts import clean_accounts
-from ledgermill.operators.audit import add_to_log, audited
+from ledgermill.operators.audit import add_to_log, audited, log_entry
 from ledgermill.operators.customers import clean_customers
 from ledgermill.operators.keys import add_audit_columns, add_defaults, add_surrogate_key
 from ledgermill.operators.quality import account_flags, customer_flags, rescued_values
@@ -19,6 +21,7 @@ from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.transactions import build_fact_transactions, clean_transactions, with_amount
 from ledgermill.operators.unions import union_conformed
 from ledgermill.plans.checks import check_tables, together
+from ledgermill.plans.journal import Journal, inputs_digest
 from ledgermill.sources.layers import Lake, Load
 from ledgermill.sources.schemas import ACCOUNTS, CUSTOMERS, TRANSACTIONS
 
@@ -68,30 +71,99 @@ class LoadRejected(Exception):
     """A load broke rules that it must keep; none of its tables was published."""
 
 
+class RunReplaced(Exception):
+    """A run cannot go on: later loads have replaced tables it had loaded."""
+
+
+def _once(
+    load: Load,
+    layer: str,
+    table: str,
+    name: str,
+    step: Callable[[], DataFrame],
+    batch_id: str,
+    flags: dict[str, Column] | None = None,
+    journal: Journal | None = None,
+    inputs: str | None = None,
+) -> DataFrame:
+    """Runs one audited step of a load, or takes over what it wrote before the run died."""
+    known = journal.find(name, inputs) if journal else None
+    if known:
+        taken = load.adopt(layer, table, known["paths"][0])
+        log_entry(load.lake, batch_id, name, datetime.now(timezone.utc), "REUSED", known["rows"])
+        return taken
+
+    def done(rows: int) -> None:
+        if journal:
+            journal.note(name, inputs, paths=[load.version(layer, table)], rows=rows)
+
+    return audited(load.lake, name, step, lambda df: load.write(df, layer, table), batch_id, flags, done)
+
+
 def load_tables(
-    load: Load, tables: dict[str, Callable[[], DataFrame]], audit: tuple[str, str], batch_id: str
+    load: Load,
+    tables: dict[str, Callable[[], DataFrame]],
+    audit: tuple[str, str],
+    batch_id: str,
+    journal: Journal | None = None,
+    inputs: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Builds and writes silver tables side by side; they are seen by this load only until it commits."""
+    """Builds and writes silver tables side by side; they are seen by this load only until it commits.
+
+    With a ``journal`` tables that the batch has written from the same ``inputs`` are taken over.
+    """
 
     def one(item):
         table, build = item
-        written = audited(
-            load.lake,
-            f"load_{table}",
-            lambda: _finished(build(), table, audit),
-            lambda df: load.write(df, "silver", table),
-            batch_id,
-        )
-        return table, written
+        finished = lambda: _finished(build(), table, audit)
+        return table, _once(load, "silver", table, f"load_{table}", finished, batch_id, None, journal, inputs)
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return dict(pool.map(one, tables.items()))
 
 
-def _stage(
-    load: Load, table: str, step: Callable[[], DataFrame], batch_id: str, flags: dict[str, Column] | None = None
+def stage(
+    load: Load,
+    table: str,
+    step: Callable[[], DataFrame],
+    batch_id: str,
+    flags: dict[str, Column] | None = None,
+    journal: Journal | None = None,
+    inputs: str | None = None,
 ) -> DataFrame:
-    return audited(load.lake, f"clean_{table}", step, lambda df: load.write(df, "staging", table), batch_id, flags)
+    """Writes a staging table, or takes over that of a run that died."""
+    return _once(load, "staging", table, f"clean_{table}", step, batch_id, flags, journal, inputs)
+
+
+def _inputs(journal: Journal | None, *frames: DataFrame) -> str | None:
+    return inputs_digest(journal.lake, frames) if journal else None
+
+
+def _loaded_before(journal: Journal | None, name: str, inputs: str | None) -> dict[str, DataFrame] | None:
+    """The tables of a load that the batch has committed from the same inputs."""
+    known = journal.entry(name, inputs) if journal else None
+    if known is None:
+        return None
+    lake, now = journal.lake, journal.lake.manifest()[1]
+    tables = {}
+    for table, path in known["tables"].items():
+        if now.get(f"silver/{table}", {}).get("path") != path:
+            raise RunReplaced(f"{table} of batch {journal.batch_id} was replaced by a later load")
+        tables[table] = lake.read("silver", table)
+    log_entry(lake, journal.batch_id, name, datetime.now(timezone.utc), "REUSED")
+    return tables
+
+
+@contextmanager
+def _loading(
+    lake: Lake, journal: Journal | None, name: str, inputs: str | None, tables: dict[str, DataFrame]
+) -> Iterator[Load]:
+    """One load whose finished steps outlive its failure if there is a journal; ``tables`` are filled inside."""
+    with lake.load(journal.paths if journal else tuple) as load:
+        yield load
+    if journal:
+        journal.note(name, inputs, tables={table: load.version("silver", table) for table in tables})
+        journal.sweep()
 
 
 def inspect_load(lake: Lake, tables: Mapping[str, DataFrame], gates: Collection[str], batch_id: str) -> None:
@@ -125,18 +197,46 @@ def quarantine(
         add_to_log(lake, QUARANTINE, together(lost), batch_id)
 
 
+def _journal(lake: Lake, batch_id: str, restartable: bool) -> Journal | None:
+    return Journal(lake, batch_id) if restartable else None
+
+
+def _quarantine_once(
+    lake: Lake,
+    table: str,
+    key: str,
+    frames: list[DataFrame],
+    spec: dict[str, list[str]],
+    batch_id: str,
+    journal: Journal | None,
+    inputs: str | None,
+) -> None:
+    if journal is None or journal.entry(f"quarantine_{table}", inputs) is None:
+        quarantine(lake, table, key, frames, spec, batch_id)
+        if journal:
+            journal.note(f"quarantine_{table}", inputs)
+
+
 def run_customers(
-    lake: Lake, bronze: list[DataFrame], batch_id: str | None = None, gates: Collection[str] = ()
+    lake: Lake,
+    bronze: list[DataFrame],
+    batch_id: str | None = None,
+    gates: Collection[str] = (),
+    restartable: bool = False,
 ) -> dict[str, DataFrame]:
     """Clean the yearly customer frames and load eleven tables, all or none."""
     batch_id = batch_id or uuid.uuid4().hex
-    quarantine(lake, "customers", "customer_id", bronze, CUSTOMERS, batch_id)
-    with lake.load() as load:
-        stg = _stage(
-            load, "customers", lambda: clean_customers(union_conformed(bronze, CUSTOMERS)), batch_id, customer_flags()
-        )
+    journal = _journal(lake, batch_id, restartable)
+    given = _inputs(journal, *bronze)
+    if (before := _loaded_before(journal, "run_customers", given)) is not None:
+        return before
+    _quarantine_once(lake, "customers", "customer_id", bronze, CUSTOMERS, batch_id, journal, given)
+    tables: dict[str, DataFrame] = {}
+    with _loading(lake, journal, "run_customers", given, tables) as load:
+        clean = lambda: clean_customers(union_conformed(bronze, CUSTOMERS))
+        stg = stage(load, "customers", clean, batch_id, customer_flags(), journal, given)
         builders = {name: (lambda build=build: build(stg)) for name, build in CUSTOMER_TABLES.items()}
-        tables = load_tables(load, builders, CUSTOMER_AUDIT, batch_id)
+        tables |= load_tables(load, builders, CUSTOMER_AUDIT, batch_id, journal, _inputs(journal, stg))
         inspect_load(lake, tables, gates, batch_id)
     return tables
 
@@ -148,28 +248,31 @@ def run_accounts(
     batch_id: str | None = None,
     known_types: DataFrame | None = None,
     gates: Collection[str] = (),
+    restartable: bool = False,
 ) -> dict[str, DataFrame]:
     """R2: clean the yearly account frames and load nine tables, all or none.
 
     ``known_types`` are account types of an earlier load; they keep their numbers.
     """
     batch_id = batch_id or uuid.uuid4().hex
-    quarantine(lake, "accounts", "account_id", bronze, ACCOUNTS, batch_id)
-    with lake.load() as load:
-        stg = _stage(
-            load,
-            "accounts",
-            lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers),
-            batch_id,
-            account_flags(),
-        )
+    journal = _journal(lake, batch_id, restartable)
+    others = [] if known_types is None else [known_types]
+    given = _inputs(journal, *bronze, fact_customers, *others)
+    if (before := _loaded_before(journal, "run_accounts", given)) is not None:
+        return before
+    _quarantine_once(lake, "accounts", "account_id", bronze, ACCOUNTS, batch_id, journal, given)
+    tables: dict[str, DataFrame] = {}
+    with _loading(lake, journal, "run_accounts", given, tables) as load:
+        clean = lambda: clean_accounts(union_conformed(bronze, ACCOUNTS), fact_customers)
+        stg = stage(load, "accounts", clean, batch_id, account_flags(), journal, given)
         builders = {name: (lambda build=build: build(stg)) for name, build in ACCOUNT_TABLES.items()}
         if known_types is not None:
             types = known_types.select("account_type_id", "account_type")
             builders["dim_account_type"] = lambda: types.unionByName(build_dim_account_type(stg, types))
-        tables = load_tables(load, builders, ACCOUNT_AUDIT, batch_id)
+        tables |= load_tables(load, builders, ACCOUNT_AUDIT, batch_id, journal, _inputs(journal, stg, *others))
         fact = {"fact_accounts": lambda: build_fact_accounts(stg, tables["dim_account_type"])}
-        tables |= load_tables(load, fact, ACCOUNT_AUDIT, batch_id)
+        typed = _inputs(journal, stg, tables["dim_account_type"])
+        tables |= load_tables(load, fact, ACCOUNT_AUDIT, batch_id, journal, typed)
         inspect_load(lake, tables, gates, batch_id)
     return tables
 
@@ -180,21 +283,23 @@ def run_transactions(
     fact_accounts: DataFrame,
     batch_id: str | None = None,
     gates: Collection[str] = (),
+    restartable: bool = False,
 ) -> dict[str, DataFrame]:
     """Clean the transaction frames and load the transaction facts, with their staging table or not at all."""
     batch_id = batch_id or uuid.uuid4().hex
-    quarantine(lake, "transactions", "transaction_id", bronze, TRANSACTIONS, batch_id)
-    with lake.load() as load:
-        stg = _stage(
-            load,
-            "transactions",
-            lambda: clean_transactions(
-                union_conformed([with_amount(df) for df in bronze], TRANSACTIONS), fact_accounts, amounts_checked=True
-            ),
-            batch_id,
+    journal = _journal(lake, batch_id, restartable)
+    given = _inputs(journal, *bronze, fact_accounts)
+    if (before := _loaded_before(journal, "run_transactions", given)) is not None:
+        return before
+    _quarantine_once(lake, "transactions", "transaction_id", bronze, TRANSACTIONS, batch_id, journal, given)
+    tables: dict[str, DataFrame] = {}
+    with _loading(lake, journal, "run_transactions", given, tables) as load:
+        clean = lambda: clean_transactions(
+            union_conformed([with_amount(df) for df in bronze], TRANSACTIONS), fact_accounts, amounts_checked=True
         )
+        stg = stage(load, "transactions", clean, batch_id, None, journal, given)
         facts = {"fact_transactions": lambda: build_fact_transactions(stg)}
-        tables = load_tables(load, facts, CUSTOMER_AUDIT, batch_id)
+        tables |= load_tables(load, facts, CUSTOMER_AUDIT, batch_id, journal, _inputs(journal, stg))
         inspect_load(lake, tables, gates, batch_id)
     return tables
 
@@ -206,15 +311,22 @@ def run_all(
     transactions: list[DataFrame],
     gates: Collection[str] = (),
     batch_id: str | None = None,
+    restartable: bool = False,
 ) -> dict[str, DataFrame]:
     """Customers, then accounts, then transactions; returns the 21 silver tables.
 
     Each of the three is loaded as a whole or not at all. The entries of a run in the log, in the quality
     tables and in the quarantine share one batch. At the end the silver tables are published for SQL.
+
+    A ``restartable`` run that died goes on when it is called again with its ``batch_id``: steps and loads
+    that it has finished from the same inputs are taken over (REUSED in the log), a rejected load is only
+    checked again. ``Journal.forget`` gives such a run up. After a change of the code take a new batch.
     """
     batch_id = batch_id or uuid.uuid4().hex
-    tables = run_customers(lake, customers, batch_id, gates)
-    tables |= run_accounts(lake, accounts, tables["fact_customers"], batch_id, gates=gates)
-    tables |= run_transactions(lake, transactions, tables["fact_accounts"], batch_id, gates)
+    tables = run_customers(lake, customers, batch_id, gates, restartable)
+    tables |= run_accounts(
+        lake, accounts, tables["fact_customers"], batch_id, gates=gates, restartable=restartable
+    )
+    tables |= run_transactions(lake, transactions, tables["fact_accounts"], batch_id, gates, restartable)
     lake.publish("silver", list(tables))
     return tables

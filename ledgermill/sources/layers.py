@@ -12,7 +12,7 @@ import os
 import threading
 import time
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "staging", "silver", "gold", "error_log")
 MANIFESTS = "_manifests"
+VERSION_MARK = ".v-"
 TRIES = 20
 
 _commits: dict[str, threading.Lock] = {}
@@ -58,9 +59,12 @@ class Lake:
         return self.read(layer, table)
 
     @contextmanager
-    def load(self) -> Iterator[Load]:
-        """Tables written inside become visible together at the end; after a failure none does."""
-        load = Load(self)
+    def load(self, kept: Callable[[], Collection[str]] = tuple) -> Iterator[Load]:
+        """Tables written inside become visible together at the end; after a failure none does.
+
+        A failed load removes the versions it wrote, but for those ``kept`` then names.
+        """
+        load = Load(self, kept)
         try:
             yield load
             load.commit()
@@ -82,7 +86,7 @@ class Lake:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
-    def _put(self, path: str, text: str) -> None:
+    def put(self, path: str, text: str) -> None:
         """A new file; fails if there is one of this name."""
         files, place = self._files(path)
         out = files.create(place, False)
@@ -91,7 +95,7 @@ class Lake:
         finally:
             out.close()
 
-    def _get(self, path: str) -> str:
+    def get(self, path: str) -> str:
         files, place = self._files(path)
         source = files.open(place)
         try:
@@ -103,6 +107,21 @@ class Lake:
         files, place = self._files(path)
         files.delete(place, True)
 
+    def exists(self, path: str) -> bool:
+        files, place = self._files(path)
+        return files.exists(place)
+
+    def names(self, folder: str) -> list[str]:
+        """Names of what lies in a folder; none if there is no such folder."""
+        files, place = self._files(folder)
+        return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+    def state_of(self, path: str) -> str:
+        """Length and time of change of a file."""
+        files, place = self._files(path)
+        status = files.getFileStatus(place)
+        return f"{status.getLen()} {status.getModificationTime()}"
+
     def manifest(self) -> tuple[int, dict[str, dict]]:
         """The number of the newest manifest and its tables; 0 and none before the first load."""
         folder = os.path.join(self.root, MANIFESTS)
@@ -111,9 +130,9 @@ class Lake:
             return 0, {}
         numbers = [int(s.getPath().getName()) for s in files.listStatus(place) if s.getPath().getName().isdigit()]
         for number in sorted(numbers, reverse=True):
-            name = self._get(os.path.join(folder, f"{number:010d}"))
+            name = self.get(os.path.join(folder, f"{number:010d}"))
             if name.endswith("\n"):  # else a writer is still about to put it down
-                return number, json.loads(self._get(os.path.join(folder, name.strip())))
+                return number, json.loads(self.get(os.path.join(folder, name.strip())))
         return 0, {}
 
     def _commit(self, changes: Mapping[str, dict | None]) -> None:
@@ -128,6 +147,9 @@ class Lake:
                 stale = []
                 for table, entry in changes.items():
                     old = tables.pop(table, None)
+                    if old and entry and old["path"] == entry["path"]:  # taken over by a run that goes on
+                        tables[table] = {**old, **entry}
+                        continue
                     stale += [old["previous"]] if old and old.get("previous") else []
                     if entry is not None:
                         # The version before stays readable for who has opened it.
@@ -135,9 +157,9 @@ class Lake:
                     elif old:
                         stale.append(old["path"])
                 name = f"{uuid.uuid4().hex}.json"
-                self._put(os.path.join(folder, name), json.dumps(tables, sort_keys=True))
+                self.put(os.path.join(folder, name), json.dumps(tables, sort_keys=True))
                 try:
-                    self._put(os.path.join(folder, f"{number + 1:010d}"), f"{name}\n")
+                    self.put(os.path.join(folder, f"{number + 1:010d}"), f"{name}\n")
                 except Exception as taken:
                     self.remove(os.path.join(folder, name))
                     if trial == TRIES - 1 or "AlreadyExists" not in str(taken) and "already exists" not in str(taken):
@@ -152,8 +174,9 @@ class Lake:
 class Load:
     """Tables that become visible together. Several threads may write into one load."""
 
-    def __init__(self, lake: Lake):
+    def __init__(self, lake: Lake, kept: Callable[[], Collection[str]] = tuple):
         self.lake = lake
+        self._kept = kept
         self._changes: dict[str, dict | None] = {}
         self._written: list[str] = []
         self._guard = threading.Lock()
@@ -163,10 +186,10 @@ class Load:
     ) -> DataFrame:
         """Writes a version that only this load sees; ``facts`` are kept in the manifest."""
         home = self.lake.home(layer, table)
-        path = f"{os.path.relpath(home, self.lake.root)}.v-{uuid.uuid4().hex}"
+        path = f"{os.path.relpath(home, self.lake.root)}{VERSION_MARK}{uuid.uuid4().hex}"
         place = os.path.join(self.lake.root, path)
         with self._guard:
-            self._written.append(place)
+            self._written.append(path)
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -175,6 +198,16 @@ class Load:
             self._changes[f"{layer}/{table}"] = {"path": path, **facts}
         return self.lake.spark.read.parquet(place)
 
+    def adopt(self, layer: str, table: str, path: str) -> DataFrame:
+        """Takes over a complete version that an earlier, failed load of the same run has left."""
+        with self._guard:
+            self._changes[f"{layer}/{table}"] = {"path": path}
+        return self.lake.spark.read.parquet(os.path.join(self.lake.root, path))
+
+    def version(self, layer: str, table: str) -> str:
+        """The path of a table of this load, below the root."""
+        return self._changes[f"{layer}/{table}"]["path"]
+
     def note(self, layer: str, table: str, **facts: str | int | list | None) -> None:
         """Adds facts to a table of this load."""
         with self._guard:
@@ -190,8 +223,12 @@ class Load:
 
     def abandon(self) -> None:
         """Removes what was written; a file system that refuses must not hide why the load failed."""
-        for place in self._written:
+        try:
+            kept = set(self._kept())
+        except PySparkException:
+            return
+        for path in set(self._written) - kept:
             try:
-                self.lake.remove(place)
+                self.lake.remove(os.path.join(self.lake.root, path))
             except PySparkException:
                 continue
