@@ -30,6 +30,7 @@ from ledgermill.plans.ingest import run_ingest
 from ledgermill.plans.journal import Journal, inputs_digest
 from ledgermill.sources.registry import read_entity, type_registry
 from ledgermill.plans.runs import (
+    ACCOUNT_AUDIT,
     CUSTOMER_AUDIT,
     QUARANTINE,
     REPORT,
@@ -415,6 +416,67 @@ def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(checks.together(counted))
 
 
+def _digest(df: DataFrame, left_out: str) -> DataFrame:
+    """Rows and a sum of row digests over all columns but one key and the timestamps, in any order of rows."""
+
+    def cell(field: T.StructField):
+        c, kind = F.col(field.name), field.dataType
+        if isinstance(kind, T.FractionalType):
+            c = c.cast("decimal(24,6)")
+        return F.coalesce(c.cast("string"), F.lit("~"))
+
+    untimed = [f for f in df.schema.fields if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    cells = [cell(f) for f in sorted(untimed, key=lambda f: f.name) if f.name != left_out]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("digest"))
+
+
+def _run_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the 21 tables of a run hold, apart from surrogate keys and load times."""
+    _, tables, _ = _whole_run(spark, sf_dir)
+    found = [_digest(df, SURROGATE_KEYS[n]).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
+    return checks.together(found)
+
+
+def _load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load times of every table of a run, and whether the log's seconds are those between its two times."""
+    lake, tables, batch = _whole_run(spark, sf_dir)
+    stamped = []
+    for name, df in tables.items():
+        created, updated = ACCOUNT_AUDIT if ACCOUNT_AUDIT[0] in df.columns else CUSTOMER_AUDIT
+        stamped.append(
+            df.agg(
+                F.count(created).alias("dated"),
+                F.countDistinct(created).alias("times"),
+                F.count(F.when(F.col(created) == F.col(updated), 1)).alias("unchanged"),
+            ).withColumn("procedure_name", F.lit(f"load_{name}"))
+        )
+    log = run_log(lake).where((F.col("batch_id") == batch) & (F.col("status") == "SUCCESS"))
+    between = F.floor((F.unix_micros("end_time") - F.unix_micros("start_time")) / 1_000_000)
+    right = (F.col("duration_seconds") >= 0) & (F.col("duration_seconds") == between)
+    return checks.together(stamped).join(log.select("procedure_name", right.alias("_right")), "procedure_name").select(
+        "procedure_name", "dated", "times", "unchanged", F.col("_right").cast("long").alias("seconds_right")
+    )
+
+
+def _customer_lists(t: Layers) -> DataFrame:
+    """The three list columns of the staging customers as text."""
+    told = F.transform(
+        "shareholders",
+        lambda s: F.concat_ws(
+            ":", *(F.coalesce(s[n], F.lit("~")) for n in ("shareholder_id", "shareholder_name", "ownership_percentage"))
+        ),
+    )
+    named = lambda c: F.array_join(c, ";", "~")
+    return t.build("stg_customers").select(
+        "customer_id",
+        F.array_join(told, ";").alias("shareholders"),
+        named("directors").alias("directors"),
+        named("companies").alias("companies"),
+        F.size("shareholders").alias("n_shareholders"),
+    )
+
+
 def _run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flags a run counted while it wrote its staging tables."""
     lake, _, batch = _whole_run(spark, sf_dir)
@@ -630,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "explode_companies": _customer_op(customers.explode_companies, "directed_company"),
     "events_json_value": _events_json,
     "clean_customers": _on_layers(lambda t: t.build("stg_customers")),
+    "clean_customers_lists": _on_layers(_customer_lists),
     **{f"build_{n}": _on_layers(lambda t, n=n: t.build(n)) for n in CUSTOMER_TABLES},
     # accounts
     "standard_text": _on_layers(lambda t: _standard_text(t["bronze_accounts"])),
@@ -708,6 +771,8 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": _on_layers(_surrogate_keys),
     "etl_log": lambda s, d: comparable(_etl_log(s, d)),
     "run_all": _run_all,
+    "run_digests": _run_digests,
+    "load_times": _load_times,
     "restarted_run": _restarted_run,
     "run_quality": lambda s, d: comparable(_run_quality(s, d)),
     "published_counts": lambda s, d: comparable(_published_counts(s, d)),

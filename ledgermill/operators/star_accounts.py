@@ -30,8 +30,9 @@ def build_fact_accounts(
 ) -> DataFrame:
     """One row per account with the key of its type.
 
-    A few types cover all accounts, so the distinct rows are dealt over slices of their type
-    unless Spark finds the dimension small enough to broadcast.
+    A few types cover all accounts: Spark broadcasts the dimension by its size, and adaptive execution
+    splits the rows of a frequent type if it cannot. With ``slice_rows`` the rows of a type are dealt over
+    slices of that size, for sessions without adaptive execution.
     """
     facts = stg.select(
         "account_id",
@@ -52,13 +53,11 @@ def build_fact_accounts(
         F.col("minimum_deposit_met").alias("is_minimum_deposit_met"),
         "account_opening_channel",
     )
+    types = dim_account_type.select("account_type", "account_type_id")
+    if slice_rows is None:
+        return facts.join(types, "account_type").drop("account_type").distinct()
     keyed = spread_join(
-        row_tag(facts),
-        dim_account_type.select("account_type", "account_type_id"),
-        "account_type",
-        "account_type",
-        how="inner",
-        slice_rows=slice_rows,
+        row_tag(facts), types, "account_type", "account_type", how="inner", slice_rows=slice_rows
     )
     return keyed.drop("account_type", "_row").distinct()
 
