@@ -25,7 +25,7 @@ from ledgermill.operators.skew import row_tag, spread_join
 from ledgermill.operators.star_accounts import ACCOUNT_TABLES, build_dim_account_type
 from ledgermill.operators.star_customers import CUSTOMER_TABLES
 from ledgermill.operators.unions import union_conformed, union_tagged
-from ledgermill.plans import checks, metrics, periods, reports
+from ledgermill.plans import bitmaps, checks, metrics, periods, reports
 from ledgermill.plans.ingest import run_ingest
 from ledgermill.plans.journal import Journal, inputs_digest
 from ledgermill.sources.registry import read_entity, type_registry
@@ -644,6 +644,44 @@ def _periods(t: Layers) -> DataFrame:
     return periods.customer_periods(t["fact_accounts"], t["dim_account_status"])
 
 
+def _stored_bitmaps(spark: SparkSession, parts: list[DataFrame], table_name: str) -> DataFrame:
+    """Bitmaps that reach a stored table in parts."""
+    lake = _lake(spark)
+    for part in parts:
+        stored = bitmaps.add_bitmaps(lake, "gold", table_name, part)
+    return stored
+
+
+def _engagement_of_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity arrives in two overlapping deliveries; the rates come from the stored bitmaps alone."""
+    activity = Layers(spark, sf_dir).build("activity")
+    days = activity.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    middle = days.select(F.date_add("first", F.floor(F.datediff("last", "first") / 2).cast("int"))).scalar()
+    early, late = activity.where(F.col("day") <= middle), activity.where(F.col("day") >= F.date_sub(middle, 3))
+    stored = _stored_bitmaps(spark, [bitmaps.daily_users(early), bitmaps.daily_users(late)], "daily_users")
+    return comparable(bitmaps.engagement_of(stored))
+
+
+def _adoption_of_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digital customers, stored per day in one delivery for every transaction type."""
+    _, t, _ = _whole_run(spark, sf_dir)
+    paid = t["fact_transactions"]
+    credit = F.col("transaction_type").eqNullSafe("CREDIT")
+    parts = [
+        bitmaps.daily_digital_customers(t["fact_customers"], t["fact_accounts"], paid.where(rows))
+        for rows in (credit, ~credit)
+    ]
+    stored = _stored_bitmaps(spark, parts, "daily_digital_customers")
+    return comparable(bitmaps.adoption_of(stored, t["fact_customers"]))
+
+
+def _penetration_of_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, t, _ = _whole_run(spark, sf_dir)
+    bits = bitmaps.product_customers(t["fact_customers"], t["fact_accounts"], t["dim_account_products"])
+    stored = _stored_bitmaps(spark, [bits], "product_customers")
+    return comparable(bitmaps.penetration_of(stored, t["fact_customers"]))
+
+
 def _minimum_slice(t: Layers) -> DataFrame:
     """Success rate per channel straight from bronze."""
     kept = t["bronze_transactions"].where(F.col("amount") != 0)
@@ -807,6 +845,7 @@ QUERIES: dict[str, Query] = {
     "m08_product_penetration": _on_layers(
         lambda t: metrics.product_penetration(t["fact_customers"], t["fact_accounts"], t["dim_account_products"])
     ),
+    "m08_penetration_of_bitmaps": _penetration_of_bitmaps,
     "m09_loan_utilisation": _on_layers(lambda t: metrics.loan_utilisation(t.build("loans"), ["loan_status"])),
     "m10_active_accounts_ratio": _on_layers(lambda t: metrics.active_accounts_ratio(t["dim_account_status"])),
     "m11_net_interest_margin": _on_layers(lambda t: metrics.net_interest_margin(t.build("positions"), ["year"])),
@@ -826,6 +865,8 @@ QUERIES: dict[str, Query] = {
     "m21_digital_adoption_rate": _on_layers(
         lambda t: metrics.digital_adoption_rate(t["fact_customers"], t["fact_accounts"], t["fact_transactions"])
     ),
+    "m21_adoption_of_bitmaps": _adoption_of_bitmaps,
+    "m22_engagement_of_bitmaps": _engagement_of_bitmaps,
     "m22_app_engagement_rate": _on_layers(lambda t: metrics.app_engagement_rate(t.build("activity"))),
     "m23_failed_login_rate": _on_layers(lambda t: metrics.failed_login_rate(t.build("activity"), ["day"])),
     # department reports
