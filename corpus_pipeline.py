@@ -23,7 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    SimHash fingerprints link texts first; their links are verified, and what they miss is found exactly.
+    """
     return near_copies.without_near_copies(docs)
 
 

@@ -1,12 +1,15 @@
 """Removal of near copies: texts whose sets of word shingles are similar, found and verified exactly.
 
-1. Shingles have one order, very common ones last. Two texts similar enough share one of their first
+1. SimHash fingerprints of the same shingles (``simhash``) give classes of texts that are a few bits apart. Each
+   text is a candidate with the first of its class. Fingerprints miss pairs and join texts that are not similar,
+   so their links are verified with those of step 3, and steps 2 to 4 find what they miss.
+2. Shingles have one order, very common ones last. Two texts similar enough share one of their first
    n - least + 1 shingles, so each distinct text is placed under those. Only places that two texts share
    are kept.
-2. Along each place, texts by size, neighbours and the first with all others are candidates. A parity
+3. Along each place, texts by size, neighbours and the first with all others are candidates. A parity
    sketch of each set bounds from below how many shingles differ and drops most candidates. Of the others
    each text's link to its least partner is verified on the sets.
-3. Where texts of a place are still apart, the sketches of all pairs of them are compared. Of the pairs that
+4. Where texts of a place are still apart, the sketches of all pairs of them are compared. Of the pairs that
    pass, first a spanning forest of each place is verified, which connects nearly all that belongs
    together; then every pair that is still apart. A place with ``BLOCK`` texts or more is dealt out as pairs of blocks, so a task holds two
    blocks at most.
@@ -24,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm import simhash
 from ledgermill.llm.common import id_and_text, slices
 from ledgermill.llm.components import connected_components
 from ledgermill.llm.simhash import SEED, shingle_hashes
@@ -407,6 +411,13 @@ def _stars(known: DataFrame) -> DataFrame:
     return known.where("node != component").selectExpr("node as a", "component as b")
 
 
+def _fingerprint_links(texts: DataFrame, words_in_shingle: int) -> DataFrame:
+    """Candidate links (a, b) of each text to the smallest text of its class of SimHash fingerprints."""
+    prints = simhash.fingerprints(texts, words_in_shingle, "node", "text")
+    linked = simhash.near_duplicates(prints).where("doc_id != component_id")
+    return linked.select(F.least("doc_id", "component_id").alias("a"), F.greatest("doc_id", "component_id").alias("b"))
+
+
 def similar_texts(texts: DataFrame, words_in_shingle: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``node, component`` over every pair of texts that are similar enough, from ``node, text`` (bytes).
 
@@ -414,12 +425,13 @@ def similar_texts(texts: DataFrame, words_in_shingle: int = WORDS, similarity: f
     """
     placed = written(_placed(texts, words_in_shingle, similarity), "placed-texts")
     met = written(_shared_places(placed, similarity), "shared-places")
+    printed = written(_sketched(_fingerprint_links(texts, words_in_shingle), placed, similarity), "fingerprint-links")
     tried = written(met.where("not member").selectExpr("key as a", "node as b").distinct(), "candidate-links")
     links = written(_sketched(tried, placed, similarity), "sketched-links")
     # Most texts have a partner that proves similar: one link each connects nearly all.
     both = links.union(links.selectExpr("b as a", "a as b"))
     nearest = both.groupBy("a").agg(F.min("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    nearest = written(nearest.distinct(), "nearest-links")
+    nearest = written(nearest.union(printed).distinct(), "nearest-links")
     proved = _alike(nearest, _sets(texts, nearest, words_in_shingle), similarity)
     known = written(connected_components(proved), "connected-texts")
     tried = nearest

@@ -52,6 +52,26 @@ def test_equal_fingerprints_are_not_enough(spark):
     assert kept_of(texts) == stay(spark, texts) == list(range(20))
 
 
+def test_fingerprints_link_copies_first(spark, monkeypatch):
+    """SimHash classes are candidates of the stage; those that are not similar are not taken."""
+    rng = random.Random(31)
+    line = "one line of nine words that is often repeated "
+    texts = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) + " " + line * 60 for _ in range(3)]
+    for _ in range(4):
+        base = [f"v{rng.randrange(3000)}" for _ in range(400)]
+        texts += [" ".join(base), " ".join([*base[:-1], "edited"])]
+    linked = []
+
+    def spied(prints, distance=simhash.DISTANCE, found=simhash.near_duplicates):
+        classes = found(prints, distance)
+        linked.extend(classes.where("doc_id != component_id").collect())
+        return classes
+
+    monkeypatch.setattr(simhash, "near_duplicates", spied)
+    assert stay(spark, texts) == kept_of(texts) == [0, 1, 2, 3, 5, 7, 9]
+    assert len(linked) >= 4  # the three of one fingerprint, and pairs that differ in one word
+
+
 @pytest.mark.parametrize(("n_words", "share", "times"), [(60, 0.02, 8), (250, 0.02, 8), (250, 0.02, 2), (60, 0.015, 1)])
 def test_every_pair_of_near_copies_is_found(spark, monkeypatch, n_words, share, times):
     rng = random.Random(n_words)
