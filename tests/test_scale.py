@@ -2,7 +2,10 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ledgermill.contract.layers import Layers
+from ledgermill.operators.transactions import FACT_COLUMNS, build_fact_transactions
 from ledgermill.sources.schemas import TRANSACTIONS, columns
 
 LINES = (
@@ -29,3 +32,16 @@ def test_bronze_rows_are_dealt_before_their_columns_are_derived(spark, tmp_path)
     assert frame.count() == len(rows)
     assert frame.where("transaction_id = ' txn0-1'").count() == 2
     assert frame.where("transaction_id is null").count() == 1
+
+
+def test_copies_of_facts_are_found_after_the_shuffle(spark):
+    """No task collects the wide rows of its input split; rows without any value and copies come once."""
+    rows = spark.range(60).select(
+        *(F.when(F.col("id") > 9, F.concat(F.lit(f"{c}-"), F.col("id") % 20)).alias(c) for c in FACT_COLUMNS)
+    )
+    facts = build_fact_transactions(rows)
+    plan = plan_of(facts).splitlines()
+    exchange = next(k for k, line in enumerate(plan) if "Exchange" in line)
+    assert not any("HashAggregate" in line for line in plan[exchange:])
+    assert facts.columns == FACT_COLUMNS
+    assert sorted(r.transaction_id or "" for r in facts.collect()) == sorted(["", *(f"transaction_id-{k}" for k in range(20))])
