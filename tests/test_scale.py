@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgermill.contract.layers import Layers
+from ledgermill.operators import quality, star_accounts, star_customers
 from ledgermill.operators.transactions import FACT_COLUMNS, build_fact_transactions
 from ledgermill.sources.schemas import TRANSACTIONS, columns
 
@@ -45,3 +46,31 @@ def test_copies_of_facts_are_found_after_the_shuffle(spark):
     assert not any("HashAggregate" in line for line in plan[exchange:])
     assert facts.columns == FACT_COLUMNS
     assert sorted(r.transaction_id or "" for r in facts.collect()) == sorted(["", *(f"transaction_id-{k}" for k in range(20))])
+
+
+def below_exchange(df):
+    plan = plan_of(df).splitlines()
+    return plan[next(k for k, line in enumerate(plan) if "Exchange" in line) :]
+
+
+def test_copies_of_account_and_customer_rows_are_found_after_the_shuffle(spark):
+    status = "account_id account_status account_opening_date account_approval_date account_status_change_date "
+    status += "account_closing_date account_status_change_reason"
+    risks = "customer_id is_pep pep_type is_sanctioned_country is_director is_supervised_aml_cft risk_score"
+    for names, build in ((status, star_accounts.build_dim_account_status), (risks, star_customers.build_dim_customer_risks)):
+        given = F.when(F.col("id") > 9, F.col("id") % 20).cast("string")
+        stg = spark.range(40).select(*(given.alias(c) for c in names.split()))
+        rows = build(stg)
+        assert not any("HashAggregate" in line for line in below_exchange(rows))
+        assert sorted(r[0] or "" for r in rows.collect()) == sorted(["", *map(str, range(20))])
+
+
+def test_details_are_spelled_out_for_broken_rows_only(spark):
+    rows = spark.createDataFrame([("a", None, "X"), ("b", "1", "Y"), (None, "1", None), ("c", None, "Z")], "k string, v string, d string")
+    found = quality.check_not_null(rows, "t", "k", ["k", "v"])
+    plan = plan_of(found).splitlines()
+    generate = next(k for k, line in enumerate(plan) if "Generate" in line)
+    assert any("Filter" in line for line in plan[generate:])
+    assert sorted((r.key or "", r.detail) for r in found.collect()) == [("", "k"), ("a", "v"), ("c", "v")]
+    outside = quality.check_domain(rows, "t", "k", {"d": ["X", "Y"]})
+    assert [tuple(r) for r in outside.collect()] == [("DOMAIN", "t", "c", "d=Z")]
