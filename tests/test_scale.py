@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgermill.contract.layers import Layers
 from ledgermill.operators import quality, star_accounts, star_customers
 from ledgermill.operators.transactions import FACT_COLUMNS, build_fact_transactions
+from ledgermill.plans import bitmaps
 from ledgermill.sources.schemas import TRANSACTIONS, columns
 
 LINES = (
@@ -65,6 +66,14 @@ def test_copies_of_account_and_customer_rows_are_found_after_the_shuffle(spark):
         assert sorted(r[0] or "" for r in rows.collect()) == sorted(["", *map(str, range(20))])
 
 
+def test_bitmaps_are_built_where_all_numbers_of_one_meet(spark):
+    rows = spark.range(200).selectExpr("case when id % 7 > 0 then id % 90 * 1000 end as n", "id % 2 = 0 as g")
+    bits = bitmaps.bitmaps(rows, "n", ["g"])
+    assert not any("bitmap_construct_agg" in line for line in below_exchange(bits))
+    expected = {r.g: r.c for r in rows.groupBy("g").agg(F.countDistinct("n").alias("c")).collect()}
+    assert {r.g: r.c for r in bitmaps.counted(bits, ["g"], "c").collect()} == expected
+
+
 def test_details_are_spelled_out_for_broken_rows_only(spark):
     rows = spark.createDataFrame([("a", None, "X"), ("b", "1", "Y"), (None, "1", None), ("c", None, "Z")], "k string, v string, d string")
     found = quality.check_not_null(rows, "t", "k", ["k", "v"])
