@@ -18,6 +18,7 @@ MARKS = ".,;:!?|*&%$#)"
 # Byte-level vocabularies write a byte without a visible sign of its own as a letter from 256 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_BLANK = chr(_BYTE_LETTERS[32])
 _PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 
@@ -45,8 +46,13 @@ class Encoder:
         word = part[1:] if part[:1] == " " and not self.drops_space else part
         if not word.isalpha() or self.drops_space and not word.isascii():
             return None
-        spelled = part.lower() if self.drops_space else part
-        pieces = self.tokenizer.model.tokenize(spelled.encode().decode("latin-1").translate(_BYTE_LETTERS))
+        if self.drops_space:
+            spelled = part.lower()
+        elif part.isascii():
+            spelled = word if word is part else _BLANK + word
+        else:
+            spelled = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        pieces = self.tokenizer.model.tokenize(spelled)
         return array.array("I", [piece.id for piece in pieces]).tobytes()
 
     def _whole(self, texts: list[str]) -> list[bytes]:

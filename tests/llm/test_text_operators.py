@@ -258,6 +258,17 @@ def test_keys_in_other_layouts(kind, key):
     assert [(k, a) for k, a, _ in twice] == [(kind, 0), (kind, len(digits.rstrip("=")))]
 
 
+def test_ascii_words_are_not_spelled_byte_by_byte(monkeypatch):
+    """A word of ASCII letters reads as its own bytes; only the blank before it has another letter."""
+    coder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    texts = ["Plain words  of ASCII\nletters, twice: words", " Blank first", "Na\u00efve \u00e9t\u00e9 words"]
+    expected = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in Encoder(tokenizer_path("byte_bpe_50k.json")).encode(texts)]
+    assert found == expected
+    monkeypatch.setattr("ledgermill.llm.tokens._BYTE_LETTERS", None)  # not needed for the first two
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode(texts[:2])] == expected[:2]
+
+
 def test_tokens_behind_other_words():
     for before in ("session-cookie.", "session_cookie_", "a-long-prefix-of-it.b-long-prefix."):
         assert secret_scan.structural_spans(f"{before}{TOKEN} end") == [("signed_token", len(before), len(before) + len(TOKEN))]
