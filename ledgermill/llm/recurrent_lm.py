@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import copy
 import heapq
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -142,6 +143,14 @@ def frequent_words(counts: DataFrame) -> Words:
     return Words(total, distinct, frequent, [END.encode(), *(word for _, word in top[: VOCABULARY - 1])])
 
 
+class Places(dict):
+    """Numbers tokens from 0 as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class Lexicon:
     """Looks tokens up: vocabulary number (-1: rare), what the network reads after one, local count.
 
@@ -155,32 +164,28 @@ class Lexicon:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = Places()
         self.table = np.zeros((3, 0), dtype=np.int64)
 
     def rows(self, found: list[bytes]) -> np.ndarray:
         """Rows of the table; they hold until the next call of ``make_room``."""
-        fresh = list(set(found).difference(self.place))
-        if fresh:
-            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
-            size, number, frequent = len(self.words.known), self.number, self.words.frequent
-            new = np.empty((3, len(fresh)), dtype=np.int64)
-            for k, word in enumerate(fresh):
-                at = number.get(word, -1)
-                read = at if at >= 0 else size + (word[-1] * 31 + word[max(0, len(word) - 2)] * 7) % SUFFIXES
-                new[:, k] = at, read, frequent.get(word, -1)
-            self.pending.append(new)
         return np.fromiter(map(self.place.__getitem__, found), dtype=np.int32, count=len(found))
 
     def make_room(self) -> None:
         if len(self.place) > MEMORY_WORDS:
             self._clear()
-        self.pending: list[np.ndarray] = []
 
     def settle(self) -> np.ndarray:
         """The table with all tokens looked up since ``make_room``."""
-        self.table = np.concatenate([self.table, *self.pending], axis=1)
-        self.pending = []
+        fresh = list(itertools.islice(self.place, self.table.shape[1], None))
+        if fresh:
+            size, number, frequent = len(self.words.known), self.number, self.words.frequent
+            new = np.empty((3, len(fresh)), dtype=np.int64)
+            new[0] = [number.get(word, -1) for word in fresh]
+            read = [size + (word[-1] * 31 + word[-2:][0] * 7) % SUFFIXES for word in fresh]
+            new[1] = np.where(new[0] >= 0, new[0], read)
+            new[2] = [frequent.get(word, -1) for word in fresh]
+            self.table = np.concatenate([self.table, new], axis=1)
         return self.table
 
 
