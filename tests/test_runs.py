@@ -236,3 +236,34 @@ def test_years_with_other_types_load_into_one_schema(spark, tmp_path):
     assert rows == {("1", "5.0000", "10.50", None), ("k2", "2.2500", "None", "much")}
     written = [dict(lake.read("bronze", f"erp_loans_{y}").dtypes) for y in (2022, 2023)]
     assert written[0] == written[1] and written[0]["k"] == "string" and written[0]["n"] == "decimal(23,4)"
+
+
+def test_lost_values_are_found_by_compiled_code_and_the_latest_counts(spark, tmp_path):
+    from ledgermill.operators.quality import check_domain, rescued_values
+    from ledgermill.sources.schemas import rescued
+
+    rows = [
+        ("a", "x", "1", {"amount": "old", "note": "n"}),
+        ("b", "1.00", "y", None),
+        ("c", "2.00", "2", {"amount": "old", "note": None}),
+        ("d", "z", "z", {}),
+        ("e", None, "", None),
+    ]
+    frame = spark.createDataFrame(rows, "transaction_id string, amount string, loyalty_points string, _rescued map<string,string>")
+    frame.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = rescued_values(df, "t", "transaction_id", TRANSACTIONS)
+    assert sorted((r.key, r.column_name, r.value or "-") for r in found.collect()) == [
+        ("a", "amount", "x"), ("a", "note", "n"), ("b", "loyalty_points", "y"),
+        ("c", "amount", "old"), ("c", "note", "-"), ("d", "amount", "z"), ("d", "loyalty_points", "z"),
+    ]
+    maps = {r.transaction_id: r.m for r in df.select("transaction_id", rescued(df, TRANSACTIONS).alias("m")).collect()}
+    assert maps == {
+        "a": {"amount": "x", "note": "n"}, "b": {"loyalty_points": "y"}, "c": {"amount": "old", "note": None},
+        "d": {"amount": "z", "loyalty_points": "z"}, "e": None,
+    }
+    # no function that Spark does not compile
+    outside = check_domain(df, "t", "transaction_id", {"amount": ["1.00"]})
+    assert sorted((r.key, r.detail) for r in outside.collect()) == [("a", "amount=x"), ("c", "amount=2.00"), ("d", "amount=z")]
+    for checked in (found, outside):
+        assert "lambda" not in checked._jdf.queryExecution().optimizedPlan().toString()
