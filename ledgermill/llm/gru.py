@@ -25,21 +25,37 @@ def forward(
     hidden = weights.shape[1]
     out = np.empty((*inputs.shape[:3], hidden), dtype=np.float32)
     kept = [] if tape else None
-    for step in range(len(inputs)):
-        if keep is not None:
+    # each gate is an array of its own: (directions, gates, lanes, features)
+    apart = np.ascontiguousarray(weights.reshape(len(weights), hidden, 3, hidden).swapaxes(1, 2))
+    given = inputs.reshape(*inputs.shape[:3], 3, hidden).swapaxes(2, 3)
+    for step, begins in enumerate(_begun(keep, len(inputs))):
+        if begins:
             state = state * keep[step][..., None]
-        ours = np.matmul(state, weights)
-        gates = sigmoid(inputs[step, ..., : 2 * hidden] + ours[..., : 2 * hidden])
-        update, reset = gates[..., :hidden], gates[..., hidden:]
-        recur = ours[..., 2 * hidden :]
-        candidate = np.tanh(inputs[step, ..., 2 * hidden :] + reset * recur)
+        ours = np.matmul(state[:, None], apart)
+        gates, recur = ours[:, :2], ours[:, 2]
+        gates += given[step, :, :2]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        update, reset = gates[:, 0], gates[:, 1]
+        candidate = reset * recur
+        candidate += given[step, :, 2]
+        np.tanh(candidate, out=candidate)
         if tape:
             kept.append((state, update, reset, candidate, recur))
-        state = candidate + update * (state - candidate)
+        state = state - candidate
+        state *= update
+        state += candidate
         out[step] = state
     return out, kept
 
 
+def _begun(keep: np.ndarray | None, steps: int) -> list[bool]:
+    """Whether any state counts as zero before each step."""
+    return [False] * steps if keep is None else (keep == 0).any(axis=(1, 2)).tolist()
+
+
 def backward(
     grads: np.ndarray, weights: np.ndarray, tape: list, keep: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -49,20 +65,31 @@ def backward(
     d_weights = np.zeros_like(weights)
     carried = np.zeros_like(grads[0])
     turned = np.swapaxes(weights, 1, 2)
+    begun = _begun(keep, len(grads))
     for step in range(len(grads) - 1, -1, -1):
         state, update, reset, candidate, recur = tape[step]
         d_state = grads[step] + carried
-        d_candidate = d_state * (1 - update) * (1 - candidate * candidate)
-        d_update = d_state * (state - candidate) * update * (1 - update)
-        d_reset = d_candidate * recur * reset * (1 - reset)
-        d_inputs[step, ..., :hidden] = d_update
-        d_inputs[step, ..., hidden : 2 * hidden] = d_reset
-        d_inputs[step, ..., 2 * hidden :] = d_candidate
-        ours = np.concatenate([d_update, d_reset, d_candidate * reset], axis=-1)
+        d_candidate = d_state * (1 - update)
+        d_candidate *= 1 - candidate * candidate
+        d_update = state - candidate
+        d_update *= d_state
+        d_update *= update
+        d_update *= 1 - update
+        d_reset = d_candidate * recur
+        d_reset *= reset
+        d_reset *= 1 - reset
+        ours = d_inputs[step]
+        ours[..., :hidden] = d_update
+        ours[..., hidden : 2 * hidden] = d_reset
+        ours[..., 2 * hidden :] = d_candidate
+        ours = ours.copy()
+        ours[..., 2 * hidden :] *= reset
         d_weights += np.matmul(np.swapaxes(state, 1, 2), ours)
-        carried = d_state * update + np.matmul(ours, turned)
-        if keep is not None:
-            carried = carried * keep[step][..., None]
+        carried = np.matmul(ours, turned)
+        d_state *= update
+        carried += d_state
+        if begun[step]:
+            carried *= keep[step][..., None]
     return d_inputs, d_weights
 
 
@@ -89,7 +116,15 @@ class Adam:
         rate = share * self.rate * (1 - self.second**self.steps) ** 0.5 / (1 - self.first**self.steps)
         for name, grad in grads.items():
             rows, grad = row_sums(*grad) if isinstance(grad, tuple) else (slice(None), grad)
-            mean = self.mean[name][rows] * self.first + grad * (1 - self.first)
-            square = self.square[name][rows] * self.second + grad * grad * (1 - self.second)
-            self.mean[name][rows], self.square[name][rows] = mean, square
-            self.params[name][rows] -= rate * mean / (np.sqrt(square) + 1e-8)
+            mean, square = self.mean[name][rows], self.square[name][rows]  # whole tables are changed in place
+            mean *= self.first
+            mean += grad * (1 - self.first)
+            square *= self.second
+            part = grad * grad
+            part *= 1 - self.second
+            square += part
+            if not isinstance(rows, slice):
+                self.mean[name][rows], self.square[name][rows] = mean, square
+            spread = np.sqrt(square, out=part)
+            spread += 1e-8
+            self.params[name][rows] -= rate * mean / spread

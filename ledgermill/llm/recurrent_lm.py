@@ -23,13 +23,13 @@ import copy
 import heapq
 import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +49,11 @@ STEPS, FIRST_LANES, LANES = 32, 64, 512  # few lanes: many steps for few tokens;
 SCORE_STEPS = 64
 FIRST_DOCS, FIRST_PASSES = 1500, 2
 RATE, LATER_RATE = 0.01, 0.008
-COUNTER_WORDS = 400_000
-MEMORY_WORDS = 400_000
 SLICE_CHARS = 24_000_000
+PIECE_BYTES = 2_000_000
 CHUNK = 4096
+BLOCK = 2048
+SCORE_TOKENS = 32_768  # scored at once, of as many windows as it takes
 SEED = 11
 
 
@@ -61,6 +62,15 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def split_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all binary texts one after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    found = lists.flatten().view(pa.binary())
+    filled = pc.greater(pc.binary_length(found), 0)  # white space at either end of a text cuts off an empty piece
+    before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+    return found.filter(filled), np.diff(before[lists.offsets.to_numpy()])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
@@ -71,28 +81,26 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _training(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch that are not held out."""
+    return batch.column(2).filter(pc.invert(batch.column(1)))
+
+
 def count_tokens(rows: DataFrame) -> DataFrame:
     """``word, n`` over all training documents; each task sums up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(counts: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+        for batch in _gathered(batches, SLICE_CHARS):
+            texts = _training(batch)
+            words, times = split_tokens(texts)[0].value_counts().flatten()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([words, pa.array([END.encode()], pa.binary())]),
+                    pa.concat_arrays([times, pa.array([len(texts)], pa.int64())]),
+                ],
+                names=["word", "n"],
             )
 
-        counts: Counter = Counter()
-        for batch in batches:
-            ends = 0
-            for text, out in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not out:
-                    counts.update(tokens(text))
-                    ends += 1
-                    if len(counts) > COUNTER_WORDS:
-                        yield flush(counts)
-                        counts = Counter()
-            counts[END.encode()] += ends
-        yield flush(counts)
-
     summed = rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return written(summed.where("n > 0"), "token-counts")
 
@@ -143,50 +151,77 @@ def frequent_words(counts: DataFrame) -> Words:
     return Words(total, distinct, frequent, [END.encode(), *(word for _, word in top[: VOCABULARY - 1])])
 
 
-class Places(dict):
-    """Numbers tokens from 0 as they are first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        return place
-
-
 class Lexicon:
     """Looks tokens up: vocabulary number (-1: rare), what the network reads after one, local count.
 
     A rare token is read by the last bytes of its spelling. Count -1: not in the list of frequent
-    tokens. The number of tokens remembered is bounded.
+    tokens. Tokens are remembered up to the next call of ``make_room``.
     """
 
     def __init__(self, words: Words):
         self.words = words
-        self.number = {w: k for k, w in enumerate(words.known)}
-        self._clear()
+        self.frequent = pa.array(list(words.frequent), pa.binary())
+        # the last entry stands for all other tokens
+        self.count = np.array([*words.frequent.values(), -1], dtype=np.int64)
+        self.number = np.full(len(self.count), -1, dtype=np.int64)
+        self.number[pc.index_in(pa.array(words.known, pa.binary()), value_set=self.frequent)] = np.arange(len(words.known))
+        self.make_room()
 
-    def _clear(self) -> None:
-        self.place = Places()
-        self.table = np.zeros((3, 0), dtype=np.int64)
+    def make_room(self) -> None:
+        self.parts, self.held = [pa.array([], pa.binary())], 0
 
-    def rows(self, found: list[bytes]) -> np.ndarray:
+    def rows(self, found: pa.Array | list[bytes]) -> np.ndarray:
         """Rows of the table; they hold until the next call of ``make_room``."""
-        return np.fromiter(map(self.place.__getitem__, found), dtype=np.int32, count=len(found))
+        found = found if isinstance(found, pa.Array) else pa.array(found, pa.binary())
+        coded = found.dictionary_encode()
+        rows = coded.indices.to_numpy() + np.int32(self.held)
+        self.parts.append(coded.dictionary)
+        self.held += len(coded.dictionary)
+        return rows
 
-    def make_room(self) -> None:
-        if len(self.place) > MEMORY_WORDS:
-            self._clear()
+    def spelled(self) -> pa.Array:
+        """The token of each row of the table."""
+        return pa.concat_arrays(self.parts)
 
     def settle(self) -> np.ndarray:
         """The table with all tokens looked up since ``make_room``."""
-        fresh = list(itertools.islice(self.place, self.table.shape[1], None))
-        if fresh:
-            size, number, frequent = len(self.words.known), self.number, self.words.frequent
-            new = np.empty((3, len(fresh)), dtype=np.int64)
-            new[0] = [number.get(word, -1) for word in fresh]
-            read = [size + (word[-1] * 31 + word[-2:][0] * 7) % SUFFIXES for word in fresh]
-            new[1] = np.where(new[0] >= 0, new[0], read)
-            new[2] = [frequent.get(word, -1) for word in fresh]
-            self.table = np.concatenate([self.table, new], axis=1)
-        return self.table
+        spelled, size = self.spelled(), len(self.words.known)
+        place = pc.fill_null(pc.index_in(spelled, value_set=self.frequent), -1).to_numpy()
+        table = np.empty((3, len(spelled)), dtype=np.int64)
+        table[0], table[2] = self.number[place], self.count[place]
+        bounds = np.frombuffer(spelled.buffers()[1], dtype=np.int32)[: len(spelled) + 1]
+        letters = np.frombuffer(spelled.buffers()[2], dtype=np.uint8)
+        last = letters[bounds[1:] - 1].astype(np.int64)
+        before = letters[np.maximum(bounds[1:] - 2, bounds[:-1])].astype(np.int64)
+        table[1] = np.where(table[0] >= 0, table[0], size + (last * 31 + before * 7) % SUFFIXES)
+        return table
+
+    def sequence(self, texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the tokens of all texts, each closed by the end token, and how many each text has.
+
+        The network reads each of them after the one before; the first comes after an end token.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        self.make_room()
+        end = self.rows([END.encode()])[0]
+        rows, lengths = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+        # pieces of about PIECE_BYTES keep what is held of their tokens small
+        piece = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // PIECE_BYTES
+        bounds = np.flatnonzero(np.diff(piece, prepend=-1, append=-2)).tolist()
+        for lo, hi in itertools.pairwise(bounds):
+            found, sizes = split_tokens(texts[lo:hi])
+            rows.append(np.insert(self.rows(found), np.cumsum(sizes), end))
+            lengths.append(sizes + 1)
+        return np.concatenate(rows), np.concatenate(lengths)
+
+
+def _normalise(logits: np.ndarray, rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log P of one place in each row, and the sums by which to divide the odds that then stand in ``logits``."""
+    logits -= np.maximum.reduce(logits, axis=1, keepdims=True)
+    found = logits[rows, places]
+    np.exp(logits, out=logits)
+    sums = np.add.reduce(logits, axis=1)
+    return found - np.log(sums), sums
 
 
 class Model:
@@ -236,41 +271,52 @@ class Model:
         """log P of each target after its state; with ``learn`` also the gradients."""
         p = self.params
         classes = self.owner[targets]
-        logits = states @ p["class"] + p["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        odds = np.exp(logits)
-        sums = odds.sum(axis=1)
         rows = np.arange(len(targets))
-        out = logits[rows, classes] - np.log(sums)
+        kind = np.result_type(states, p["class"])
+        odds = np.empty((len(targets) if learn else BLOCK, len(self.first) - 1), dtype=kind)
+        out = np.empty(len(targets), dtype=kind)
+        for lo in range(0, len(targets), BLOCK):  # blocks stay in the cache
+            part = slice(lo, min(lo + BLOCK, len(targets)))
+            logits = np.matmul(states[part], p["class"], out=odds[part] if learn else odds[: part.stop - lo])
+            logits += p["class_bias"]
+            place = rows[: len(logits)], classes[part]
+            out[part], sums = _normalise(logits, *place)
+            if learn:
+                logits /= sums[:, None]
+                logits[place] -= 1
+                logits /= len(targets)
         grads = {}
         if learn:
-            d_logits = odds / sums[:, None]
-            d_logits[rows, classes] -= 1
-            d_logits /= len(targets)
-            d_states = d_logits @ p["class"].T
-            grads = {"class": states.T @ d_logits, "class_bias": d_logits.sum(axis=0)}
+            d_states = odds @ p["class"].T
+            grads = {"class": states.T @ odds, "class_bias": odds.sum(axis=0)}
             d_word, d_bias = np.zeros_like(p["word"]), np.zeros_like(p["word_bias"])
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(len(self.first)))
-        for k in range(len(self.first) - 1):
-            lo, hi = self.first[k], self.first[k + 1]
-            mine = order[bounds[k] : bounds[k + 1]]
-            if hi - lo < 2 or not len(mine):
+        # narrow numbers are sorted by counting
+        order = np.argsort(classes.astype(np.min_scalar_type(len(self.first))), kind="stable")
+        bounds = np.searchsorted(classes[order], np.arange(len(self.first))).tolist()
+        first, words, biases = self.first.tolist(), p["word"], p["word_bias"]
+        states, places, sorted_out = states[order], (targets - self.first[classes])[order], out[order]
+        d_sorted = d_states[order] if learn else None
+        for k in range(len(first) - 1):
+            lo, hi = first[k], first[k + 1]
+            mine = slice(bounds[k], bounds[k + 1])
+            if hi - lo < 2 or mine.start == mine.stop:
                 continue
-            inner = states[mine] @ p["word"][lo:hi].T + p["word_bias"][lo:hi]
-            inner -= inner.max(axis=1, keepdims=True)
-            odds = np.exp(inner)
-            sums = odds.sum(axis=1)
-            place = (np.arange(len(mine)), targets[mine] - lo)
-            out[mine] += inner[place] - np.log(sums)
+            given, word = states[mine], words[lo:hi]
+            inner = given @ word.T
+            inner += biases[lo:hi]
+            place = rows[: len(inner)], places[mine]
+            found, sums = _normalise(inner, *place)
+            sorted_out[mine] += found
             if learn:
-                d_inner = odds / sums[:, None]
-                d_inner[place] -= 1
-                d_inner /= len(targets)
-                d_states[mine] += d_inner @ p["word"][lo:hi]
-                d_word[lo:hi] = d_inner.T @ states[mine]
-                d_bias[lo:hi] = d_inner.sum(axis=0)
+                inner /= sums[:, None]
+                inner[place] -= 1
+                inner /= len(targets)
+                d_sorted[mine] += inner @ word
+                d_word[lo:hi] = inner.T @ given
+                d_bias[lo:hi] = np.add.reduce(inner, axis=0)
+        out[order] = sorted_out
         if learn:
+            d_states[order] = d_sorted
             grads |= {"word": d_word, "word_bias": d_bias}
             return out, grads, d_states
         return out
@@ -305,42 +351,35 @@ class Model:
         d_inputs = d_inputs[:, 0].reshape(-1, 3 * HIDDEN)
         flat = vectors.reshape(-1, SIZE)
         grads["project"], grads["project_bias"] = flat.T @ d_inputs, d_inputs.sum(axis=0)
-        grads["embed"] = (inputs.reshape(-1), d_inputs @ p["project"].T)
+        rows = inputs.reshape(-1).astype(np.min_scalar_type(len(p["embed"])))  # narrow numbers are sorted by counting
+        grads["embed"] = (rows, d_inputs @ p["project"].T)
         return grads, out
 
 
-def train_on(model: Model, words: Words, texts: list[bytes], rate: float, passes: int, most_lanes: int) -> int:
+def train_on(
+    model: Model, words: Words, texts: pa.Array | list[bytes], rate: float, passes: int, most_lanes: int
+) -> int:
     """Truncated backpropagation over all tokens of the texts; returns the tokens seen.
 
     Documents lie in lanes one after the other, in an order drawn for each pass. A state starts at zero with
     each document and is carried from window to window, as in scoring.
     """
     rng = np.random.default_rng(SEED)
-    size, lexicon, end = len(words.known), Lexicon(words), END.encode()
-    lexicon.make_room()
-    looked = [lexicon.rows([end, *tokens(text), end]) for text in texts]
+    size, lexicon = len(words.known), Lexicon(words)
+    rows, lengths = lexicon.sequence(texts)
     number, read_of, _ = lexicon.settle()
-    aim_of = np.where(number < 0, size, number).astype(np.int32)
-    read_of = read_of.astype(np.int32)
-    lengths = np.array([len(rows) - 1 for rows in looked], dtype=np.int64)
+    aims = np.where(number < 0, size, number).astype(np.int32)[rows]
+    reads = read_of.astype(np.int32)[np.concatenate([rows[-1:], rows[:-1]])]
+    begins = np.zeros(len(rows), dtype=bool)
+    begins[np.cumsum(lengths) - lengths] = True
     learner = gru.Adam(model.params, rate)
     for _ in range(passes):
-        lanes = deal_lanes(lengths, rng.permutation(len(looked)), most_lanes, 4 * STEPS)
-        steps = [int(lengths[lane].sum()) for lane in lanes]
-        read = np.zeros((steps[0], len(lanes)), dtype=np.int32)
-        aim, fresh = np.zeros_like(read), np.zeros(read.shape, dtype=bool)
-        for lane, docs in enumerate(lanes):
-            read[: steps[lane], lane] = np.concatenate([read_of[looked[k][:-1]] for k in docs])
-            aim[: steps[lane], lane] = np.concatenate([aim_of[looked[k][1:]] for k in docs])
-            fresh[np.cumsum(lengths[docs]) - lengths[docs], lane] = True
-        left = np.array(steps)
+        lanes = deal_lanes(lengths, rng.permutation(len(lengths)), most_lanes, 4 * STEPS)
         state = np.zeros((1, len(lanes), HIDDEN), dtype=np.float32)
-        for lo in range(0, steps[0], STEPS):
-            live = int((left > lo).sum())
-            window = (slice(lo, lo + STEPS), slice(0, live))
-            valid = np.arange(lo, min(lo + STEPS, steps[0]))[:, None] < left[None, :live]
+        for at, valid in windows(lanes, lengths, STEPS):
             share = valid.sum() / (STEPS * len(lanes))
-            state = model.learn(read[window], aim[window], valid, fresh[window], state[:, :live], learner, share)
+            read, aim = np.where(valid, reads[at], 0), np.where(valid, aims[at], 0)
+            state = model.learn(read, aim, valid, begins[at] & valid, state[:, : valid.shape[1]], learner, share)
     return int(lengths.sum())
 
 
@@ -384,8 +423,8 @@ def average(rows: DataFrame, words: Words, start: Model) -> Model:
         seen = 0
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
-                texts = [t for t, out in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True) if not out]
-                if texts:
+                texts = _training(part)
+                if len(texts):
                     seen += train_on(model, known, texts, LATER_RATE, 1, LANES)
         if seen:
             flat = np.concatenate([v.ravel() for v in model.params.values()]).astype(np.float64) * seen
@@ -430,55 +469,69 @@ def deal_lanes(lengths: np.ndarray, order: np.ndarray, most: int, least_steps: i
     return [lanes[lane] for _, lane in sorted(loads, key=lambda x: (-x[0], x[1]))]
 
 
+def windows(lanes: list[list[int]], lengths: np.ndarray, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each window the places of its tokens among those of all documents, (steps, lanes), and which there are.
+
+    Lanes that have ended drop out. Only one window is spread out at a time: lanes may differ much in length.
+    """
+    starts = np.cumsum(lengths) - lengths
+    spans = (np.arange(starts[k], starts[k] + lengths[k], dtype=np.int32) for lane in lanes for k in lane)
+    places = np.concatenate([np.zeros(0, dtype=np.int32), *spans])
+    left = np.array([lengths[lane].sum() for lane in lanes])
+    first = np.cumsum(left) - left
+    for lo in range(0, int(left[0]), steps):
+        live = int((left > lo).sum())
+        step = np.arange(lo, min(lo + steps, left[0]))[:, None]
+        valid = step < left[:live]
+        yield places[np.where(valid, first[:live] + step, 0)], valid
+
+
 def lanes_of(lengths: np.ndarray) -> list[list[int]]:
     """The lanes of scoring: long documents first, so that lanes end together."""
     return deal_lanes(lengths, np.argsort(-lengths, kind="stable"), 512, 1024)
 
 
-def score_batch(model: Model, lexicon: Lexicon, texts: list[bytes]):
+def score_batch(model: Model, lexicon: Lexicon, texts: pa.Array | list[bytes]):
     """For each text: natural log likelihood; tokens, known tokens, base score and rare shares as
     far as their counts are at hand; and its tokens whose counts are elsewhere."""
-    words, end = lexicon.words, END.encode()
-    lexicon.make_room()
-    looked = [lexicon.rows([end, *tokens(text), end]) for text in texts]
+    words = lexicon.words
+    rows, lengths = lexicon.sequence(texts)
     number, read_of, count_of = lexicon.settle()
-    number, read_of = number.astype(np.int32), read_of.astype(np.int32)
-    spelled = None
-    numbers, reads, aims, stats = [], [], [], []
-    for rows in looked:
-        mine, counts = number[rows[1:]], count_of[rows[1:]]
-        numbers.append(mine)
-        reads.append(read_of[rows[:-1]])
-        aims.append(np.where(mine < 0, np.int32(len(words.known)), mine))
-        local = counts >= 0
-        base = float(np.log10((counts[local] + 1) / words.spread()).sum())
-        share = float(np.log10((counts[local & (mine < 0)] + 1) / words.rare_spread()).sum())
-        away, times = np.unique(rows[1:][~local], return_counts=True)
-        if len(away) and spelled is None:
-            spelled = list(lexicon.place)
-        stats.append((len(mine), int((counts > 0).sum()), base, share, [spelled[k] for k in away.tolist()], times.tolist()))
-    lengths = np.array([len(x) for x in numbers])
-    likelihood = np.zeros(len(texts))
+    starts = np.cumsum(lengths) - lengths
+    local = count_of >= 0
+    own = np.log10(np.where(local, count_of + 1, words.spread()) / words.spread())
+    share = np.log10(np.where(local & (number < 0), count_of + 1, words.rare_spread()) / words.rare_spread())
+    known = (count_of > 0).astype(np.int32)
+    sums = [np.add.reduceat(of[rows], starts, dtype=of.dtype).tolist() for of in (known, own, share)]
+    # tokens with counts elsewhere, by text
+    away = np.flatnonzero(~local[rows])
+    texts_of = np.searchsorted(starts, away, side="right") - 1
+    pairs, times = np.unique(texts_of * len(number) + rows[away], return_counts=True)
+    spelled = lexicon.spelled().take(pa.array(pairs % len(number))).to_pylist()
+    bounds = np.searchsorted(pairs // len(number), np.arange(len(lengths) + 1)).tolist()
+    times = times.tolist()
+    cut = [(spelled[lo:hi], times[lo:hi]) for lo, hi in itertools.pairwise(bounds)]
+    stats = [(n, *of, *rest) for n, of, rest in zip(lengths.tolist(), zip(*sums, strict=True), cut, strict=True)]
+    aims = np.where(number < 0, len(words.known), number).astype(np.int32)[rows]
+    reads = read_of.astype(np.int32)[np.concatenate([rows[-1:], rows[:-1]])]
+    likelihood = np.zeros(len(lengths))
     lanes = lanes_of(lengths)
-    steps = [sum(int(lengths[k]) for k in lane) for lane in lanes]
-    read = np.zeros((steps[0], len(lanes)), dtype=np.int32)
-    aim, owner, fresh = np.zeros_like(read), np.full(read.shape, -1, dtype=np.int32), np.zeros(read.shape, dtype=bool)
-    for lane, docs in enumerate(lanes):
-        at = 0
-        for k in docs:
-            end = at + lengths[k]
-            read[at:end, lane], aim[at:end, lane], owner[at:end, lane] = reads[k], aims[k], k
-            fresh[at, lane] = True
-            at = end
+    begins = np.zeros(len(rows), dtype=bool)
+    begins[starts] = True
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     state = np.zeros((1, len(lanes), HIDDEN), dtype=np.float32)
-    for lo in range(0, len(read), SCORE_STEPS):
-        live = sum(n > lo for n in steps)
-        window = (slice(lo, lo + SCORE_STEPS), slice(0, live))
-        out, _ = model.states(read[window], state[:, :live], fresh[window])
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting, scored = 0, 0
+    for at, valid in windows(lanes, lengths, SCORE_STEPS):
+        read = np.where(valid, reads[at], 0)
+        out, _ = model.states(read, state[:, : valid.shape[1]], begins[at] & valid)
         state = out[-1]
-        valid = owner[window] >= 0
-        found = model.likelihood(out[:, 0][valid], aim[window][valid].astype(np.int64))
-        likelihood += np.bincount(owner[window][valid], weights=found, minlength=len(texts))
+        held.append((out[:, 0][valid], at[valid]))
+        waiting += len(held[-1][1])
+        if waiting >= SCORE_TOKENS or scored + waiting == len(rows):
+            states, places = (np.concatenate(x) for x in zip(*held, strict=True))
+            likelihood += np.bincount(owner[places], weights=model.likelihood(states, aims[places]), minlength=len(lengths))
+            held, waiting, scored = [], 0, scored + waiting
     return likelihood, stats
 
 
@@ -504,10 +557,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         known, net = sent.value
         lexicon = Lexicon(known)
         row = TaskContext.get().partitionId() << 40
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in _gathered(batches, SLICE_CHARS):
-            found, stats = score_batch(net, lexicon, batch.column(2).to_pylist())
-            away = [[{"word": w, "n": n} for w, n in zip(s[4], s[5], strict=True)] for s in stats]
+            found, stats = score_batch(net, lexicon, batch.column(2))
+            words = pa.array(itertools.chain.from_iterable(s[4] for s in stats), pa.binary())
+            times = pa.array(itertools.chain.from_iterable(s[5] for s in stats), pa.int64())
+            bounds = pa.array(np.cumsum([0, *(len(s[5]) for s in stats)]), pa.int32())
+            away = pa.StructArray.from_arrays([words, times], fields=[pa.field("word", pa.binary()), pa.field("n", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + len(stats))),
@@ -517,7 +572,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     pa.array([s[1] for s in stats], pa.int64()),
                     pa.array([s[2] for s in stats], pa.float64()),
                     pa.array([v / math.log(10) + s[3] for v, s in zip(found.tolist(), stats, strict=True)], pa.float64()),
-                    pa.array(away, kind),
+                    pa.ListArray.from_arrays(bounds, away),
                 ],
                 names=[field.split()[0] for field in SCORED.split(", ")],
             )

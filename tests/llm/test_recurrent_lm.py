@@ -2,9 +2,11 @@
 
 import copy
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import recurrent_lm as lm
@@ -113,6 +115,43 @@ def test_lanes_hold_every_document_once():
     assert len(lanes) == 3 and loads == sorted(loads, reverse=True)
 
 
+def test_tokens_of_many_texts_at_once():
+    texts = [b" A b\tc\x0b\x0c d \n", b"", b"  ", "\u00c9 x\u2003Y".encode(), b"x\x1cy\x00z", b"\xff\xfeA B", b"end"]
+    found, sizes = lm.split_tokens(pa.array(texts, pa.binary()))
+    assert found.to_pylist() == [w for text in texts for w in lm.tokens(text)]
+    assert sizes.tolist() == [len(lm.tokens(text)) for text in texts]
+
+
+def test_look_ups_in_pieces(monkeypatch):
+    words, model, docs = small_model()
+    docs = [*docs, b"", b"never seen here", b"never"]
+    whole, stats = lm.score_batch(model, lm.Lexicon(words), docs)
+    monkeypatch.setattr(lm, "PIECE_BYTES", 50)
+    again, others = lm.score_batch(model, lm.Lexicon(words), docs)
+    assert np.array_equal(whole, again)
+    assert [(*s[:4], sorted(zip(s[4], s[5], strict=True))) for s in stats] == [
+        (*s[:4], sorted(zip(s[4], s[5], strict=True))) for s in others
+    ]
+    assert sorted(zip(stats[-2][4], stats[-2][5], strict=True)) == [(b"here", 1), (b"never", 1), (b"seen", 1)]
+
+
+def test_nothing_to_learn_from():
+    words, model, _ = small_model()
+    assert lm.train_on(model, words, [], 0.01, 2, 8) == 0
+
+
+def test_one_long_text_does_not_stretch_the_lanes_of_all():
+    words, model, docs = small_model()
+    texts = [b" ".join([b"w1 w2 w3 w4"] * 25_000), *docs * 10]
+    lexicon = lm.Lexicon(words)
+    tracemalloc.start()
+    lm.score_batch(model, lexicon, texts)
+    lm.train_on(copy.deepcopy(model), words, texts, 0.01, 1, 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000
+
+
 def test_held_out_gain_over_the_counts(spark):
     rows = [r for r in op5_lm_score(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     tokens = sum(r.n_tokens for r in rows)
